@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import ALL_FEATURES
-from ..functions.columns import smoothed_concentration, truncate_name
+from ..functions.columns import truncate_name
+from ..operators import assign, history, profile, quality, scale, stats, strategy
 from ..operators import features as feat
-from ..operators import quality, stats
-from ..sources import tables
+from ..session import shared_path
+from ..sources import csv_io, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,5 +188,205 @@ def f3_preview(spark, sf):
     return quality.preview(clean_features(spark, sf), "product_id", 10)
 
 
-def smoothed(volume, customers):  # re-export for callers of the catalog
-    return smoothed_concentration(volume, customers)
+# ---- 2.7 scaling and fixed-center labels ------------------------------------
+
+def fixed_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete feature rows, standardised (column form) and labelled by
+    the fixed centers: deterministic labels for every exact check."""
+    f = scale.complete_rows(clean_features(spark, sf))
+    return assign.label_fixed(scale.standardise(f))
+
+
+def fixed_names(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.segment_names(fixed_labelled(spark, sf))
+
+
+ZC = assign.ZCOLS
+
+
+@query("g1_assemble")
+def g1_assemble(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    v = scale.assemble(clean_features(spark, sf))
+    a = vector_to_array("features")
+    return v.select("product_id", a[0].alias("f_volume"), a[1].alias("f_order_frequency"),
+                    a[2].alias("f_concentration"))
+
+
+@query("g1_assemble_audit")
+def g1_assemble_audit(spark, sf):
+    return scale.assemble_audit(dirty_features(spark, sf))
+
+
+@query("g2_standardise")
+def g2_standardise(spark, sf):
+    z = scale.standardise(scale.complete_rows(clean_features(spark, sf)), ddof=1)
+    return z.select("product_id", *[F.round(c, 6).alias(c) for c in ZC])
+
+
+@query("g2b_standardise_population")
+def g2b_standardise_population(spark, sf):
+    z = scale.standardise(scale.complete_rows(clean_features(spark, sf)), ddof=0)
+    return z.select("product_id", *[F.round(c, 6).alias(c) for c in ZC])
+
+
+@query("g3_scaling_audit")
+def g3_scaling_audit(spark, sf):
+    z = scale.standardise(scale.complete_rows(clean_features(spark, sf)), ddof=0)
+    return scale.scaling_audit(z, ZC)
+
+
+@query("g5_inertia_fixed")
+def g5_inertia_fixed(spark, sf):
+    return assign.inertia(fixed_labelled(spark, sf))
+
+
+@query("g6_silhouette_fixed")
+def g6_silhouette_fixed(spark, sf):
+    return assign.silhouette_squared(fixed_labelled(spark, sf))
+
+
+@query("fixed_labels")
+def fixed_labels(spark, sf):
+    lab = fixed_labelled(spark, sf)
+    return lab.select("product_id", "cluster")
+
+
+# ---- profiles, names, strategies on fixed labels ------------------------------
+
+@query("d10_cluster_sizes")
+def d10_cluster_sizes(spark, sf):
+    return profile.cluster_sizes(fixed_labelled(spark, sf))
+
+
+@query("d11_boxplot")
+def d11_boxplot(spark, sf):
+    return profile.boxplot_table(fixed_labelled(spark, sf))
+
+
+@query("d12_cluster_bars")
+def d12_cluster_bars(spark, sf):
+    return profile.cluster_size_bars(fixed_labelled(spark, sf), len(assign.FIXED_CENTERS))
+
+
+@query("d13_labelled_scatter_2d")
+def d13_labelled_scatter_2d(spark, sf):
+    lab = fixed_labelled(spark, sf)
+    return profile.labelled_scatter_2d(lab, profile.segment_names(lab))
+
+
+@query("d14_labelled_scatter_3d")
+def d14_labelled_scatter_3d(spark, sf):
+    lab = fixed_labelled(spark, sf)
+    return profile.labelled_scatter_3d(lab, profile.segment_names(lab))
+
+
+@query("e3_strategy_lookup")
+def e3_strategy_lookup(spark, sf):
+    return strategy.strategy_lookup(fixed_names(spark, sf))
+
+
+@query("e4_names_to_products")
+def e4_names_to_products(spark, sf):
+    lab = fixed_labelled(spark, sf)
+    return profile.names_to_products(lab, profile.segment_names(lab))
+
+
+@query("e5_cluster_vs_medians")
+def e5_cluster_vs_medians(spark, sf):
+    return profile.cluster_vs_medians(fixed_labelled(spark, sf))
+
+
+@query("f1_order_by_cluster")
+def f1_order_by_cluster(spark, sf):
+    return fixed_labelled(spark, sf).select("cluster").distinct().orderBy("cluster")
+
+
+@query("f2_top_products")
+def f2_top_products(spark, sf):
+    return profile.top_products(fixed_labelled(spark, sf), 5)
+
+
+@query("h1_cluster_profile")
+def h1_cluster_profile(spark, sf):
+    return profile.cluster_profile(fixed_labelled(spark, sf))
+
+
+@query("h2_segment_names")
+def h2_segment_names(spark, sf):
+    return fixed_names(spark, sf)
+
+
+@query("h3_segment_summary")
+def h3_segment_summary(spark, sf):
+    return profile.segment_summary(fixed_labelled(spark, sf))
+
+
+@query("h4_strategy_report")
+def h4_strategy_report(spark, sf):
+    return strategy.strategy_report(fixed_names(spark, sf))
+
+
+@query("h4b_short_strategy")
+def h4b_short_strategy(spark, sf):
+    return strategy.short_strategy(fixed_names(spark, sf))
+
+
+# ---- sinks ------------------------------------------------------------------
+
+FEATURE_SCHEMA = ("product_id bigint, product_name string, volume bigint, order_frequency bigint, "
+                  "unique_customers bigint, concentration double")
+
+
+@query("a1_csv_roundtrip")
+def a1_csv_roundtrip(spark, sf):
+    path = csv_io.write_csv(clean_features(spark, sf), shared_path(spark, "a1"))
+    return csv_io.read_csv(spark, path, schema=FEATURE_SCHEMA)
+
+
+def _export_fixed(spark, sf) -> str:
+    lab = fixed_labelled(spark, sf)
+    names = profile.segment_names(lab)
+    table = (lab.join(F.broadcast(names), "cluster", "left")
+             .select("product_id", "product_name", "volume", "order_frequency", "unique_customers",
+                     "concentration", "cluster", "segment"))
+    return csv_io.write_csv(table, shared_path(spark, "a5"))
+
+
+EXPORT_SCHEMA = FEATURE_SCHEMA + ", cluster int, segment string"
+
+
+@query("a5_export_csv")
+def a5_export_csv(spark, sf):
+    return csv_io.read_csv(spark, _export_fixed(spark, sf), schema=EXPORT_SCHEMA)
+
+
+@query("a6_export_manifest")
+def a6_export_manifest(spark, sf):
+    return csv_io.write_manifest(spark, _export_fixed(spark, sf), schema=EXPORT_SCHEMA)
+
+
+# ---- 2.10 history extensions --------------------------------------------------
+
+PERIOD_CUT = "1998-07-01"
+
+
+@query("x1_history_coverage")
+def x1_history_coverage(spark, sf):
+    return history.history_coverage(feat.clean_transactions(tables.transactions(spark, sf)))
+
+
+def _transitions(spark, sf):
+    before, after = history.period_labels(tables.transactions(spark, sf), tables.product_master(spark, sf),
+                                          PERIOD_CUT)
+    return history.segment_transitions(before, after)
+
+
+@query("x2_segment_transitions")
+def x2_segment_transitions(spark, sf):
+    return history.transition_counts(_transitions(spark, sf))
+
+
+@query("x3_transition_alerts")
+def x3_transition_alerts(spark, sf):
+    return history.transition_alerts(_transitions(spark, sf))

@@ -147,3 +147,244 @@ SELECT 'order_frequency:concentration', order_frequency::DOUBLE, concentration,
     "e1_dirty_features_master_join": DIRTY_FEATURES + "\nSELECT * FROM feat",
     "f3_preview": CLEAN_FEATURES + "\nSELECT * FROM feat ORDER BY product_id LIMIT 10",
 }
+
+
+# ---- scaled features and fixed-center labels --------------------------------
+
+def _centers():
+    from ..operators.assign import FIXED_CENTERS
+    return FIXED_CENTERS
+
+
+ZF = ("volume", "order_frequency", "concentration")
+
+
+def scaled_cte(src: str, name: str, ddof: int = 1, stats_src: str | None = None) -> str:
+    """Complete rows of ``src`` standardised by ``stats_src`` (default src)."""
+    std = "stddev_samp" if ddof == 1 else "stddev_pop"
+    stats_src = stats_src or f"{name}_cf"
+    st = ", ".join(f"avg({f}::DOUBLE) AS m_{f}, {std}({f}::DOUBLE) AS s_{f}" for f in ZF)
+    zs = ",\n       ".join(
+        f"CASE WHEN coalesce(s_{f}, 0.0) = 0 THEN 0.0 ELSE ({f}::DOUBLE - m_{f}) / s_{f} END AS z_{f}" for f in ZF)
+    notnull = " AND ".join(f"{f} IS NOT NULL" for f in ZF)
+    return f"""{name}_cf AS (SELECT * FROM {src} WHERE {notnull}),
+{name}_st AS (SELECT {st} FROM {stats_src}),
+{name} AS (SELECT c.*, {zs} FROM {name}_cf c, {name}_st)"""
+
+
+def _dist_sql(center) -> str:
+    terms = [f"(z_{f} - ({float(v)!r})) * (z_{f} - ({float(v)!r}))" for f, v in zip(ZF, center)]
+    return " + ".join(terms)
+
+
+def labelled_cte(src: str, name: str) -> str:
+    cs = _centers()
+    ds = ", ".join(f"round({_dist_sql(c)}, 9) AS d{i}" for i, c in enumerate(cs))
+    conds = []
+    for i in range(len(cs) - 1):
+        conds.append("WHEN " + " AND ".join(f"d{i} <= d{j}" for j in range(i + 1, len(cs))) + f" THEN {i}")
+    case = "CASE " + " ".join(conds) + f" ELSE {len(cs) - 1} END"
+    dcols = ", ".join(f"d{i}" for i in range(len(cs)))
+    return f"""{name}_d AS (SELECT *, {ds} FROM {src}),
+{name} AS (SELECT * EXCLUDE ({dcols}), CAST({case} AS INTEGER) AS cluster FROM {name}_d)"""
+
+
+LABELLED = CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs") + ",\n" + labelled_cte("zs", "lab")
+
+PROFILE = """prof AS (
+  SELECT cluster, count(*) AS products,
+         sum(volume)::DOUBLE / count(*) AS mean_volume, min(volume) AS min_volume, max(volume) AS max_volume,
+         sum(order_frequency)::DOUBLE / count(*) AS mean_frequency, min(order_frequency) AS min_frequency,
+         max(order_frequency) AS max_frequency,
+         sum(concentration::DECIMAL(18,2))::DOUBLE / count(*) AS mean_concentration,
+         min(concentration) AS min_concentration, max(concentration) AS max_concentration
+  FROM lab GROUP BY cluster),
+med AS (SELECT median(volume::DOUBLE) AS med_volume, median(order_frequency::DOUBLE) AS med_frequency,
+               median(concentration::DOUBLE) AS med_concentration FROM lab),
+names AS (
+  SELECT cluster, CASE
+    WHEN mean_volume > med_volume AND mean_frequency > med_frequency AND mean_concentration > med_concentration
+      THEN 'high_turnover_centralised'
+    WHEN mean_volume > med_volume AND mean_frequency > med_frequency THEN 'high_turnover_dispersed'
+    WHEN mean_volume < med_volume AND mean_frequency < med_frequency THEN 'low_turnover'
+    ELSE 'medium_turnover' END AS segment
+  FROM prof, med)"""
+
+LAB_PROFILE = LABELLED + ",\n" + PROFILE
+
+
+def _strategies_values() -> str:
+    from ..operators.strategy import ATTRIBUTES, STRATEGIES
+
+    def q(s):
+        return "'" + s.replace("'", "''") + "'"
+    rows = ",\n  ".join("(" + ", ".join(q(x) for x in (seg, *vals)) + ")" for seg, vals in STRATEGIES.items())
+    return f"strat AS (SELECT * FROM (VALUES\n  {rows}) v(segment, {', '.join(ATTRIBUTES)}))"
+
+
+def _strategy_long_sql() -> str:
+    from ..operators.strategy import ATTRIBUTES, UNMAPPED
+    parts = [f"SELECT n.cluster, upper(n.segment) AS segment, {i + 1} AS ordinal, "
+             f"'{a.replace('_', ' ').upper()}' AS attribute, s.{a} AS value "
+             f"FROM names n JOIN strat s ON n.segment = s.segment" for i, a in enumerate(ATTRIBUTES)]
+    parts.append(f"SELECT n.cluster, upper(n.segment), 1, 'STRATEGY', '{UNMAPPED}' FROM names n "
+                 f"WHERE n.segment NOT IN (SELECT segment FROM strat)")
+    return LAB_PROFILE + ",\n" + _strategies_values() + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _short_sql() -> str:
+    from ..operators.strategy import SHORT
+
+    def pick(i):
+        return (f"CASE WHEN contains(segment, 'centralised') THEN '{SHORT['centralised'][i]}' "
+                f"WHEN contains(segment, 'dispersed') THEN '{SHORT['dispersed'][i]}' "
+                f"WHEN contains(segment, 'low_turnover') THEN '{SHORT['low_turnover'][i]}' "
+                f"ELSE '{SHORT['other'][i]}' END")
+    return LAB_PROFILE + f"""
+SELECT cluster, segment, {pick(0)} AS storage, {pick(1)} AS replenishment, {pick(2)} AS kpis, {pick(3)} AS summary
+FROM names"""
+
+
+def _boxplot_sql() -> str:
+    longs = "\nUNION ALL\n".join(f"SELECT cluster, '{f}' AS feature, {f}::DOUBLE AS x FROM lab" for f in ZF)
+    return LABELLED + f""",
+lng AS ({longs}),
+q AS (SELECT cluster, feature, count(*) AS n, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3 FROM lng GROUP BY 1, 2),
+w AS (SELECT q.cluster, q.feature, q.n, q.q1, q.median, q.q3,
+             min(x) FILTER (WHERE x >= q.q1 - 1.5 * (q.q3 - q.q1) AND x <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_low,
+             max(x) FILTER (WHERE x >= q.q1 - 1.5 * (q.q3 - q.q1) AND x <= q.q3 + 1.5 * (q.q3 - q.q1)) AS whisker_high,
+             count(*) FILTER (WHERE NOT (x >= q.q1 - 1.5 * (q.q3 - q.q1) AND x <= q.q3 + 1.5 * (q.q3 - q.q1))) AS outliers
+      FROM lng JOIN q ON lng.cluster = q.cluster AND lng.feature = q.feature
+      GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT cluster, feature, n, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3,
+       round(whisker_low, 6) + 0.0 AS whisker_low, round(whisker_high, 6) + 0.0 AS whisker_high, outliers FROM w"""
+
+
+def _silhouette_sql() -> str:
+    zsq = " + ".join(f"z_{f} * z_{f}" for f in ZF)
+    dot = " + ".join(f"p.z_{f} * s.y_{f}" for f in ZF)
+    ys = ", ".join(f"sum(z_{f}) AS y_{f}" for f in ZF)
+    return LABELLED + f""",
+pts AS (SELECT product_id, cluster, z_volume, z_order_frequency, z_concentration, {zsq} AS sq FROM lab),
+cs AS (SELECT cluster, count(*)::DOUBLE AS n, {ys}, sum({zsq}) AS psi FROM lab GROUP BY cluster),
+pd AS (SELECT p.product_id, p.cluster AS own, s.cluster AS c, s.n,
+              p.sq + s.psi / s.n - 2.0 * ({dot}) / s.n AS d
+       FROM pts p, cs s),
+per AS (SELECT product_id,
+               max(CASE WHEN c = own THEN d * n / (n - 1.0) END) AS a,
+               max(CASE WHEN c = own THEN n END) AS own_n,
+               min(CASE WHEN c <> own THEN d END) AS b
+        FROM pd GROUP BY product_id),
+sil AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1.0 - a / b WHEN a > b THEN b / a - 1.0 ELSE 0.0 END AS s
+        FROM per)
+SELECT CASE WHEN (SELECT count(*) FROM cs) >= 2 THEN round(avg(s), 6) END AS silhouette FROM sil"""
+
+
+def _inertia_sql() -> str:
+    cs = _centers()
+    case = "CASE cluster " + " ".join(f"WHEN {i} THEN {_dist_sql(c)}" for i, c in enumerate(cs)) + " END"
+    return LABELLED + f"\nSELECT {len(cs)} AS k, round(sum({case}), 6) AS inertia FROM lab"
+
+
+def _transitions_cte(cut: str) -> str:
+    before = features_cte("txb", "fb", "master")
+    after = features_cte("txa", "fa", "master")
+    return ("WITH " + TX + ",\n" + MASTER + f""",
+txb AS (SELECT * FROM tx WHERE date < DATE '{cut}'),
+txa AS (SELECT * FROM tx WHERE date >= DATE '{cut}'),
+""" + before + ",\n" + after + ",\n" + scaled_cte("fb", "zb") + ",\n"
+            + scaled_cte("fa", "za", stats_src="zb_cf") + ",\n" + labelled_cte("zb", "lb") + ",\n"
+            + labelled_cte("za", "la") + """,
+tr AS (SELECT coalesce(b.product_id, a.product_id) AS product_id, b.cluster AS cluster_before,
+              a.cluster AS cluster_after
+       FROM lb b FULL OUTER JOIN la a ON b.product_id = a.product_id)""")
+
+
+ORACLE.update({
+    "g1_assemble": CLEAN_FEATURES + """
+SELECT product_id, volume::DOUBLE AS f_volume, order_frequency::DOUBLE AS f_order_frequency,
+       concentration AS f_concentration FROM feat WHERE concentration IS NOT NULL""",
+    "g1_assemble_audit": DIRTY_FEATURES + """
+SELECT count(*) FILTER (WHERE volume IS NOT NULL AND order_frequency IS NOT NULL AND concentration IS NOT NULL) AS kept,
+       count(*) FILTER (WHERE NOT (volume IS NOT NULL AND order_frequency IS NOT NULL AND concentration IS NOT NULL)) AS dropped
+FROM feat""",
+    "g2_standardise": CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs") + """
+SELECT product_id, round(z_volume, 6) AS z_volume, round(z_order_frequency, 6) AS z_order_frequency,
+       round(z_concentration, 6) AS z_concentration FROM zs""",
+    "g2b_standardise_population": CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs", ddof=0) + """
+SELECT product_id, round(z_volume, 6) AS z_volume, round(z_order_frequency, 6) AS z_order_frequency,
+       round(z_concentration, 6) AS z_concentration FROM zs""",
+    "g3_scaling_audit": CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs", ddof=0) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT 'z_{f}' AS feature, round(avg(z_{f}), 6) + 0.0 AS mean, round(stddev_pop(z_{f}), 6) + 0.0 AS std FROM zs"
+        for f in ZF),
+    "g5_inertia_fixed": _inertia_sql(),
+    "g6_silhouette_fixed": _silhouette_sql(),
+    "fixed_labels": LABELLED + "\nSELECT product_id, cluster FROM lab",
+    "d10_cluster_sizes": LABELLED + "\nSELECT cluster, count(*) AS products FROM lab GROUP BY cluster",
+    "d11_boxplot": _boxplot_sql(),
+    "d12_cluster_bars": LABELLED + f"""
+SELECT CAST(b.range AS INTEGER) AS cluster, coalesce(s.products, 0) AS products
+FROM range(0, {len(_centers())}) b
+LEFT JOIN (SELECT cluster, count(*) AS products FROM lab GROUP BY cluster) s ON s.cluster = b.range""",
+    "d13_labelled_scatter_2d": LAB_PROFILE + """,
+lng AS (SELECT cluster, 'volume:order_frequency' AS pair, volume::DOUBLE AS x, order_frequency::DOUBLE AS y FROM lab
+        UNION ALL
+        SELECT cluster, 'order_frequency:concentration', order_frequency::DOUBLE, concentration FROM lab)
+SELECT g.cluster, coalesce(n.segment, 'undefined') AS segment, g.pair, g.x, g.y, g.products
+FROM (SELECT cluster, pair, x, y, count(*) AS products FROM lng GROUP BY ALL) g
+LEFT JOIN names n ON g.cluster = n.cluster""",
+    "d14_labelled_scatter_3d": LAB_PROFILE + """
+SELECT g.cluster, coalesce(n.segment, 'undefined') AS segment, g.volume, g.order_frequency, g.concentration, g.products
+FROM (SELECT cluster, volume, order_frequency, concentration, count(*) AS products FROM lab GROUP BY ALL) g
+LEFT JOIN names n ON g.cluster = n.cluster""",
+    "e3_strategy_lookup": LAB_PROFILE + ",\n" + _strategies_values() + """
+SELECT n.cluster, n.segment, s.description, s.storage, s.replenishment, s.stock_level, s.rotation, s.kpis
+FROM names n LEFT JOIN strat s ON n.segment = s.segment""",
+    "e4_names_to_products": LAB_PROFILE + """
+SELECT l.product_id, l.cluster, coalesce(n.segment, 'undefined') AS segment
+FROM lab l LEFT JOIN names n ON l.cluster = n.cluster""",
+    "e5_cluster_vs_medians": LAB_PROFILE + """
+SELECT cluster, round(mean_volume, 6) + 0.0 AS mean_volume, round(mean_frequency, 6) + 0.0 AS mean_frequency,
+       round(mean_concentration, 6) + 0.0 AS mean_concentration, round(med_volume, 6) + 0.0 AS median_volume,
+       round(med_frequency, 6) + 0.0 AS median_frequency, round(med_concentration, 6) + 0.0 AS median_concentration,
+       mean_volume > med_volume AS volume_above, mean_frequency > med_frequency AS frequency_above,
+       mean_concentration > med_concentration AS concentration_above
+FROM prof, med""",
+    "f1_order_by_cluster": LABELLED + "\nSELECT DISTINCT cluster FROM lab ORDER BY cluster",
+    "f2_top_products": LABELLED + """
+SELECT cluster, rank, product_id, substring(product_name, 1, 50) AS product_name, volume, order_frequency FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY volume DESC, product_id ASC) AS rank FROM lab) t
+WHERE rank <= 5""",
+    "h1_cluster_profile": LAB_PROFILE + "\nSELECT * FROM prof",
+    "h2_segment_names": LAB_PROFILE + "\nSELECT * FROM names",
+    "h3_segment_summary": LAB_PROFILE + """,
+sums AS (SELECT cluster, count(*) AS products, sum(volume) AS sv, sum(order_frequency) AS sf,
+                sum(CAST(round(concentration * 100) AS BIGINT)) AS sc FROM lab GROUP BY cluster)
+SELECT s.cluster, coalesce(n.segment, 'undefined') AS segment, s.products,
+       ((20 * s.sv + s.products) // (2 * s.products))::DOUBLE / 10.0 AS mean_volume,
+       ((20 * s.sf + s.products) // (2 * s.products))::DOUBLE / 10.0 AS mean_frequency,
+       (((2 * s.sc + s.products) // (2 * s.products))::DOUBLE / 1.0) / 100.0 AS mean_concentration
+FROM sums s LEFT JOIN names n ON s.cluster = n.cluster""",
+    "h4_strategy_report": _strategy_long_sql(),
+    "h4b_short_strategy": _short_sql(),
+    "a1_csv_roundtrip": CLEAN_FEATURES + "\nSELECT * FROM feat",
+    "a5_export_csv": LAB_PROFILE + """
+SELECT l.product_id, l.product_name, l.volume, l.order_frequency, l.unique_customers, l.concentration,
+       l.cluster, n.segment
+FROM lab l LEFT JOIN names n ON l.cluster = n.cluster""",
+    "a6_export_manifest": LABELLED + """
+SELECT column_name, ordinal, (SELECT count(*) FROM lab) AS n_rows FROM (VALUES
+  ('product_id', 1), ('product_name', 2), ('volume', 3), ('order_frequency', 4), ('unique_customers', 5),
+  ('concentration', 6), ('cluster', 7), ('segment', 8)) v(column_name, ordinal)""",
+    "x1_history_coverage": "WITH " + TX + """
+SELECT count(DISTINCT week) AS weeks, min(week) AS first_week, max(week) AS last_week, 12 AS min_weeks,
+       count(DISTINCT week) >= 12 AS sufficient FROM tx WHERE product_id IS NOT NULL""",
+    "x2_segment_transitions": _transitions_cte("1998-07-01") + """
+SELECT cluster_before, cluster_after, count(*) AS products FROM tr GROUP BY 1, 2""",
+    "x3_transition_alerts": _transitions_cte("1998-07-01") + """
+SELECT product_id, cluster_before, cluster_after,
+       CASE WHEN cluster_before IS NULL THEN 'appeared' WHEN cluster_after IS NULL THEN 'vanished'
+            ELSE 'changed' END AS change
+FROM tr WHERE cluster_before IS DISTINCT FROM cluster_after""",
+})
