@@ -390,3 +390,126 @@ def x2_segment_transitions(spark, sf):
 @query("x3_transition_alerts")
 def x3_transition_alerts(spark, sf):
     return history.transition_alerts(_transitions(spark, sf))
+
+
+# ---- 2.7 models (rows-only checks: results depend on the fitted model) ---------
+
+_RUNS: dict = {}
+
+
+def segmentation(spark: SparkSession, sf: str):
+    """One segmentation run per (session, tables), shared by every model
+    query so the sweeps are fitted once."""
+    from . import segmentation as S
+    key = (id(spark), spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _RUNS:
+        _RUNS[key] = S.segment(clean_features(spark, sf))
+    return _RUNS[key]
+
+
+def _mi(spark, sf):
+    return segmentation(spark, sf).input
+
+
+@query("g4_kmeans_fit")
+def g4_kmeans_fit(spark, sf):
+    from . import models as M
+    mi = _mi(spark, sf)
+    return M.kmeans_centers(M.fit_kmeans(mi, 4), mi)
+
+
+@query("g7_kmeans_sweep")
+def g7_kmeans_sweep(spark, sf):
+    return segmentation(spark, sf).kmeans.table
+
+
+@query("g8_choose_k")
+def g8_choose_k(spark, sf):
+    from . import models as M
+    return M.best_of_sweep(segmentation(spark, sf).kmeans.table, "silhouette", maximize=True)
+
+
+@query("g9_final_kmeans")
+def g9_final_kmeans(spark, sf):
+    from . import models as M
+    seg = segmentation(spark, sf)
+    return M.kmeans_centers(seg.kmeans_model, seg.input)
+
+
+@query("g10_restarts")
+def g10_restarts(spark, sf):
+    from . import models as M
+    return M.restarts(_mi(spark, sf), 4, n_init=10)
+
+
+@query("g11_gmm_fit")
+def g11_gmm_fit(spark, sf):
+    from . import models as M
+    mi = _mi(spark, sf)
+    return M.gmm_components(M.fit_gmm(mi, 3), mi)
+
+
+@query("g12_bic")
+def g12_bic(spark, sf):
+    seg = segmentation(spark, sf)
+    d, n = len(seg.input.features), seg.input.n
+    return seg.gmm.table.select("k", "log_likelihood", F.lit(n).alias("n"),
+                                ((F.col("k") - 1) + F.col("k") * d + F.col("k") * (d * (d + 1) // 2))
+                                .alias("parameters"), "bic")
+
+
+@query("g13_gmm_sweep")
+def g13_gmm_sweep(spark, sf):
+    return segmentation(spark, sf).gmm.table
+
+
+@query("g14_choose_components")
+def g14_choose_components(spark, sf):
+    from . import models as M
+    return M.best_of_sweep(segmentation(spark, sf).gmm.table, "bic", maximize=False)
+
+
+@query("g15_final_gmm")
+def g15_final_gmm(spark, sf):
+    from . import models as M
+    seg = segmentation(spark, sf)
+    return M.gmm_components(seg.gmm_model, seg.input)
+
+
+@query("g16_model_comparison")
+def g16_model_comparison(spark, sf):
+    from . import segmentation as S
+    return S.model_comparison(segmentation(spark, sf))
+
+
+@query("e2_label_join")
+def e2_label_join(spark, sf):
+    from . import segmentation as S
+    return S.label_join(segmentation(spark, sf))
+
+
+@query("d10_model_cluster_sizes")
+def d10_model_cluster_sizes(spark, sf):
+    from . import models as M
+    scored = segmentation(spark, sf).scored
+    return profile.cluster_sizes(scored, M.KMEANS_COL).unionByName(
+        profile.cluster_sizes(scored, M.GMM_COL).withColumnRenamed(M.GMM_COL, M.KMEANS_COL)) \
+        .withColumnRenamed(M.KMEANS_COL, "cluster")
+
+
+@query("h3_model_segment_summary")
+def h3_model_segment_summary(spark, sf):
+    from . import segmentation as S
+    return S.segment_summary(segmentation(spark, sf))
+
+
+@query("h5_executive_summary")
+def h5_executive_summary(spark, sf):
+    from . import segmentation as S
+    return S.executive_summary(segmentation(spark, sf))
+
+
+@query("h6_final_table")
+def h6_final_table(spark, sf):
+    from . import segmentation as S
+    return S.final_table(segmentation(spark, sf))
