@@ -35,8 +35,10 @@ def inertia(df: DataFrame, centers: Sequence[Sequence[float]] = FIXED_CENTERS,
     """Within-cluster sum of squared distances to the given centers."""
     cols = [F.col(c) for c in zcols]
     dists = F.array(*[squared_distance(cols, c) for c in centers])
-    own = F.element_at(dists, F.col(label) + 1)
-    return df.agg(F.lit(len(centers)).alias("k"), F.round(F.sum(own), decimals).alias("inertia"))
+    own = F.sum(F.element_at(dists, F.col(label) + 1))
+    if decimals is not None:
+        own = F.round(own, decimals)
+    return df.agg(F.lit(len(centers)).alias("k"), own.alias("inertia"))
 
 
 def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str = "cluster",

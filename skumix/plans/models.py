@@ -87,10 +87,29 @@ def bic(log_likelihood: float, k: int, d: int, n: int) -> float:
     return -2.0 * log_likelihood + p * math.log(n)
 
 
+def distinct_points(mi: ModelInput) -> int:
+    """Number of distinct scaled points (one distributed distinct count)."""
+    return mi.df.select(FEATURES_COL).distinct().count()
+
+
 def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> KMeansModel:
-    """G4 (+C2: labels land in ``cluster_kmeans``)."""
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL,
-                  predictionCol=KMEANS_COL).fit(mi.df)
+    """G4 (+C2: labels land in ``cluster_kmeans``).
+
+    With fewer distinct points than k, MLlib's block trainer fails; the
+    fit is then made with k = number of distinct points, which is the
+    same clustering (every point its own center) with fewer centers."""
+    def fit(kk):
+        return KMeans(k=kk, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL,
+                      predictionCol=KMEANS_COL).fit(mi.df)
+    try:
+        return fit(k)
+    except Exception as e:  # Py4JJavaError from the JVM trainer
+        if "ArrayIndexOutOfBounds" not in str(e):
+            raise
+        d = distinct_points(mi)
+        if d >= k or d < 1:
+            raise
+        return fit(d)
 
 
 def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> GaussianMixtureModel:
