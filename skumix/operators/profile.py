@@ -40,7 +40,8 @@ def cluster_size_bars(labelled: DataFrame, k: int, label: str = "cluster") -> Da
 
 
 def global_medians(features: DataFrame, cols: Sequence[str] = PROFILE_FEATURES):
-    """One struct of exact medians, usable as a scalar column anywhere."""
+    """One struct of exact medians as a scalar subquery column; attach it
+    once (``withColumn``) and read its fields from that column."""
     return features.agg(F.struct(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
                         .alias("m")).scalar()
 
@@ -56,8 +57,8 @@ def cluster_profile(labelled: DataFrame, label: str = "cluster") -> DataFrame:
 def cluster_vs_medians(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     """E5: each cluster's means beside the global medians (a scalar
     subquery, not a cross join) and the strict comparisons."""
-    med = global_medians(labelled)
-    prof = cluster_profile(labelled, label)
+    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled))
+    med = F.col("_med")
     out = prof.select(label, "mean_volume", "mean_frequency", "mean_concentration",
                       med[VOLUME].alias("median_volume"), med[FREQUENCY].alias("median_frequency"),
                       med[CONCENTRATION].alias("median_concentration"))
@@ -74,8 +75,8 @@ def cluster_vs_medians(labelled: DataFrame, label: str = "cluster") -> DataFrame
 def segment_names(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     """H2: (cluster, segment) by the naming rule; several clusters may
     share one name."""
-    med = global_medians(labelled)
-    prof = cluster_profile(labelled, label)
+    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled))
+    med = F.col("_med")
     return prof.select(label, segment_name(F.col("mean_volume"), F.col("mean_frequency"),
                                            F.col("mean_concentration"), med[VOLUME], med[FREQUENCY],
                                            med[CONCENTRATION]).alias("segment"))
@@ -84,13 +85,13 @@ def segment_names(labelled: DataFrame, label: str = "cluster") -> DataFrame:
 def segment_summary(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     """H3: cluster, name, size and the means rounded half-up to 1, 1 and
     2 decimals (from exact sums)."""
-    med = global_medians(labelled)
     g = labelled.groupBy(label).agg(
         F.count(F.lit(1)).alias("products"),
         F.sum(VOLUME).alias("_sv"), F.sum(FREQUENCY).alias("_sf"),
         F.sum(F.round(F.col(CONCENTRATION) * 100).cast("long")).alias("_sc"),
         _mean(VOLUME).alias("_mv"), _mean(FREQUENCY).alias("_mf"), _mean(CONCENTRATION).alias("_mc"),
-    )
+    ).withColumn("_med", global_medians(labelled))
+    med = F.col("_med")
     name = segment_name(F.col("_mv"), F.col("_mf"), F.col("_mc"), med[VOLUME], med[FREQUENCY], med[CONCENTRATION])
     return g.select(
         label, with_default(name, UNDEFINED).alias("segment"), "products",

@@ -52,12 +52,14 @@ def standardise(df: DataFrame, cols: Sequence[str] = MODEL_FEATURES, ddof: int =
     st = src.agg(F.struct(*[F.struct(F.avg(F.col(c).cast("double")).alias("mean"),
                                      std(F.col(c).cast("double")).alias("std")).alias(c)
                             for c in cols]).alias("s")).scalar()
-    out = df
+    # the statistics struct is attached once as a column, so the plan has
+    # a single subquery however many times its fields are used
+    out = df.withColumn("_zstats", st)
     for c in cols:
-        s = st[c]
+        s = F.col("_zstats")[c]
         out = out.withColumn(zname(c), F.when(F.coalesce(s["std"], F.lit(0.0)) == 0, F.lit(0.0))
                              .otherwise((F.col(c).cast("double") - s["mean"]) / s["std"]))
-    return out
+    return out.drop("_zstats")
 
 
 def fit_vector_scaler(df: DataFrame, input_col: str = "features",

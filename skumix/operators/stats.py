@@ -69,9 +69,11 @@ def histogram(features: DataFrame, cols: Sequence[str] = ALL_FEATURES, bins: int
     ranges = features.agg(*[F.struct(F.min(c).cast("double").alias("lo"),
                                      F.max(c).cast("double").alias("hi")).alias(c) for c in cols])
     rng = ranges.select(F.struct(*cols).alias("s")).scalar()
-    long = features.select(F.explode(F.array(*[
+    withr = features.select(*cols, rng.alias("_rng"))
+    long = withr.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
-                 rng[c]["lo"].alias("lo"), rng[c]["hi"].alias("hi")) for c in cols])).alias("r")).select("r.*")
+                 F.col("_rng")[c]["lo"].alias("lo"), F.col("_rng")[c]["hi"].alias("hi"))
+        for c in cols])).alias("r")).select("r.*")
     lo = F.when(F.col("hi") == F.col("lo"), F.col("lo") - 0.5).otherwise(F.col("lo"))
     hi = F.when(F.col("hi") == F.col("lo"), F.col("hi") + 0.5).otherwise(F.col("hi"))
     binned = (long.filter(F.col("x").isNotNull())

@@ -15,7 +15,7 @@ from .. import ALL_FEATURES
 from ..functions.columns import truncate_name
 from ..operators import assign, history, profile, quality, scale, stats, strategy
 from ..operators import features as feat
-from ..session import shared_path
+from ..session import ensure_checkpoint_dir, shared_path
 from ..sources import csv_io, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,14 +31,38 @@ def query(name: str):
 
 # ---- shared inputs -------------------------------------------------------
 
+_MATERIALISED: dict = {}
+
+
+def _run_key(spark: SparkSession, sf: str, what: str):
+    return (spark.sparkContext.applicationId, sf.rstrip("/"), what)
+
+
+def materialised(spark: SparkSession, sf: str, what: str, build) -> DataFrame:
+    """Build a per-product table once per (application, tables) and cut
+    its lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Every later analysis of the run (statistics, scaling, profiles,
+    models) reads this small table instead of re-running the scan, join,
+    dedup and roll-up of the transactions; a lost executor re-reads the
+    checkpoint files instead of recomputing them."""
+    key = _run_key(spark, sf, what)
+    if key not in _MATERIALISED:
+        ensure_checkpoint_dir(spark)
+        _MATERIALISED[key] = build().checkpoint(eager=True)
+    return _MATERIALISED[key]
+
+
 def clean_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature table of the clean tables (the clustering input)."""
-    return feat.feature_table(tables.transactions(spark, sf), tables.product_master(spark, sf))
+    return materialised(spark, sf, "features", lambda: feat.feature_table(
+        tables.transactions(spark, sf), tables.product_master(spark, sf)))
 
 
 def dirty_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature table built from the dirty copies (nulls, duplicates)."""
-    return feat.feature_table(tables.dirty_transactions(spark, sf), tables.dirty_master(spark, sf))
+    return materialised(spark, sf, "dirty_features", lambda: feat.feature_table(
+        tables.dirty_transactions(spark, sf), tables.dirty_master(spark, sf)))
 
 
 # ---- 2.1 sources, profiling ---------------------------------------------
@@ -401,9 +425,10 @@ def segmentation(spark: SparkSession, sf: str):
     """One segmentation run per (session, tables), shared by every model
     query so the sweeps are fitted once."""
     from . import segmentation as S
-    key = (id(spark), spark.sparkContext.applicationId, sf.rstrip("/"))
+    key = _run_key(spark, sf, "segmentation")
     if key not in _RUNS:
-        _RUNS[key] = S.segment(clean_features(spark, sf))
+        # the feature table is already checkpointed: no second checkpoint
+        _RUNS[key] = S.segment(clean_features(spark, sf), checkpoint=False)
     return _RUNS[key]
 
 

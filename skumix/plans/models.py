@@ -118,8 +118,16 @@ def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> Gaus
                            predictionCol=GMM_COL, probabilityCol=GMM_PROB_COL).fit(mi.df)
 
 
-def _pool_map(fn, items, parallelism: int):
+def default_parallelism(spark, n_items: int) -> int:
+    """Concurrent fits: one per k, up to the cluster's default parallelism.
+    Fits are small sequential jobs, so overlapping them fills idle slots."""
+    return max(1, min(n_items, max(2, spark.sparkContext.defaultParallelism)))
+
+
+def _pool_map(fn, items, parallelism: int | None, spark=None):
     items = list(items)
+    if parallelism is None:
+        parallelism = default_parallelism(spark, len(items))
     if parallelism <= 1 or len(items) <= 1:
         return [fn(x) for x in items]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
@@ -134,7 +142,7 @@ class Sweep:
 
 
 def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max_iter: int = 100,
-                 parallelism: int = 4) -> Sweep:
+                 parallelism: int | None = None) -> Sweep:
     """Inertia (training cost) and silhouette for each k."""
     def one(k):
         m = fit_kmeans(mi, k, seed, max_iter)
@@ -143,7 +151,7 @@ def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42,
                 "silhouette": _silhouette(s.predictions, KMEANS_COL, s.clusterSizes),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
-    out = _pool_map(one, ks, parallelism)
+    out = _pool_map(one, ks, parallelism, mi.df.sparkSession)
     rows = [r for r, _ in out]
     table = mi.df.sparkSession.createDataFrame(
         [(r["k"], r["inertia"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
@@ -152,7 +160,7 @@ def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42,
 
 
 def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max_iter: int = 100,
-              parallelism: int = 4) -> Sweep:
+              parallelism: int | None = None) -> Sweep:
     """G13 (+G12): log-likelihood, BIC and silhouette for each k."""
     d = len(mi.features)
 
@@ -164,7 +172,7 @@ def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max
                 "silhouette": _silhouette(s.predictions, GMM_COL, s.clusterSizes),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
-    out = _pool_map(one, ks, parallelism)
+    out = _pool_map(one, ks, parallelism, mi.df.sparkSession)
     rows = [r for r, _ in out]
     table = mi.df.sparkSession.createDataFrame(
         [(r["k"], r["log_likelihood"], r["bic"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
@@ -221,7 +229,7 @@ def gmm_components(model: GaussianMixtureModel, mi: ModelInput) -> DataFrame:
 
 
 def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 100,
-             parallelism: int = 4) -> DataFrame:
+             parallelism: int | None = None) -> DataFrame:
     """Best of n_init initialisations, for K-means (lowest cost) and
     GMM (highest log-likelihood); ties -> earliest seed."""
     seeds = [seed + i for i in range(n_init)]
@@ -232,7 +240,8 @@ def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter:
     def gm(s):
         return ("GMM", s, float(fit_gmm(mi, k, s, max_iter).summary.logLikelihood))
 
-    runs = _pool_map(km, seeds, parallelism) + _pool_map(gm, seeds, parallelism)
+    spark = mi.df.sparkSession
+    runs = _pool_map(km, seeds, parallelism, spark) + _pool_map(gm, seeds, parallelism, spark)
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
     rows = [(m, k, s, v, (m, s) in ((best_km[0], best_km[1]), (best_gm[0], best_gm[1]))) for m, s, v in runs]

@@ -39,7 +39,8 @@ class Segmentation:
 
 
 def segment(features: DataFrame, ks: Iterable[int] = M.DEFAULT_K, gmm_ks: Iterable[int] = M.DEFAULT_K,
-            seed: int = 42, max_iter: int = 100, parallelism: int = 4, checkpoint: bool = True) -> Segmentation:
+            seed: int = 42, max_iter: int = 100, parallelism: int | None = None,
+            checkpoint: bool = True) -> Segmentation:
     mi = M.prepare_model_input(features, checkpoint=checkpoint)
     km = M.kmeans_sweep(mi, ks, seed, max_iter, parallelism)
     gm = M.gmm_sweep(mi, gmm_ks, seed, max_iter, parallelism)
