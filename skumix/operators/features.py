@@ -69,6 +69,37 @@ def join_master(features: DataFrame, master: DataFrame) -> DataFrame:
     return features.join(m, PRODUCT_ID, "inner").select(*FEATURE_COLUMNS)
 
 
-def feature_table(tx: DataFrame, master: DataFrame, concentration: str = "ratio") -> DataFrame:
-    """Clean -> roll up -> join master: the clustering input table."""
+def rolled_up_clean(tx: DataFrame, concentration: str = "ratio", key: str = PRODUCT_ID) -> DataFrame:
+    """B1 + B4 + D4 fused into one aggregation with a single big shuffle.
+
+    Duplicate rows change neither distinct count, and the volume of the
+    deduplicated table is the number of distinct whole rows per product,
+    so all three are distinct aggregates of one Expand: rows go to the
+    shuffle keyed by (product, row | order | customer) after a map-side
+    partial aggregate, which both removes copies early and spreads a hot
+    product over many reducers.  The null-key filter is pushed into the
+    scan.  Equal to ``product_features(clean_transactions(tx))``."""
+    others = [c for c in tx.columns if c != key]
+    agg = tx.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count_distinct(F.struct(*others)).alias(VOLUME),
+        F.count_distinct("id").alias(FREQUENCY),
+        F.count_distinct("customer_id").alias(CUSTOMERS),
+    )
+    if concentration == "ratio":
+        conc = concentration_ratio(F.col(VOLUME), F.col(CUSTOMERS))
+    else:
+        conc = smoothed_concentration(F.col(VOLUME), F.col(CUSTOMERS))
+    return agg.withColumn(CONCENTRATION, conc)
+
+
+def feature_table(tx: DataFrame, master: DataFrame, concentration: str = "ratio",
+                  fused: bool = False) -> DataFrame:
+    """Clean -> roll up -> join master: the clustering input table.
+
+    Default is the two-step plan (dedup shuffle on flat columns, then the
+    distinct-count shuffle); ``fused=True`` uses :func:`rolled_up_clean`
+    (one shuffle stage fewer, struct-valued keys).  On local[8] at sf0.1
+    the flat two-step plan measured faster (1.5-2.4 s vs 2.2-3.2 s)."""
+    if fused:
+        return join_master(rolled_up_clean(tx, concentration), master)
     return join_master(product_features(clean_transactions(tx), concentration), master)

@@ -80,3 +80,12 @@ def test_role_binding_by_name(spark):
     assert out.columns == ["id", "product_id", "customer_id", "quantity"]
     out2 = bind_roles(src.drop("qty"), {"id": "oid", "product_id": "pid", "customer_id": "cid", "quantity": "qty"})
     assert out2.columns == ["id", "product_id", "customer_id"]
+
+
+def test_fused_roll_up_equals_two_step(spark):
+    rows = [(1, 1, 10, 100, 1)] * 3 + [(1, 2, 10, 100, 1), (2, 1, 10, None, 1), (3, 1, None, 5, 1),
+                                        (3, 2, 11, None, 2), (3, 2, 11, None, 2)]
+    tx = spark.createDataFrame(rows, TX)
+    a = feat.rolled_up_clean(tx)
+    b = feat.product_features(feat.clean_transactions(tx))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
