@@ -68,8 +68,11 @@ SHORT = {
 
 
 def strategy_table(spark: SparkSession) -> DataFrame:
-    rows = [(seg, *vals) for seg, vals in STRATEGIES.items()]
-    return spark.createDataFrame(rows, "segment string, " + ", ".join(f"{a} string" for a in ATTRIBUTES))
+    """The four-row dimension, built from literals on the JVM side (no
+    Python rows to serialise)."""
+    rows = [F.struct(F.lit(seg).alias("segment"), *[F.lit(v).alias(a) for a, v in zip(ATTRIBUTES, vals)])
+            for seg, vals in STRATEGIES.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def strategy_lookup(names: DataFrame) -> DataFrame:

@@ -30,4 +30,4 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["product_id", "product_name", "volume", "order_frequency", "unique_customers",
-                          "concentration"]
+                          "concentration", "cluster_kmeans", "cluster_gmm", "segment"]
