@@ -538,3 +538,24 @@ def h5_executive_summary(spark, sf):
 def h6_final_table(spark, sf):
     from . import segmentation as S
     return S.final_table(segmentation(spark, sf))
+
+
+# ---- streaming form of X2/X3 ------------------------------------------------------
+
+@query("x3_stream_transition_alerts")
+def x3_stream_transition_alerts(spark, sf):
+    """X3 computed by the streaming monitor: the transactions are laid
+    down as two period datasets (before/after the cut), streamed with an
+    available-now trigger, and the alerts table is read back."""
+    import os
+    from ..streaming import monitor
+    base = shared_path(spark, "stream")
+    src = os.path.join(base, "input")
+    tx = tables.transactions(spark, sf).withColumn(
+        "period", F.when(F.col("date") < F.lit(PERIOD_CUT).cast("date"), F.lit(1)).otherwise(F.lit(2)))
+    tx.write.mode("overwrite").partitionBy("period").parquet(src)
+    q = monitor.start_transition_monitor(spark, src, tables.product_master(spark, sf),
+                                         os.path.join(base, "state"), os.path.join(base, "ckpt"))
+    q.awaitTermination()
+    return monitor.read_alerts(spark, os.path.join(base, "state")).select(
+        "product_id", "cluster_before", "cluster_after", "change")

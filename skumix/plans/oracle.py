@@ -388,3 +388,5 @@ SELECT product_id, cluster_before, cluster_after,
             ELSE 'changed' END AS change
 FROM tr WHERE cluster_before IS DISTINCT FROM cluster_after""",
 })
+
+ORACLE["x3_stream_transition_alerts"] = ORACLE["x3_transition_alerts"]
