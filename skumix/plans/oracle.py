@@ -353,7 +353,8 @@ SELECT cluster, round(mean_volume, 6) + 0.0 AS mean_volume, round(mean_frequency
 FROM prof, med""",
     "f1_order_by_cluster": LABELLED + "\nSELECT DISTINCT cluster FROM lab ORDER BY cluster",
     "f2_top_products": LABELLED + """
-SELECT cluster, rank, product_id, substring(product_name, 1, 50) AS product_name, volume, order_frequency FROM (
+SELECT cluster, CAST(rank AS INTEGER) AS rank, product_id, substring(product_name, 1, 50) AS product_name,
+       volume, order_frequency FROM (
   SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY volume DESC, product_id ASC) AS rank FROM lab) t
 WHERE rank <= 5""",
     "h1_cluster_profile": LAB_PROFILE + "\nSELECT * FROM prof",
