@@ -88,3 +88,18 @@ def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str =
     if decimals is not None:
         sil = F.round(sil, decimals)
     return res.select(sil.alias("silhouette"))
+
+
+def lloyd_step(labelled: DataFrame, zcols: Sequence[str] = ZCOLS, label: str = "cluster",
+               decimals: int | None = 6) -> DataFrame:
+    """One K-means update from given labels: each new center is the mean
+    of its members, as rows (cluster, feature, center, members).  One
+    grouped aggregate; the iteration MLlib repeats inside a fit."""
+    g = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("members"),
+                                    *[F.avg(c).alias(c) for c in zcols])
+    rows = g.select(label, "members", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("center")) for c in zcols])).alias("r"))
+    center = F.col("r.center")
+    if decimals is not None:
+        center = F.round(center, decimals) + F.lit(0.0)
+    return rows.select(label, F.col("r.feature").alias("feature"), center.alias("center"), "members")

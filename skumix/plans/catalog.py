@@ -270,6 +270,11 @@ def g6_silhouette_fixed(spark, sf):
     return assign.silhouette_squared(fixed_labelled(spark, sf))
 
 
+@query("g4_lloyd_step_fixed")
+def g4_lloyd_step_fixed(spark, sf):
+    return assign.lloyd_step(fixed_labelled(spark, sf))
+
+
 @query("fixed_labels")
 def fixed_labels(spark, sf):
     lab = fixed_labelled(spark, sf)

@@ -391,3 +391,7 @@ FROM tr WHERE cluster_before IS DISTINCT FROM cluster_after""",
 })
 
 ORACLE["x3_stream_transition_alerts"] = ORACLE["x3_transition_alerts"]
+
+ORACLE["g4_lloyd_step_fixed"] = LABELLED + "\n" + "\nUNION ALL\n".join(
+    f"SELECT cluster, 'z_{f}' AS feature, round(avg(z_{f}), 6) + 0.0 AS center, count(*) AS members "
+    f"FROM lab GROUP BY cluster" for f in ZF)
