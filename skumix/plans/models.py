@@ -112,8 +112,32 @@ def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> K
         return fit(d)
 
 
+_LAPACK_READY = False
+
+
+def init_lapack(spark) -> None:
+    """Initialise the pure-Java LAPACK machine constants once, before any
+    concurrent GMM fit.
+
+    MLlib's GMM eigen-decomposes covariances with F2J LAPACK when no
+    native LAPACK is installed; its ``Dlamch`` marks its cached constants
+    as ready before computing them, so threads that make their first call
+    at the same moment can read zeros, and ``dlascl`` then loops forever.
+    One call from a single thread computes them for the whole JVM (in
+    local mode the executors share it)."""
+    global _LAPACK_READY
+    if _LAPACK_READY:
+        return
+    try:
+        spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S")
+    except Exception:  # native LAPACK or another build: nothing to initialise
+        pass
+    _LAPACK_READY = True
+
+
 def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> GaussianMixtureModel:
     """G11 (+C2: labels in ``cluster_gmm``, membership in ``probability_gmm``)."""
+    init_lapack(mi.df.sparkSession)
     return GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL,
                            predictionCol=GMM_COL, probabilityCol=GMM_PROB_COL).fit(mi.df)
 
@@ -163,6 +187,7 @@ def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max
               parallelism: int | None = None) -> Sweep:
     """G13 (+G12): log-likelihood, BIC and silhouette for each k."""
     d = len(mi.features)
+    init_lapack(mi.df.sparkSession)
 
     def one(k):
         m = fit_gmm(mi, k, seed, max_iter)
@@ -241,6 +266,7 @@ def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter:
         return ("GMM", s, float(fit_gmm(mi, k, s, max_iter).summary.logLikelihood))
 
     spark = mi.df.sparkSession
+    init_lapack(spark)
     runs = _pool_map(km, seeds, parallelism, spark) + _pool_map(gm, seeds, parallelism, spark)
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
