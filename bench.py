@@ -26,7 +26,8 @@ def main() -> None:
     from skumix.plans import models as M
     from skumix.plans import segmentation as S
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG_DIR"))
 
     def run(df):
         df.write.format("noop").mode("overwrite").save()

@@ -21,7 +21,8 @@ def clean_transactions(tx: DataFrame, key: str = PRODUCT_ID) -> DataFrame:
     return tx.filter(F.col(key).isNotNull()).dropDuplicates()
 
 
-def product_features(tx: DataFrame, concentration: str = "ratio") -> DataFrame:
+def product_features(tx: DataFrame, concentration: str = "ratio",
+                     by: tuple[str, ...] = (PRODUCT_ID,)) -> DataFrame:
     """Volume, order frequency, unique customers and concentration in
     one aggregation.
 
@@ -29,7 +30,7 @@ def product_features(tx: DataFrame, concentration: str = "ratio") -> DataFrame:
     shuffled on (product, order) and (product, customer) first, so a hot
     product is spread over many tasks by its order/customer ids; the
     final per-product merge only sees partial counts."""
-    agg = tx.groupBy(PRODUCT_ID).agg(
+    agg = tx.groupBy(*by).agg(
         F.count(F.lit(1)).alias(VOLUME),
         F.count_distinct("id").alias(FREQUENCY),
         F.count_distinct("customer_id").alias(CUSTOMERS),
@@ -58,7 +59,7 @@ def unique_customers(tx: DataFrame) -> DataFrame:
     return tx.groupBy(PRODUCT_ID).agg(F.count_distinct("customer_id").alias(CUSTOMERS))
 
 
-def join_master(features: DataFrame, master: DataFrame) -> DataFrame:
+def join_master(features: DataFrame, master: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """E1 + C1: inner join on product id, master rows with a null id removed
     (B1), columns in reference order.
 
@@ -66,7 +67,7 @@ def join_master(features: DataFrame, master: DataFrame) -> DataFrame:
     so the strategy is left to the optimizer and AQE, which broadcast it
     only when its measured size is under the threshold."""
     m = master.filter(F.col(PRODUCT_ID).isNotNull())
-    return features.join(m, PRODUCT_ID, "inner").select(*FEATURE_COLUMNS)
+    return features.join(m, PRODUCT_ID, "inner").select(*extra, *FEATURE_COLUMNS)
 
 
 def rolled_up_clean(tx: DataFrame, concentration: str = "ratio", key: str = PRODUCT_ID) -> DataFrame:

@@ -25,21 +25,34 @@ def history_coverage(tx: DataFrame, min_weeks: int = MIN_WEEKS) -> DataFrame:
              (F.col("weeks") >= min_weeks).alias("sufficient"))
 
 
-def period_labels(tx: DataFrame, master: DataFrame, cut: str,
+def period_features(tx: DataFrame, master: DataFrame, cut: str) -> DataFrame:
+    """Feature rows per (period, product) for the two periods (date < cut
+    -> 1, else 2) from ONE scan, dedup and roll-up of the transactions."""
+    periods = tx.withColumn("period", F.when(F.col("date") < F.lit(cut).cast("date"), F.lit(1))
+                            .otherwise(F.lit(2)))
+    clean = periods.filter(F.col(PRODUCT_ID).isNotNull()).dropDuplicates()
+    feats = product_features(clean, by=("period", PRODUCT_ID))
+    return complete_rows(join_master(feats, master, extra=("period",)))
+
+
+def label_periods(period_feats: DataFrame,
                   centers: Sequence[Sequence[float]] = FIXED_CENTERS) -> tuple[DataFrame, DataFrame]:
-    """Label the products of the two periods (date < cut, date >= cut)
-    with the same centers and the same scaling (the first period's
-    statistics), so a changed label means changed behaviour."""
-    clean = tx.filter(F.col(PRODUCT_ID).isNotNull()).dropDuplicates()
-    before = complete_rows(join_master(product_features(clean.filter(F.col("date") < F.lit(cut).cast("date"))),
-                                       master))
-    after = complete_rows(join_master(product_features(clean.filter(F.col("date") >= F.lit(cut).cast("date"))),
-                                      master))
+    """Label both periods with the same centers and the same scaling (the
+    first period's statistics), so a changed label means changed
+    behaviour.  Materialise ``period_feats`` first: it is read three times."""
+    before = period_feats.filter(F.col("period") == 1).drop("period")
+    after = period_feats.filter(F.col("period") == 2).drop("period")
     lb = label_fixed(standardise(before, MODEL_FEATURES), centers)
     la = label_fixed(standardise(after, MODEL_FEATURES, stats_from=before), centers)
     return lb, la
 
 
+def period_labels(tx: DataFrame, master: DataFrame, cut: str,
+                  centers: Sequence[Sequence[float]] = FIXED_CENTERS) -> tuple[DataFrame, DataFrame]:
+    """:func:`period_features` + :func:`label_periods` (lazy, no materialisation)."""
+    return label_periods(period_features(tx, master, cut), centers)
+
+
 def segment_transitions(before: DataFrame, after: DataFrame, label: str = "cluster") -> DataFrame:
     """Per product the label before and after (full outer join: a
     product may appear or vanish), as a product-level table."""

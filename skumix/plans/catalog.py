@@ -406,8 +406,9 @@ def x1_history_coverage(spark, sf):
 
 
 def _transitions(spark, sf):
-    before, after = history.period_labels(tables.transactions(spark, sf), tables.product_master(spark, sf),
-                                          PERIOD_CUT)
+    pf = materialised(spark, sf, f"period_features:{PERIOD_CUT}", lambda: history.period_features(
+        tables.transactions(spark, sf), tables.product_master(spark, sf), PERIOD_CUT))
+    before, after = history.label_periods(pf)
     return history.segment_transitions(before, after)
 
 

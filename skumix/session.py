@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "skumix") -> SparkSession:
+                  app_name: str = "skumix", event_log_dir: str | None = None) -> SparkSession:
     """A session tuned the way the library expects to run.
 
     AQE re-plans joins and coalesces/splits partitions at runtime; the
@@ -29,6 +29,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log_dir:  # stage/task timings without a UI: read the JSON log afterwards
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
