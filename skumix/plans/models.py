@@ -44,7 +44,7 @@ class ModelInput:
 
 
 def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURES,
-                        rows_per_partition: int = 250_000, max_partitions: int = 65_536,
+                        rows_per_partition: int = 1_000_000, max_partitions: int = 65_536,
                         checkpoint: bool = True) -> ModelInput:
     """Complete rows -> reliable checkpoint -> fixed hash partitioning by
     product id, sorted inside partitions -> vector -> scaled -> cached.
