@@ -89,3 +89,25 @@ def test_fused_roll_up_equals_two_step(spark):
     a = feat.rolled_up_clean(tx)
     b = feat.product_features(feat.clean_transactions(tx))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_approximate_distinct_option_close(spark):
+    rows = [(i // 3, i % 3, i % 7, (i * 13) % 401, 1) for i in range(6000)]
+    tx = spark.createDataFrame(rows, TX)
+    exact = {r.product_id: r for r in feat.product_features(tx).collect()}
+    approx = {r.product_id: r for r in feat.product_features(tx, approx_rsd=0.01).collect()}
+    for pid, e in exact.items():
+        a = approx[pid]
+        assert a.volume == e.volume
+        assert abs(a.order_frequency - e.order_frequency) <= 0.05 * e.order_frequency
+        assert abs(a.unique_customers - e.unique_customers) <= 0.05 * e.unique_customers
+
+
+def test_csv_inferred_schema_roundtrip(spark, tmp_path):
+    from skumix.sources.csv_io import read_csv, write_csv
+    df = spark.createDataFrame([(1, "a", 2.5), (2, "b", 3.0)], "product_id long, product_name string, c double")
+    path = write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, path, infer=True)
+    types = dict(back.dtypes)
+    assert types["product_id"] in ("int", "bigint") and types["c"] == "double"
+    assert sorted(r.product_id for r in back.collect()) == [1, 2]
