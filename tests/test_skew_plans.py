@@ -2,7 +2,6 @@
 the physical plans keep the shapes that spread hot keys."""
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from skumix.operators import features as feat
 from skumix.operators import profile
