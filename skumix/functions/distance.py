@@ -25,11 +25,17 @@ def nearest_center(cols: Sequence[Column], centers: Sequence[Sequence[float]],
     Centers are a handful of literals (k x d numbers), so every row is
     labelled in one codegen'd projection: no cross join with a centers
     table.  Distances are rounded before comparing so that two engines
-    summing in a different order still agree."""
+    summing in a different order still agree.
+
+    The label is declared non-null (-1 would mark a row without
+    coordinates, which complete rows never are): a nullable label joined
+    to anything makes the optimizer infer ``isnotnull(label)`` and push
+    it below the projection, copying the whole distance expression (and
+    any scalar subqueries inside it) into a filter."""
     cands = []
     for i, center in enumerate(centers):
         d = squared_distance(cols, center)
         if decimals is not None:
             d = F.round(d, decimals)
         cands.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
-    return F.array_min(F.array(*cands))["i"]
+    return F.coalesce(F.array_min(F.array(*cands))["i"], F.lit(-1))

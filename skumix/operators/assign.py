@@ -76,15 +76,19 @@ def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str =
     pts = df.select(F.col(label).alias("_c"), *zcols, sq.alias("_sq"), arr.alias("_stats"))
     pts = pts.withColumn("_d", F.transform("_stats", lambda s: F.struct(s["c"].alias("c"), s["n"].alias("n"),
                                                                        dist(s).alias("d"))))
-    own = F.filter(F.col("_d"), lambda s: s["c"] == F.col("_c"))[0]
-    other = F.array_min(F.transform(F.filter(F.col("_d"), lambda s: s["c"] != F.col("_c")), lambda s: s["d"]))
+    pts = pts.select(
+        "_stats",
+        F.filter(F.col("_d"), lambda s: s["c"] == F.col("_c"))[0].alias("_own"),
+        F.array_min(F.transform(F.filter(F.col("_d"), lambda s: s["c"] != F.col("_c")),
+                                lambda s: s["d"])).alias("_other"))
+    own, other = F.col("_own"), F.col("_other")
     a = own["d"] * own["n"] / (own["n"] - F.lit(1.0))
     s = (F.when(own["n"] == 1, F.lit(0.0))
          .when(a < other, F.lit(1.0) - a / other)
          .when(a > other, other / a - F.lit(1.0))
          .otherwise(F.lit(0.0)))
-    res = pts.agg(F.avg(s).alias("silhouette"))
-    sil = F.when(F.size(arr) >= 2, F.col("silhouette"))
+    res = pts.agg(F.avg(s).alias("silhouette"), F.max(F.size("_stats")).alias("_k"))
+    sil = F.when(F.col("_k") >= 2, F.col("silhouette"))
     if decimals is not None:
         sil = F.round(sil, decimals)
     return res.select(sil.alias("silhouette"))

@@ -65,3 +65,21 @@ def test_hot_cluster_profile_exact(spark):
     for c, g in pdf.groupby("cluster"):
         assert got[c].products == len(g)
         assert got[c].mean_volume == g.volume.sum() / len(g)
+
+
+def test_no_query_plan_copies_its_statistics_subqueries(spark):
+    """Every registered query keeps a compact plan: statistics subqueries
+    are attached once, never copied into pushed-down filters."""
+    import re
+
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.001"
+    qs = entry.queries()
+    for name in entry.oracle_sql():
+        if name in ("x3_stream_transition_alerts", "a1_csv_roundtrip", "a5_export_csv", "a6_export_manifest"):
+            continue
+        plan = _plan(qs[name](spark, sf))
+        subq = len(re.findall(r"Subquery subquery", plan))
+        exch = len(re.findall(r"Exchange (hash|Single|range)", plan))
+        assert subq <= 10 and exch <= 10, (name, subq, exch)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
