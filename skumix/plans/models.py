@@ -43,6 +43,17 @@ class ModelInput:
         self.df.unpersist()
 
 
+def model_partitions(n: int, rows_per_partition: int = 1_000_000, min_partitions: int = 4,
+                     min_rows_per_partition: int = 5_000, max_partitions: int = 65_536) -> int:
+    """Partition count for the model input, a function of the row count
+    only (never of the cluster size), so a run repeats anywhere: about
+    ``rows_per_partition`` rows each on big tables, and up to
+    ``min_partitions`` on small ones so a lone fit still runs in parallel."""
+    by_size = math.ceil(n / rows_per_partition)
+    floor = min(min_partitions, math.ceil(n / min_rows_per_partition))
+    return max(1, min(max_partitions, max(by_size, floor)))
+
+
 def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURES,
                         rows_per_partition: int = 1_000_000, max_partitions: int = 65_536,
                         checkpoint: bool = True) -> ModelInput:
@@ -59,7 +70,7 @@ def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURE
         ensure_checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
     n = base.count()
-    parts = max(1, min(max_partitions, math.ceil(n / rows_per_partition)))
+    parts = model_partitions(n, rows_per_partition, max_partitions=max_partitions)
     stable = base.repartition(parts, PRODUCT_ID).sortWithinPartitions(PRODUCT_ID)
     vec = assemble(stable, cols, "features")
     scaler = fit_vector_scaler(vec, "features", FEATURES_COL)

@@ -100,3 +100,10 @@ def test_tiny_k_fewer_centers(spark):
     assert {r["k"] for r in sw.rows} == {2, 5}
     assert len(sw.models[5].clusterCenters()) <= 2
     mi.release()
+
+
+def test_model_partitions_depend_on_rows_only():
+    assert M.model_partitions(2_000) == 1
+    assert M.model_partitions(20_000) == 4
+    assert M.model_partitions(20_000_000_000) == 20_000
+    assert M.model_partitions(10 ** 12) == 65_536
