@@ -42,6 +42,16 @@ class ModelInput:
     def release(self) -> None:
         self.df.unpersist()
 
+    @property
+    def fit_frame(self) -> DataFrame:
+        """What the estimators train on: an uncached projection of the
+        cached input.  MLlib persists its own vector RDD for the length
+        of a fit only when its input is not cached; training on the cached
+        frame itself would convert cached rows back into vectors in every
+        EM/Lloyd iteration (measured: GMM k=6 at sf0.1, 4.1 s vs 6.0 s,
+        identical model)."""
+        return self.df.select(FEATURES_COL)
+
 
 def model_partitions(n: int, rows_per_partition: int = 1_000_000, min_partitions: int = 4,
                      min_rows_per_partition: int = 5_000, max_partitions: int = 65_536) -> int:
@@ -111,7 +121,7 @@ def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> K
     same clustering (every point its own center) with fewer centers."""
     def fit(kk):
         return KMeans(k=kk, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL,
-                      predictionCol=KMEANS_COL).fit(mi.df)
+                      predictionCol=KMEANS_COL).fit(mi.fit_frame)
     try:
         return fit(k)
     except Exception as e:  # Py4JJavaError from the JVM trainer
@@ -150,19 +160,26 @@ def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> Gaus
     """G11 (+C2: labels in ``cluster_gmm``, membership in ``probability_gmm``)."""
     init_lapack(mi.df.sparkSession)
     return GaussianMixture(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL,
-                           predictionCol=GMM_COL, probabilityCol=GMM_PROB_COL).fit(mi.df)
+                           predictionCol=GMM_COL, probabilityCol=GMM_PROB_COL).fit(mi.fit_frame)
+
+
+CONCURRENT_FIT_MAX_ROWS = 50_000_000
 
 
-def default_parallelism(spark, n_items: int) -> int:
-    """Concurrent fits: one per k, up to the cluster's default parallelism.
-    Fits are small sequential jobs, so overlapping them fills idle slots."""
+def default_parallelism(spark, n_items: int, n_rows: int = 0) -> int:
+    """Concurrent fits: one per k, up to the cluster's default parallelism,
+    while the table is small enough that per-iteration job overhead
+    dominates.  Above ``CONCURRENT_FIT_MAX_ROWS`` one fit already fills
+    the cluster, and fits run one at a time (one cached vector copy)."""
+    if n_rows > CONCURRENT_FIT_MAX_ROWS:
+        return 1
     return max(1, min(n_items, max(2, spark.sparkContext.defaultParallelism)))
 
 
-def _pool_map(fn, items, parallelism: int | None, spark=None):
+def _pool_map(fn, items, parallelism: int | None, spark=None, n_rows: int = 0):
     items = list(items)
     if parallelism is None:
-        parallelism = default_parallelism(spark, len(items))
+        parallelism = default_parallelism(spark, len(items), n_rows)
     if parallelism <= 1 or len(items) <= 1:
         return [fn(x) for x in items]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
@@ -186,7 +203,7 @@ def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42,
                 "silhouette": _silhouette(s.predictions, KMEANS_COL, s.clusterSizes),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
-    out = _pool_map(one, ks, parallelism, mi.df.sparkSession)
+    out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.n)
     rows = [r for r, _ in out]
     table = mi.df.sparkSession.createDataFrame(
         [(r["k"], r["inertia"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
@@ -208,7 +225,7 @@ def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max
                 "silhouette": _silhouette(s.predictions, GMM_COL, s.clusterSizes),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
-    out = _pool_map(one, ks, parallelism, mi.df.sparkSession)
+    out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.n)
     rows = [r for r, _ in out]
     table = mi.df.sparkSession.createDataFrame(
         [(r["k"], r["log_likelihood"], r["bic"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
@@ -278,7 +295,8 @@ def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter:
 
     spark = mi.df.sparkSession
     init_lapack(spark)
-    runs = _pool_map(km, seeds, parallelism, spark) + _pool_map(gm, seeds, parallelism, spark)
+    runs = (_pool_map(km, seeds, parallelism, spark, mi.n)
+            + _pool_map(gm, seeds, parallelism, spark, mi.n))
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
     rows = [(m, k, s, v, (m, s) in ((best_km[0], best_km[1]), (best_gm[0], best_gm[1]))) for m, s, v in runs]
