@@ -30,12 +30,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] = ("quantity",)) -> DataFrame:
+def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] = ("quantity",),
+               keep_others: bool = False) -> DataFrame:
     """A4: rename source columns to roles by an explicit name map.
 
     Required roles must be present; optional roles (quantity) are kept
     only when mapped and present.  Never binds by position.  The date
-    role, when given, is cast to a date and its ISO week key derived.
+    role, when given, is cast to a date and its ISO week key derived; a
+    ``week`` role takes an existing week column as is.  ``keep_others``
+    carries every unmapped source column along unchanged, so that a
+    whole-row deduplication still sees them.
     """
     required = [r for r in ("id", "product_id", "customer_id") if r not in roles]
     if required:
@@ -47,9 +51,14 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
         c = F.col(source)
         if role == "date":
             cols.append(c.cast("date").alias("date"))
-            cols.append(week_key(c).alias("week"))
+            if "week" not in roles:
+                cols.append(week_key(c).alias("week"))
         else:
             cols.append(c.alias(role))
+    if keep_others:
+        mapped = set(roles.values())
+        taken = set(roles) | {"date", "week"}
+        cols += [F.col(c) for c in df.columns if c not in mapped and c not in taken]
     return df.select(*cols)
 
 
