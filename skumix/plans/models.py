@@ -234,9 +234,12 @@ def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max
 
 
 def best_of_sweep(table: DataFrame, metric: str, maximize: bool) -> DataFrame:
-    """the row with the best metric (nulls last), ties -> smallest k."""
-    order = F.col(metric).desc_nulls_last() if maximize else F.col(metric).asc_nulls_last()
-    return table.orderBy(order, F.col("k").asc()).limit(1)
+    """the row with the best metric, ties -> smallest k; a null or NaN
+    metric never wins over a number (Spark sorts NaN above all numbers)."""
+    m = F.col(metric)
+    invalid = (m.isNull() | F.isnan(m)).cast("int")
+    order = m.desc() if maximize else m.asc()
+    return table.orderBy(invalid.asc(), order, F.col("k").asc()).limit(1)
 
 
 def pick_best(rows: list[dict], metric: str, maximize: bool) -> dict:

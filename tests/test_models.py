@@ -107,3 +107,12 @@ def test_model_partitions_depend_on_rows_only():
     assert M.model_partitions(20_000) == 4
     assert M.model_partitions(20_000_000_000) == 20_000
     assert M.model_partitions(10 ** 12) == 65_536
+
+
+def test_nan_and_null_metrics_never_win(spark):
+    rows = [(2, float("nan")), (3, 0.4), (4, None), (5, 0.4)]
+    t = spark.createDataFrame(rows, "k int, silhouette double")
+    assert M.best_of_sweep(t, "silhouette", True).first().k == 3
+    assert M.best_of_sweep(t, "silhouette", False).first().k == 3
+    dicts = [{"k": k, "silhouette": v} for k, v in rows]
+    assert M.pick_best(dicts, "silhouette", True)["k"] == 3
