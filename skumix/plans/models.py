@@ -98,7 +98,8 @@ def _silhouette(predictions: DataFrame, prediction_col: str, sizes: Iterable[int
     """G6 via MLlib; null when fewer than two clusters were predicted."""
     if sum(1 for s in sizes if s > 0) < 2:
         return None
-    return float(_evaluator(prediction_col).evaluate(predictions))
+    value = float(_evaluator(prediction_col).evaluate(predictions))
+    return None if math.isnan(value) else value
 
 
 def bic(log_likelihood: float, k: int, d: int, n: int) -> float:
