@@ -91,21 +91,29 @@ def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   one extra copy of every row with id % 20 = 0
 #   master: product id null when p_partkey % 97 = 0,
 #           one extra copy of every row with p_partkey % 89 = 0
+def _copies(n_copies) -> "Column":
+    """Repeat each row ``n_copies`` times in the projection (one scan,
+    no self-union)."""
+    return F.explode(F.sequence(F.lit(1), n_copies)).alias("_copy")
+
+
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir)
     key = F.col("id") * 7 + F.col("line")
-    dirty = tx.select(
+    copies = F.when(F.col("id") % 20 == 0, F.lit(2)).otherwise(F.lit(1))
+    return tx.select(
         "id", "line", "date", "week",
         F.when(key % 50 == 0, F.lit(None)).otherwise(F.col("product_id")).alias("product_id"),
         F.when(key % 41 == 0, F.lit(None)).otherwise(F.col("customer_id")).alias("customer_id"),
-    )
-    return dirty.unionByName(dirty.filter(F.col("id") % 20 == 0))
+        _copies(copies),
+    ).drop("_copy")
 
 
 def dirty_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = product_master(spark, sf_dir)
-    dirty = m.select(
-        F.when(F.col("product_id") % 97 == 0, F.lit(None)).otherwise(F.col("product_id")).alias("product_id"),
-        "product_name",
-    )
-    return dirty.unionByName(m.filter(F.col("product_id") % 89 == 0))
+    pid = F.col("product_id")
+    # the extra copy keeps its original id, the first copy may be nulled
+    return (m.select("product_id", "product_name",
+                     _copies(F.when(pid % 89 == 0, F.lit(2)).otherwise(F.lit(1))))
+            .select(F.when((pid % 97 == 0) & (F.col("_copy") == 1), F.lit(None)).otherwise(pid)
+                    .alias("product_id"), "product_name"))
