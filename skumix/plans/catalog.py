@@ -219,9 +219,10 @@ def f3_preview(spark, sf):
 
 def fixed_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Complete feature rows, standardised (column form) and labelled by
-    the fixed centers: deterministic labels for every exact check."""
-    f = scale.complete_rows(clean_features(spark, sf))
-    return assign.label_fixed(scale.standardise(f))
+    the fixed centers: deterministic labels for every exact check.
+    Materialised once per run (a per-product table) and shared."""
+    return materialised(spark, sf, "fixed_labelled", lambda: assign.label_fixed(
+        scale.standardise(scale.complete_rows(clean_features(spark, sf)))))
 
 
 def fixed_names(spark: SparkSession, sf: str) -> DataFrame:
