@@ -41,8 +41,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a private folder is only created
-    when the session has none (local tests).
+    The cluster's setting always wins.  Only a local-mode session without
+    one (tests) gets a private temporary folder; on a cluster a
+    machine-local folder would not survive a lost executor, so the
+    setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                               "skumix checkpoints its per-product tables there")
         configured = tempfile.mkdtemp(prefix="skumix-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
