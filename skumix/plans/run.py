@@ -46,6 +46,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     for role, col in DEFAULT_COLUMNS.items():
         p.add_argument(f"--{role.replace('_', '-')}", default=col, help=f"column holding {role}")
     p.add_argument("--date", default=None, help="date column; the week is derived from it")
+    p.add_argument("--approx-distinct", type=float, default=None, metavar="RSD",
+                   help="HyperLogLog distinct counts at this relative std. deviation (default: exact)")
     p.add_argument("--k-min", type=int, default=2)
     p.add_argument("--k-max", type=int, default=10)
     p.add_argument("--seed", type=int, default=42)
@@ -91,7 +93,7 @@ def main(argv=None) -> dict:
         out("weeks", quality.distinct_values(quality.null_key_filter(tx), "week"))
 
     # features (D4 + E1), materialised once
-    features = feat.feature_table(tx, master).checkpoint(eager=True)
+    features = feat.feature_table(tx, master, approx_rsd=a.approx_distinct).checkpoint(eager=True)
     out("features", features)
     out("null_counts", quality.null_counts(features))
     out("describe", stats.describe(features, median=True))
