@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import CONCENTRATION, FREQUENCY, PRODUCT_ID, PRODUCT_NAME, VOLUME
@@ -115,7 +115,6 @@ def top_products(labelled: DataFrame, n: int = 5, label: str = "cluster") -> Dat
 
     ``row_number() <= n`` is planned with a map-side WindowGroupLimit,
     so each task forwards at most n rows per cluster to the shuffle."""
-    from pyspark.sql import Window
     w = Window.partitionBy(label).orderBy(F.col(VOLUME).desc(), F.col(PRODUCT_ID).asc())
     return (labelled.select(label, PRODUCT_ID, PRODUCT_NAME, VOLUME, FREQUENCY)
             .withColumn("rank", F.row_number().over(w))

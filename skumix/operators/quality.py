@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _rows(structs: list[Column], host: DataFrame) -> DataFrame:
-    """Explode a one-row aggregate of structs into rows."""
-    return host.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+def _long_form(df: DataFrame, structs: list[Column]) -> DataFrame:
+    """One aggregation producing an array of structs, exploded into rows."""
+    return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
 
 
 _TYPE_NAMES = {"bigint": "bigint", "int": "integer", "string": "string", "double": "double",
@@ -24,7 +24,7 @@ def table_profile(df: DataFrame) -> DataFrame:
                         .alias("data_type"),
                         n.alias("n_rows"))
                for i, f in enumerate(df.schema.fields)]
-    return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
+    return _long_form(df, structs)
 
 
 def preview(df: DataFrame, key: str | list[str], n: int = 5) -> DataFrame:
@@ -98,4 +98,4 @@ def null_counts(df: DataFrame) -> DataFrame:
     structs = [F.struct(F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal"),
                         F.count_if(F.col(c).isNull()).alias("null_count"))
                for i, c in enumerate(df.columns)]
-    return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
+    return _long_form(df, structs)
