@@ -75,6 +75,11 @@ def a2_table_profile(spark, sf):
     return quality.table_profile(tables.transactions(spark, sf))
 
 
+@query("a2_preview_transactions")
+def a2_preview_transactions(spark, sf):
+    return quality.preview(tables.transactions(spark, sf), ["id", "line"], 5)
+
+
 @query("a3_column_range")
 def a3_column_range(spark, sf):
     return quality.column_range(tables.transactions(spark, sf), "date")
