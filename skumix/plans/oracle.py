@@ -396,4 +396,5 @@ ORACLE["g4_lloyd_step_fixed"] = LABELLED + "\n" + "\nUNION ALL\n".join(
     f"SELECT cluster, 'z_{f}' AS feature, round(avg(z_{f}), 6) + 0.0 AS center, count(*) AS members "
     f"FROM lab GROUP BY cluster" for f in ZF)
 
-ORACLE["a2_preview_transactions"] = "WITH " + TX + "\nSELECT * FROM tx ORDER BY id, line LIMIT 5"
+ORACLE["a2_preview_transactions"] = ("WITH " + TX + "\nSELECT * FROM tx "
+                                     "ORDER BY id, line, date, week, product_id, customer_id LIMIT 5")
