@@ -116,3 +116,15 @@ def test_nan_and_null_metrics_never_win(spark):
     assert M.best_of_sweep(t, "silhouette", False).first().k == 3
     dicts = [{"k": k, "silhouette": v} for k, v in rows]
     assert M.pick_best(dicts, "silhouette", True)["k"] == 3
+
+
+def test_concurrent_sweeps_repeat_exactly(spark):
+    mi = M.prepare_model_input(clean_features(spark, SF), checkpoint=False)
+    a = M.kmeans_sweep(mi, ks=(2, 3, 4, 5), max_iter=20)
+    b = M.kmeans_sweep(mi, ks=(2, 3, 4, 5), max_iter=20, parallelism=1)
+    assert [(r["k"], r["inertia"], r["silhouette"]) for r in a.rows] == \
+        [(r["k"], r["inertia"], r["silhouette"]) for r in b.rows]
+    g1 = M.gmm_sweep(mi, ks=(2, 3), max_iter=15)
+    g2 = M.gmm_sweep(mi, ks=(2, 3), max_iter=15)
+    assert [(r["k"], r["log_likelihood"]) for r in g1.rows] == [(r["k"], r["log_likelihood"]) for r in g2.rows]
+    mi.release()
