@@ -8,6 +8,7 @@ jobs overlap instead of queueing."""
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -155,9 +156,15 @@ def init_lapack(spark) -> None:
     if _LAPACK_READY:
         return
     try:
-        spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S")
+        safe_min = float(spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S"))
     except Exception:  # native LAPACK or another build: nothing to initialise
-        pass
+        _LAPACK_READY = True
+        return
+    if safe_min != sys.float_info.min:
+        # an earlier concurrent first use left wrong constants in this JVM;
+        # EM would then spin in dlascl, so fail fast instead
+        raise RuntimeError(f"LAPACK machine constants are corrupt in this JVM (safe minimum {safe_min!r}); "
+                           "restart the session or install a native LAPACK")
     _LAPACK_READY = True
 
 
