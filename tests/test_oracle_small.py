@@ -31,3 +31,13 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["product_id", "product_name", "volume", "order_frequency", "unique_customers",
                           "concentration", "cluster_kmeans", "cluster_gmm", "segment"]
+
+
+def test_every_query_has_unique_columns_and_rows(spark):
+    """The driver sorts columns by name before hashing: names must be
+    unique; rows-only (model) queries must still return rows."""
+    qs = entry.queries()
+    for name in sorted(set(qs) - set(ORACLE)):
+        df = qs[name](spark, SF)
+        assert len(set(df.columns)) == len(df.columns), name
+        assert df.count() > 0, name
