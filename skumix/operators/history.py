@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import MODEL_FEATURES, PRODUCT_ID
 from .assign import FIXED_CENTERS, label_fixed
-from .features import join_master, product_features
+from .features import clean_transactions, join_master, product_features
 from .scale import complete_rows, standardise
 
 MIN_WEEKS = 12  # fixed value: weeks of history the analysis asks for
@@ -30,7 +30,7 @@ def period_features(tx: DataFrame, master: DataFrame, cut: str) -> DataFrame:
     -> 1, else 2) from ONE scan, dedup and roll-up of the transactions."""
     periods = tx.withColumn("period", F.when(F.col("date") < F.lit(cut).cast("date"), F.lit(1))
                             .otherwise(F.lit(2)))
-    clean = periods.filter(F.col(PRODUCT_ID).isNotNull()).dropDuplicates()
+    clean = clean_transactions(periods)
     feats = product_features(clean, by=("period", PRODUCT_ID))
     return complete_rows(join_master(feats, master, extra=("period",)))
 

@@ -25,6 +25,11 @@ TPCH_TRANSACTION_ROLES = {
 
 TRANSACTION_COLUMNS = ("id", "line", "date", "week", "product_id", "customer_id")
 
+# Schema metadata marking a column computed from another one (the ISO week
+# of the date): a whole-row dedup may drop it before shuffling and
+# re-derive it afterwards without changing the result.
+DERIVED_WEEK = {"skumix.derived": "iso_week_of_date"}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -52,7 +57,7 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
         if role == "date":
             cols.append(c.cast("date").alias("date"))
             if "week" not in roles:
-                cols.append(week_key(c).alias("week"))
+                cols.append(week_key(c).alias("week", metadata=DERIVED_WEEK))
         else:
             cols.append(c.alias(role))
     if keep_others:
