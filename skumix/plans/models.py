@@ -312,8 +312,9 @@ def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter:
 
     spark = mi.df.sparkSession
     init_lapack(spark)
-    runs = (_pool_map(km, seeds, parallelism, spark, mi.n)
-            + _pool_map(gm, seeds, parallelism, spark, mi.n))
+    # all 2 x n_init fits in one pool: they are independent and latency-bound
+    runs = _pool_map(lambda job: job[0](job[1]), [(km, s) for s in seeds] + [(gm, s) for s in seeds],
+                     parallelism, spark, mi.n)
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
     rows = [(m, k, s, v, (m, s) in ((best_km[0], best_km[1]), (best_gm[0], best_gm[1]))) for m, s, v in runs]

@@ -128,3 +128,13 @@ def test_concurrent_sweeps_repeat_exactly(spark):
     g2 = M.gmm_sweep(mi, ks=(2, 3), max_iter=15)
     assert [(r["k"], r["log_likelihood"]) for r in g1.rows] == [(r["k"], r["log_likelihood"]) for r in g2.rows]
     mi.release()
+
+
+def test_restarts_choose_best_run_per_model(seg):
+    t = M.restarts(seg.input, 3, n_init=3, max_iter=10).collect()
+    assert len(t) == 6
+    for model, better in (("K-means", min), ("GMM", max)):
+        runs = [r for r in t if r.model == model]
+        chosen = [r for r in runs if r.chosen]
+        assert len(chosen) == 1
+        assert chosen[0].score == better(r.score for r in runs)
