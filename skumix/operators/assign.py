@@ -42,7 +42,7 @@ def inertia(df: DataFrame, centers: Sequence[Sequence[float]] = FIXED_CENTERS,
 
 
 def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str = "cluster",
-                       decimals: int | None = 6) -> DataFrame:
+                       decimals: int | None = 6, weight: str | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance, as MLlib's
     ClusteringEvaluator defines it, in closed form.
 
@@ -51,15 +51,22 @@ def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str =
     cluster it is scaled by N_c/(N_c - 1); a singleton scores 0.  The k
     cluster rows are folded into one array (bounded by k) and attached
     to every point as a scalar subquery, then all work is a projection
-    plus one global average.  Null when fewer than two clusters."""
+    plus one global average.  Null when fewer than two clusters.
+
+    ``weight`` is a multiplicity: a row standing for w identical points
+    gives exactly the silhouette of the table with each row repeated w
+    times (cluster sizes and sums count copies; a point's own-cluster
+    mean excludes only itself), so models fitted on distinct points are
+    scored as if on every product."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
     sq = None
     for c in zcols:
         t = F.col(c) * F.col(c)
         sq = t if sq is None else sq + t
     stats = df.groupBy(label).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        *[F.sum(c).alias(f"y{i}") for i, c in enumerate(zcols)],
-        F.sum(sq).alias("psi"),
+        F.sum(w).alias("n"),
+        *[F.sum(w * F.col(c)).alias(f"y{i}") for i, c in enumerate(zcols)],
+        F.sum(w * sq).alias("psi"),
     )
     arr = stats.agg(F.collect_list(F.struct(F.col(label).alias("c"), "n", "psi",
                                             *[f"y{i}" for i in range(len(zcols))])).alias("a")).scalar()
@@ -73,11 +80,11 @@ def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str =
 
     # the stats array becomes a column first: higher-order functions may
     # not contain a subquery themselves
-    pts = df.select(F.col(label).alias("_c"), *zcols, sq.alias("_sq"), arr.alias("_stats"))
+    pts = df.select(F.col(label).alias("_c"), *zcols, sq.alias("_sq"), w.alias("_w"), arr.alias("_stats"))
     pts = pts.withColumn("_d", F.transform("_stats", lambda s: F.struct(s["c"].alias("c"), s["n"].alias("n"),
                                                                        dist(s).alias("d"))))
     pts = pts.select(
-        "_stats",
+        "_stats", "_w",
         F.filter(F.col("_d"), lambda s: s["c"] == F.col("_c"))[0].alias("_own"),
         F.array_min(F.transform(F.filter(F.col("_d"), lambda s: s["c"] != F.col("_c")),
                                 lambda s: s["d"])).alias("_other"))
@@ -87,7 +94,8 @@ def silhouette_squared(df: DataFrame, zcols: Sequence[str] = ZCOLS, label: str =
          .when(a < other, F.lit(1.0) - a / other)
          .when(a > other, other / a - F.lit(1.0))
          .otherwise(F.lit(0.0)))
-    res = pts.agg(F.avg(s).alias("silhouette"), F.max(F.size("_stats")).alias("_k"))
+    res = pts.agg((F.sum(F.col("_w") * s) / F.sum("_w")).alias("silhouette"),
+                  F.max(F.size("_stats")).alias("_k"))
     sil = F.when(F.col("_k") >= 2, F.col("silhouette"))
     if decimals is not None:
         sil = F.round(sil, decimals)

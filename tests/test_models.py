@@ -138,3 +138,51 @@ def test_restarts_choose_best_run_per_model(seg):
         chosen = [r for r in runs if r.chosen]
         assert len(chosen) == 1
         assert chosen[0].score == better(r.score for r in runs)
+
+
+def test_distinct_point_training_scores_every_product(seg, spark):
+    """Fits on weighted distinct points: the silhouette equals MLlib's
+    evaluator over every product, and every product gets a label."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    mi = seg.input
+    assert mi.weighted and mi.n_points < mi.n
+    assert mi.points.agg(F.sum(M.WEIGHT_COL)).first()[0] == mi.n
+    # silhouette of the chosen K-means model, over all products
+    full = seg.kmeans_model.transform(mi.df)
+    ref = ClusteringEvaluator(featuresCol=M.FEATURES_COL, predictionCol=M.KMEANS_COL).evaluate(full)
+    assert seg.kmeans_best["silhouette"] == pytest.approx(ref, abs=1e-9)
+    assert seg.scored.count() == mi.n
+
+
+def test_unweighted_training_still_available(spark):
+    mi = M.prepare_model_input(clean_features(spark, SF), checkpoint=False, distinct_points=False)
+    assert not mi.weighted and mi.fit_rows == mi.n
+    sw = M.kmeans_sweep(mi, ks=(2, 3), max_iter=10)
+    assert all(-1 <= r["silhouette"] <= 1 for r in sw.rows)
+    mi.release()
+
+
+def test_weighted_gmm_likelihood_counts_copies(spark):
+    """On a converging fixture with many duplicate points, the weighted
+    fit's log-likelihood equals the one over every (repeated) row."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    base = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.1), (2, 2, 1.1), (20, 20, 3.0), (21, 20, 3.1), (20, 21, 3.0),
+            (21, 21, 3.2)]
+    rows = [(i, "p", v, f, 1, c) for i, (v, f, c) in enumerate(base * 25)]
+    df = spark.createDataFrame(rows, "product_id long, product_name string, volume long, order_frequency long, "
+                                     "unique_customers long, concentration double")
+    mi = M.prepare_model_input(df, checkpoint=False)
+    assert mi.weighted and mi.n_points == len(base) and mi.n == len(rows)
+    g = M.GaussianMixture(k=2, seed=42, maxIter=500, tol=1e-10, featuresCol=M.FEATURES_COL,
+                          weightCol=M.WEIGHT_COL).fit(mi.fit_frame)
+    x = np.array([r[0] for r in mi.df.select(vector_to_array(M.FEATURES_COL)).collect()])
+    dens = np.zeros(len(x))
+    for w, gauss in zip(g.weights, g.gaussians):
+        mu, cov = gauss.mean.toArray(), gauss.cov.toArray()
+        diff = x - mu
+        sign, logdet = np.linalg.slogdet(cov)
+        q = np.einsum("ij,jk,ik->i", diff, np.linalg.inv(cov), diff)
+        dens += w * np.exp(-0.5 * (q + logdet + x.shape[1] * np.log(2 * np.pi)))
+    assert g.summary.logLikelihood == pytest.approx(float(np.sum(np.log(dens))), rel=1e-3)
+    mi.release()
