@@ -135,7 +135,7 @@ def _evaluator(prediction_col: str) -> ClusteringEvaluator:
 
 
 def _silhouette(predictions: DataFrame, prediction_col: str, sizes: Iterable[int],
-                weighted: bool = False) -> float | None:
+                weighted: bool = False, dims: int = len(MODEL_FEATURES)) -> float | None:
     """G6; null when fewer than two clusters were predicted.
 
     Unweighted input: MLlib's evaluator.  Distinct points: the closed form
@@ -147,7 +147,7 @@ def _silhouette(predictions: DataFrame, prediction_col: str, sizes: Iterable[int
     if weighted:
         from pyspark.ml.functions import vector_to_array
         a = vector_to_array(FEATURES_COL)
-        zc = [f"_z{i}" for i in range(3)]
+        zc = [f"_z{i}" for i in range(dims)]
         flat = predictions.select(*[a[i].alias(z) for i, z in enumerate(zc)],
                                   F.col(prediction_col).alias("_label"), F.col(WEIGHT_COL))
         value = silhouette_squared(flat, zc, "_label", decimals=None, weight=WEIGHT_COL).first()[0]
@@ -271,7 +271,8 @@ def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42,
         m = fit_kmeans(mi, k, seed, max_iter)
         s = m.summary
         return {"k": k, "inertia": float(s.trainingCost),
-                "silhouette": _silhouette(s.predictions, KMEANS_COL, s.clusterSizes, mi.weighted),
+                "silhouette": _silhouette(s.predictions, KMEANS_COL, s.clusterSizes, mi.weighted,
+                                          len(mi.features)),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
     out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.fit_rows)
@@ -293,7 +294,8 @@ def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max
         s = m.summary
         ll = float(s.logLikelihood)
         return {"k": k, "log_likelihood": ll, "bic": bic(ll, k, d, mi.n),
-                "silhouette": _silhouette(s.predictions, GMM_COL, s.clusterSizes, mi.weighted),
+                "silhouette": _silhouette(s.predictions, GMM_COL, s.clusterSizes, mi.weighted,
+                                          len(mi.features)),
                 "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
 
     out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.fit_rows)
