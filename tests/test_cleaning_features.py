@@ -111,3 +111,21 @@ def test_csv_inferred_schema_roundtrip(spark, tmp_path):
     types = dict(back.dtypes)
     assert types["product_id"] in ("int", "bigint") and types["c"] == "double"
     assert sorted(r.product_id for r in back.collect()) == [1, 2]
+
+
+def test_derived_week_rederived_after_dedup(spark):
+    import datetime as dt
+    from skumix.sources.tables import bind_roles
+    src = spark.createDataFrame(
+        [(1, 10, 5, dt.date(2020, 12, 31)), (1, 10, 5, dt.date(2020, 12, 31)), (2, 10, 6, dt.date(2021, 1, 4))],
+        "oid long, pid long, cid long, d date")
+    tx = bind_roles(src, {"id": "oid", "product_id": "pid", "customer_id": "cid", "date": "d"})
+    assert tx.schema["week"].metadata.get("skumix.derived") == "iso_week_of_date"
+    out = feat.clean_transactions(tx)
+    assert out.columns == tx.columns
+    got = sorted((r.id, r.week) for r in out.collect())
+    assert got == [(1, 202053), (2, 202101)]   # ISO week-year: 2020-12-31 is week 53 of 2020
+    # a week that is not derived from the date stays part of the row identity
+    tx2 = bind_roles(src.withColumn("w", F.lit(7)), {"id": "oid", "product_id": "pid", "customer_id": "cid",
+                                                      "week": "w"})
+    assert feat.clean_transactions(tx2).count() == 2
