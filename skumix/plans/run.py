@@ -39,6 +39,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--products", required=True, help="product master file or folder")
     p.add_argument("--transactions", required=True, help="transaction file or folder")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    p.add_argument("--checkpoint-dir", default=None,
+                   help="shared folder for checkpoints when the session has no spark.checkpoint.dir")
     p.add_argument("--input-format", default="csv", choices=("csv", "parquet"))
     p.add_argument("--output-format", default="csv", choices=("csv", "parquet"))
     p.add_argument("--infer-schema", action=argparse.BooleanOptionalAction, default=True,
@@ -64,6 +66,8 @@ def _read(spark: SparkSession, path: str, fmt: str, infer: bool) -> DataFrame:
 def main(argv=None) -> dict:
     a = parse_args(argv)
     spark = SparkSession.builder.appName("skumix").getOrCreate()
+    if a.checkpoint_dir and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(a.checkpoint_dir)
     ensure_checkpoint_dir(spark)
     products = _read(spark, a.products, a.input_format, a.infer_schema)
     raw_tx = _read(spark, a.transactions, a.input_format, a.infer_schema)
