@@ -29,3 +29,22 @@ def test_cli_end_to_end(spark, tmp_path):
     seg = spark.read.option("header", True).csv(str(out / "segments"))
     assert seg.count() == expected
     assert {"cluster_kmeans", "cluster_gmm", "segment"} <= set(seg.columns)
+
+
+def test_cli_parquet_date_and_approx(spark, tmp_path):
+    prod = tables.product_master(spark, SF).select(F.col("product_id").alias("pid"),
+                                                    F.col("product_name").alias("pname"))
+    tx = tables.transactions(spark, SF).select(
+        F.col("id").alias("order_id"), F.col("product_id").alias("pid"), F.col("customer_id").alias("cust"),
+        F.col("date").alias("day"), F.col("line"))
+    prod.write.parquet(str(tmp_path / "p"))
+    tx.write.parquet(str(tmp_path / "t"))
+    out = tmp_path / "out"
+    summary = run.main(["--products", str(tmp_path / "p"), "--transactions", str(tmp_path / "t"),
+                        "--out", str(out), "--input-format", "parquet", "--output-format", "parquet",
+                        "--product-id", "pid", "--product-name", "pname", "--id", "order_id",
+                        "--customer-id", "cust", "--date", "day", "--approx-distinct", "0.02",
+                        "--k-max", "3", "--max-iter", "10"])
+    assert summary["products"] == tables.product_master(spark, SF).count()
+    weeks = spark.read.parquet(str(out / "weeks"))
+    assert weeks.count() > 0 and weeks.columns == ["week"]
