@@ -193,7 +193,7 @@ def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> K
         return fit(d)
 
 
-_LAPACK_READY = False
+_LAPACK_READY: set[int] = set()   # py4j gateways (JVMs) already initialised
 
 
 def init_lapack(spark) -> None:
@@ -206,20 +206,20 @@ def init_lapack(spark) -> None:
     at the same moment can read zeros, and ``dlascl`` then loops forever.
     One call from a single thread computes them for the whole JVM (in
     local mode the executors share it)."""
-    global _LAPACK_READY
-    if _LAPACK_READY:
+    jvm_key = id(spark.sparkContext._gateway)
+    if jvm_key in _LAPACK_READY:
         return
     try:
         safe_min = float(spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S"))
     except Exception:  # native LAPACK or another build: nothing to initialise
-        _LAPACK_READY = True
+        _LAPACK_READY.add(jvm_key)
         return
     if safe_min != sys.float_info.min:
         # an earlier concurrent first use left wrong constants in this JVM;
         # EM would then spin in dlascl, so fail fast instead
         raise RuntimeError(f"LAPACK machine constants are corrupt in this JVM (safe minimum {safe_min!r}); "
                            "restart the session or install a native LAPACK")
-    _LAPACK_READY = True
+    _LAPACK_READY.add(jvm_key)
 
 
 def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> GaussianMixtureModel:
