@@ -39,14 +39,17 @@ class ModelInput:
     df: DataFrame
     n: int
     partitions: int
-    scaler: StandardScalerModel
+    scaler: StandardScalerModel | None
     features: tuple[str, ...]
     cached: DataFrame | None = None
     points: DataFrame | None = None   # distinct scaled points + multiplicity, cached
     n_points: int = 0
+    mean: tuple[float, ...] = ()      # per-feature scaling statistics (sample std)
+    std: tuple[float, ...] = ()
 
     def release(self) -> None:
-        (self.cached if self.cached is not None else self.df).unpersist()
+        if self.cached is not None:
+            self.cached.unpersist()
         if self.points is not None:
             self.points.unpersist()
 
@@ -107,6 +110,8 @@ def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURE
     if checkpoint:
         ensure_checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
+    if distinct_points:
+        return _distinct_point_input(base, tuple(cols), rows_per_partition, max_partitions)
     n = base.count()
     parts = model_partitions(n, rows_per_partition, max_partitions=max_partitions)
     stable = base.repartition(parts, PRODUCT_ID).sortWithinPartitions(PRODUCT_ID)
@@ -117,16 +122,47 @@ def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURE
     vec.count()
     scaler = fit_vector_scaler(vec, "features", FEATURES_COL)
     scaled = scaler.transform(vec)
-    if not distinct_points:
-        return ModelInput(scaled, n, parts, scaler, tuple(cols), cached=vec)
-    grouped = vec.groupBy(*cols).agg(F.count(F.lit(1)).alias(WEIGHT_COL))
+    return ModelInput(scaled, n, parts, scaler, tuple(cols), cached=vec,
+                      mean=tuple(float(x) for x in scaler.mean.toArray()),
+                      std=tuple(float(x) for x in scaler.std.toArray()))
+
+
+def _scaled_vector(df: DataFrame, cols: Sequence[str], mean, std) -> DataFrame:
+    """Append ``features_scaled`` = ((x - mean) / std, 0 where std is 0)."""
+    z = [F.lit(0.0) if sd == 0 else (F.col(c).cast("double") - F.lit(mu)) / F.lit(sd)
+         for c, mu, sd in zip(cols, mean, std)]
+    from pyspark.ml.functions import array_to_vector
+    return df.withColumn(FEATURES_COL, array_to_vector(F.array(*z)))
+
+
+def _distinct_point_input(base: DataFrame, cols: tuple[str, ...], rows_per_partition: int,
+                          max_partitions: int) -> ModelInput:
+    """Distinct points weighted by multiplicity, without shuffling or
+    caching the product table: one grouping (map-side combined) gives the
+    points, which are placed deterministically and cached; the scaling
+    statistics (mean, sample std over all products) come from the
+    weighted points in a fixed order, so a run repeats exactly; the
+    product table stays a projection of the checkpoint and is read once
+    more, to label every product."""
+    grouped = base.groupBy(*cols).agg(F.count(F.lit(1)).alias(WEIGHT_COL))
     n_points = grouped.count()
     pparts = model_partitions(n_points, rows_per_partition, max_partitions=max_partitions)
-    points = scaler.transform(assemble(
-        grouped.repartition(pparts, *cols).sortWithinPartitions(*cols), cols, "features"))
-    points = points.select(*cols, FEATURES_COL, WEIGHT_COL).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = (grouped.repartition(pparts, *cols).sortWithinPartitions(*cols)
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    w = F.col(WEIGHT_COL).cast("double")
+    first = pts.agg(F.sum(w).alias("n"), *[F.sum(w * F.col(c)).alias(c) for c in cols]).first()
+    n = int(first["n"])
+    mean = tuple(float(first[c]) / n for c in cols)
+    second = pts.agg(*[F.sum(w * (F.col(c) - F.lit(mu)) * (F.col(c) - F.lit(mu))).alias(c)
+                       for c, mu in zip(cols, mean)]).first()
+    std = tuple(math.sqrt(float(second[c]) / (n - 1)) if n > 1 else 0.0 for c in cols)
+    points = _scaled_vector(pts, cols, mean, std).select(*cols, FEATURES_COL, WEIGHT_COL)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     points.count()
-    return ModelInput(scaled, n, parts, scaler, tuple(cols), cached=vec, points=points, n_points=n_points)
+    pts.unpersist()
+    full = _scaled_vector(base, cols, mean, std)
+    return ModelInput(full, n, base.rdd.getNumPartitions(), None, cols, cached=None, points=points,
+                      n_points=n_points, mean=mean, std=std)
 
 
 def _evaluator(prediction_col: str) -> ClusteringEvaluator:
@@ -337,7 +373,7 @@ def recommend(km_silhouette: float | None, gmm_silhouette: float | None) -> str:
 
 def kmeans_centers(model: KMeansModel, mi: ModelInput) -> DataFrame:
     """Centers as rows (cluster, feature, scaled, unscaled)."""
-    mean, std = mi.scaler.mean.toArray(), mi.scaler.std.toArray()
+    mean, std = mi.mean, mi.std
     rows = []
     for i, c in enumerate(model.clusterCenters()):
         for j, f in enumerate(mi.features):
@@ -347,7 +383,7 @@ def kmeans_centers(model: KMeansModel, mi: ModelInput) -> DataFrame:
 
 def gmm_components(model: GaussianMixtureModel, mi: ModelInput) -> DataFrame:
     """(component, weight, mean per feature, scaled and unscaled)."""
-    mean, std = mi.scaler.mean.toArray(), mi.scaler.std.toArray()
+    mean, std = mi.mean, mi.std
     rows = []
     for i, (w, g) in enumerate(zip(model.weights, model.gaussians)):
         mu = g.mean.toArray()
