@@ -186,3 +186,14 @@ def test_weighted_gmm_likelihood_counts_copies(spark):
         dens += w * np.exp(-0.5 * (q + logdet + x.shape[1] * np.log(2 * np.pi)))
     assert g.summary.logLikelihood == pytest.approx(float(np.sum(np.log(dens))), rel=1e-3)
     mi.release()
+
+
+def test_weighted_scaling_statistics_equal_standard_scaler(spark):
+    f = clean_features(spark, SF)
+    weighted = M.prepare_model_input(f, checkpoint=False)
+    per_row = M.prepare_model_input(f, checkpoint=False, distinct_points=False)
+    assert weighted.n == per_row.n
+    for a, b in zip(weighted.mean + weighted.std, per_row.mean + per_row.std):
+        assert a == pytest.approx(b, rel=1e-12)
+    weighted.release()
+    per_row.release()
