@@ -7,17 +7,11 @@ from pyspark.sql import functions as F
 
 from .. import CONCENTRATION, CUSTOMERS, FREQUENCY, PRODUCT_ID, PRODUCT_NAME, VOLUME
 from ..functions.columns import concentration_ratio, smoothed_concentration
+from ..sources.tables import DERIVED_WEEK, derived_week
 
 FEATURE_COLUMNS = (PRODUCT_ID, PRODUCT_NAME, VOLUME, FREQUENCY, CUSTOMERS, CONCENTRATION)
 
 
-def _derived_week(tx: DataFrame) -> str | None:
-    for f in tx.schema.fields:
-        if (f.metadata or {}).get("skumix.derived") == "iso_week_of_date" and "date" in tx.columns:
-            return f.name
-    return None
-
-
 def clean_transactions(tx: DataFrame, key: str = PRODUCT_ID) -> DataFrame:
     """B1 + B4: drop rows with a null product id, then whole-row dedup.
 
@@ -29,11 +23,10 @@ def clean_transactions(tx: DataFrame, key: str = PRODUCT_ID) -> DataFrame:
     left out of the shuffle and re-derived after it: same rows, ~10 %
     fewer shuffled bytes."""
     kept = tx.filter(F.col(key).isNotNull())
-    week = _derived_week(kept)
+    week = derived_week(kept)
     if week is None:
         return kept.dropDuplicates()
     from ..functions.columns import week_key
-    from ..sources.tables import DERIVED_WEEK
     out = kept.drop(week).dropDuplicates()
     return out.withColumn(week, week_key(F.col("date")).alias(week, metadata=DERIVED_WEEK)).select(*tx.columns)
 

@@ -31,6 +31,14 @@ TRANSACTION_COLUMNS = ("id", "line", "date", "week", "product_id", "customer_id"
 DERIVED_WEEK = {"skumix.derived": "iso_week_of_date"}
 
 
+def derived_week(df: DataFrame) -> str | None:
+    """Name of a week column tagged as derived from ``date`` (if both exist)."""
+    for f in df.schema.fields:
+        if (f.metadata or {}).get("skumix.derived") == "iso_week_of_date" and "date" in df.columns:
+            return f.name
+    return None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
