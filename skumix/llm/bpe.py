@@ -213,8 +213,8 @@ class ChunkCoder:
         new: set[str] = set()
         for parts in split:
             new.update(parts[1:])
-        self._learn(self.later, new - self.later.keys(), " ")
-        self._learn(self.first, {p[0] for p in split} - self.first.keys(), "")
+        self._learn(self.later, {c for c in new if c not in self.later}, " ")
+        self._learn(self.first, {p[0] for p in split if p[0] not in self.first}, "")
         get = self.later.__getitem__
         for text, parts in zip(texts, split):
             if text == "":

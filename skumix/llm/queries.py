@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, prefix_counts, quality_rules, secrets, simhash, toxicity
+from . import (bpe, embed_lsh, hmm, packing, prefix_counts, quality_net, quality_rules, secrets,
+               simhash, toxicity)
 from .common import table
 
 
@@ -33,6 +34,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "n_repeat_words", "base_failed", "kept")
 
 
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = bpe.encode(table(spark, sf_dir, "documents"))
     return e.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -47,9 +56,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_simhash_near_dedup, op3_token_counts, op4_quality_rules,
-    op7_bpe, op8_packing, op9_toxicity)}
+    op5_hmm_scoring, op6_embedding_near_dedup, op7_bpe, op8_packing, op9_toxicity,
+    op10_quality_classifier)}
 
 # Values are written out here, apart from the rules' table in quality_rules.
 ORACLE = {"op4_quality_rules": r"""
