@@ -68,8 +68,8 @@ def main() -> None:
     gm = timed("gmm_sweep", lambda: M.gmm_sweep(mi, M.DEFAULT_K))
 
     def finish():
-        kb = M.pick_best(km.rows, "silhouette", True)
-        gb = M.pick_best(gm.rows, "bic", False)
+        kb = M.chosen_row(km, "silhouette", True)
+        gb = M.chosen_row(gm, "bic", False)
         kmodel, gmodel = km.models[kb["k"]], gm.models[gb["k"]]
         scored = gmodel.transform(kmodel.transform(mi.df))
         from skumix.operators import profile

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from .. import CONCENTRATION, FREQUENCY, PRODUCT_ID, PRODUCT_NAME, VOLUME
 from ..functions.columns import half_up_mean, nonneg_round, truncate_name, with_default
 from ..functions.naming import UNDEFINED, segment_name
+from .quantiles import exact_quantiles, quantiles_of, value_counts
 
 PROFILE_FEATURES = (VOLUME, FREQUENCY, CONCENTRATION)
 
 
 def _mean(c: str):
     """Mean computed from an exact sum: integer features sum as long,
-    concentration (2 decimals) as decimal(18,2)."""
+    concentration as a decimal with ten places (exact for the two-decimal
+    ratio, and wide enough for the unrounded one)."""
     x = F.col(c)
-    total = F.sum(x.cast("decimal(18,2)")) if c == CONCENTRATION else F.sum(x)
+    total = F.sum(x.cast("decimal(28,10)")) if c == CONCENTRATION else F.sum(x)
     return total.cast("double") / F.count(F.lit(1))
 
 
@@ -42,8 +44,9 @@ def cluster_size_bars(labelled: DataFrame, k: int, label: str = "cluster") -> Da
 def global_medians(features: DataFrame, cols: Sequence[str] = PROFILE_FEATURES):
     """One struct of exact medians as a scalar subquery column; attach it
     once (``withColumn``) and read its fields from that column."""
-    return features.agg(F.struct(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
-                        .alias("m")).scalar()
+    q = exact_quantiles(features, cols, [0.5])  # one row per feature
+    return q.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("q0"))).alias(c) for c in cols])
+                 .alias("m")).scalar()
 
 
 def cluster_profile(labelled: DataFrame, label: str = "cluster") -> DataFrame:
@@ -88,7 +91,7 @@ def segment_summary(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     g = labelled.groupBy(label).agg(
         F.count(F.lit(1)).alias("products"),
         F.sum(VOLUME).alias("_sv"), F.sum(FREQUENCY).alias("_sf"),
-        F.sum(F.round(F.col(CONCENTRATION) * 100).cast("long")).alias("_sc"),
+        F.sum(F.col(CONCENTRATION).cast("decimal(28,10)")).alias("_sc"),
         _mean(VOLUME).alias("_mv"), _mean(FREQUENCY).alias("_mf"), _mean(CONCENTRATION).alias("_mc"),
     ).withColumn("_med", global_medians(labelled))
     med = F.col("_med")
@@ -97,7 +100,9 @@ def segment_summary(labelled: DataFrame, label: str = "cluster") -> DataFrame:
         label, with_default(name, UNDEFINED).alias("segment"), "products",
         half_up_mean(F.col("_sv"), F.col("products"), 1).alias("mean_volume"),
         half_up_mean(F.col("_sf"), F.col("products"), 1).alias("mean_frequency"),
-        (half_up_mean(F.col("_sc"), F.col("products"), 0) / 100.0).alias("mean_concentration"),
+        # half-up at two decimals, by exact decimal arithmetic
+        (F.expr("(cast(_sc as decimal(30,10)) * 200 + products) div (2 * products)").cast("double") / 100.0)
+        .alias("mean_concentration"),
     )
 
 
@@ -128,46 +133,65 @@ def boxplot_table(labelled: DataFrame, label: str = "cluster",
     """Per cluster and feature: quartiles, whiskers (the most extreme
     data point within 1.5 IQR of the box) and the outlier count.
 
-    Quartiles are one grouped percentile aggregate; the (cluster x
-    feature) quartile table is bounded by k x 3 rows and broadcast back
-    onto the data for the whisker pass."""
-    long = labelled.select(label, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])).alias("r")
-    ).select(label, "r.feature", "r.x")
-    q = long.groupBy(label, "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("qs"))
-    q = q.select(label, "feature", "n", F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"),
-                 F.col("qs")[2].alias("q3"))
+    Quartiles, whiskers and outliers all come from one written table of
+    value counts; the quartile table has one row per (cluster, feature),
+    bounded by k x 3, and is broadcast."""
+    counts = value_counts(labelled, cols, by=[label])
+    q = quantiles_of(counts, (0.25, 0.5, 0.75), by=[label]).select(
+        label, "feature", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     lo = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    j = long.join(F.broadcast(q), [label, "feature"], "inner")
+    j = counts.select(label, "feature", "x", F.col("n").alias("copies")).join(
+        F.broadcast(q), [label, "feature"], "inner")
     inside = (F.col("x") >= lo) & (F.col("x") <= hi)
     w = j.groupBy(label, "feature", "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"))
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("copies"))).alias("outliers"))
     return w.select(label, "feature", "n",
                     *[nonneg_round(c, decimals).alias(c) for c in ("q1", "median", "q3",
                                                                    "whisker_low", "whisker_high")],
                     "outliers")
 
 
+def _binned(df: DataFrame, by: Sequence[str], axes: Sequence[str], bins: int | None) -> DataFrame:
+    """Points, or with ``bins`` the centers of equal-width bins per axis over
+    each group's range, so that a plot's table has at most bins^axes rows."""
+    if bins is None:
+        return df
+    ranges = df.groupBy(*by).agg(*[f(a).alias(f"_{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))])
+    j = df.join(ranges, list(by))
+    for a in axes:
+        lo, hi = F.col(f"_lo_{a}"), F.col(f"_hi_{a}")
+        width = (hi - lo) / F.lit(float(bins))
+        place = F.least(F.floor(F.try_divide(F.col(a) - lo, width)), F.lit(bins - 1))
+        j = j.withColumn(a, F.when(hi == lo, F.col(a).cast("double")).otherwise(lo + (place + F.lit(0.5)) * width))
+    return j.drop(*[f"_{n}_{a}" for a in axes for n in ("lo", "hi")])
+
+
 def labelled_scatter_2d(labelled: DataFrame, names: DataFrame, label: str = "cluster",
-                        pairs=((VOLUME, FREQUENCY), (FREQUENCY, CONCENTRATION))) -> DataFrame:
-    """(cluster, segment, pair, x, y, products) behind the 2-D plots."""
+                        pairs=((VOLUME, FREQUENCY), (FREQUENCY, CONCENTRATION)),
+                        bins: int | None = None) -> DataFrame:
+    """(cluster, segment, pair, x, y, products) behind the 2-D plots.
+    ``bins`` bounds the table: points become bin centers per axis.
+    ``names`` has one row per cluster (at most k)."""
     long = labelled.select(label, F.explode(F.array(*[
         F.struct(F.lit(f"{a}:{b}").alias("pair"), F.col(a).cast("double").alias("x"),
                  F.col(b).cast("double").alias("y")) for a, b in pairs])).alias("r")).select(label, "r.*")
+    long = _binned(long, ["pair"], ["x", "y"], bins)
     g = long.groupBy(label, "pair", "x", "y").agg(F.count(F.lit(1)).alias("products"))
     return (g.join(F.broadcast(names), label, "left")
             .select(label, with_default(F.col("segment"), UNDEFINED).alias("segment"),
                     "pair", "x", "y", "products"))
 
 
-def labelled_scatter_3d(labelled: DataFrame, names: DataFrame, label: str = "cluster") -> DataFrame:
-    """(cluster, segment, volume, frequency, concentration, products)."""
-    g = labelled.groupBy(label, VOLUME, FREQUENCY, CONCENTRATION).agg(F.count(F.lit(1)).alias("products"))
+def labelled_scatter_3d(labelled: DataFrame, names: DataFrame, label: str = "cluster",
+                        bins: int | None = None) -> DataFrame:
+    """(cluster, segment, volume, frequency, concentration, products);
+    ``bins`` as in :func:`labelled_scatter_2d`."""
+    axes = [VOLUME, FREQUENCY, CONCENTRATION]
+    points = _binned(labelled.select(label, *axes, F.lit(1).alias("_all")), ["_all"], axes, bins)
+    g = points.groupBy(label, VOLUME, FREQUENCY, CONCENTRATION).agg(F.count(F.lit(1)).alias("products"))
     return (g.join(F.broadcast(names), label, "left")
             .select(label, with_default(F.col("segment"), UNDEFINED).alias("segment"),
                     VOLUME, FREQUENCY, CONCENTRATION, "products"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import week_key
 from ..sources.tables import derived_week
 
 
@@ -14,7 +15,7 @@ def _long_form(df: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 _TYPE_NAMES = {"bigint": "bigint", "int": "integer", "string": "string", "double": "double",
-               "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}
+               "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp without time zone"}
 
 
 def table_profile(df: DataFrame) -> DataFrame:
@@ -45,14 +46,17 @@ def null_key_filter(df: DataFrame, key: str = "product_id") -> DataFrame:
     return df.filter(F.col(key).isNotNull())
 
 
-def cleaning_audit(df: DataFrame, table: str, key: str = "product_id") -> DataFrame:
+def cleaning_audit(df: DataFrame, table: str, key: str = "product_id", copies: str | None = None) -> DataFrame:
     """B2: (table, original, removed, remaining) in one aggregation
-    (the reference runs one job per number)."""
+    (the reference runs one job per number).  ``copies`` names a column
+    that says how many rows a row stands for."""
+    n = F.col(copies) if copies else F.lit(1).cast("long")
+    none = F.lit(0).cast("long")
     return df.agg(
         F.lit(table).alias("table_name"),
-        F.count(F.lit(1)).alias("original"),
-        F.count_if(F.col(key).isNull()).alias("removed"),
-        F.count(F.col(key)).alias("remaining"),
+        F.coalesce(F.sum(n), none).alias("original"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), n)), none).alias("removed"),
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull(), n)), none).alias("remaining"),
     )
 
 
@@ -61,26 +65,36 @@ def drop_any_null(df: DataFrame) -> DataFrame:
     return df.dropna(how="any")
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """Whole-row deduplication."""
-    return df.dropDuplicates()
+COPIES = "_copies"
 
 
-def duplicate_audit(df: DataFrame) -> DataFrame:
-    """(rows, distinct_rows, removed) from one grouping on all columns.
-
-    Partial aggregation collapses copies inside each map task, so a
-    hot group of copies never travels whole."""
-    week = derived_week(df)  # a function of the date: leave it out of the shuffle
+def with_copies(df: DataFrame) -> DataFrame:
+    """Distinct whole rows with how often each occurs: one grouping that
+    serves the audits, the dedup and the roll-up.  Partial aggregation
+    collapses copies inside each map task, so a hot group of copies never
+    travels whole; a week derived from the date is left out of the shuffle."""
+    week = derived_week(df)
     keys = [c for c in df.columns if c != week]
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return g.agg(
-        F.sum("copies").alias("rows"),
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+    if week is not None:
+        g = g.withColumn(week, week_key(F.col("date")))
+    return g.select(*df.columns, COPIES)
+
+
+def copies_audit(rows: DataFrame) -> DataFrame:
+    """B5 over :func:`with_copies`: (rows, distinct_rows, removed)."""
+    return rows.agg(
+        F.sum(COPIES).alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
-        F.sum(F.col("copies") - 1).alias("removed"),
+        F.sum(F.col(COPIES) - 1).alias("removed"),
     )
 
 
+def duplicate_audit(df: DataFrame) -> DataFrame:
+    """(rows, distinct_rows, removed) from one grouping on all columns."""
+    return copies_audit(with_copies(df))
+
+
 def repeated_key_audit(df: DataFrame, key: str = "product_id") -> DataFrame:
     """B5 (master): keys present more than once and the extra rows they
     add to an inner join (the master is not deduplicated)."""

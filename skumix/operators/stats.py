@@ -13,20 +13,24 @@ from pyspark.sql import functions as F
 
 from .. import ALL_FEATURES
 from ..functions.columns import nonneg_round
+from .quantiles import exact_quantiles
 
 
 def _long_form(df: DataFrame, structs: list[Column]) -> DataFrame:
     return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
 
 
+def _long_form_row(one: DataFrame, structs: list[Column]) -> DataFrame:
+    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
 def describe(features: DataFrame, cols: Sequence[str] = ALL_FEATURES, median: bool = False,
              exact_median: bool = True, decimals: int = 6) -> DataFrame:
     """D5 (and D6 with ``median=True``): (feature, n, mean, stddev, min,
     max[, median]) per feature in one pass.
 
-    The exact median keeps a value->count map per feature, bounded by the
-    number of distinct values; ``exact_median=False`` switches to
-    ``percentile_approx`` (fixed-size sketch) for high-cardinality data."""
+    The exact median comes from cumulative value counts (no one-task map);
+    ``exact_median=False`` uses ``percentile_approx`` (fixed-size sketch)."""
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -38,24 +42,29 @@ def describe(features: DataFrame, cols: Sequence[str] = ALL_FEATURES, median: bo
             F.min(x).alias("min"),
             F.max(x).alias("max"),
         ]
-        if median:
-            m = F.median(x) if exact_median else F.percentile_approx(x, 0.5, 100000).cast("double")
+        if median and not exact_median:
+            m = F.percentile_approx(x, 0.5, 100000).cast("double")
             fields.append(nonneg_round(m, decimals).alias("median"))
         structs.append(F.struct(*fields))
-    return _long_form(features, structs)
+    out = _long_form(features, structs)
+    if median and exact_median:
+        q = exact_quantiles(features, cols, [0.5])
+        out = out.join(q.select("feature", nonneg_round("q0", decimals).alias("median")), "feature", "left")
+    return out
 
 
 def correlation(features: DataFrame, cols: Sequence[str] = ALL_FEATURES,
                 decimals: int = 6) -> DataFrame:
     """Pearson correlation for every ordered pair, long form."""
-    structs = []
-    for a in cols:
-        for b in cols:
-            structs.append(F.struct(
-                F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                nonneg_round(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), decimals)
-                .alias("corr")))
-    return _long_form(features, structs)
+    names = list(cols)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    # each unordered pair once, mirrored afterwards
+    one = features.agg(*[F.corr(F.col(names[i]).cast("double"), F.col(names[j]).cast("double"))
+                         .alias(f"c{i}_{j}") for i, j in pairs])
+    return _long_form_row(one, [F.struct(
+        F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+        nonneg_round(f"c{min(i, j)}_{max(i, j)}", decimals).alias("corr"))
+        for i, a in enumerate(names) for j, b in enumerate(names)])
 
 
 def histogram(features: DataFrame, cols: Sequence[str] = ALL_FEATURES, bins: int = 50) -> DataFrame:
@@ -101,10 +110,13 @@ def histogram(features: DataFrame, cols: Sequence[str] = ALL_FEATURES, bins: int
 DEFAULT_PAIRS = (("volume", "order_frequency"), ("order_frequency", "concentration"))
 
 
-def scatter_pairs(features: DataFrame, pairs: Sequence[tuple[str, str]] = DEFAULT_PAIRS) -> DataFrame:
+def scatter_pairs(features: DataFrame, pairs: Sequence[tuple[str, str]] = DEFAULT_PAIRS,
+                  bins: int | None = None) -> DataFrame:
     """The table behind a scatter plot: distinct (x, y) points and how
-    many products sit on each, per feature pair."""
+    many products sit on each, per feature pair.  ``bins`` bounds the table
+    to bins x bins rows per pair: points become bin centers."""
     long = features.select(F.explode(F.array(*[
         F.struct(F.lit(f"{a}:{b}").alias("pair"), F.col(a).cast("double").alias("x"),
                  F.col(b).cast("double").alias("y")) for a, b in pairs])).alias("r")).select("r.*")
-    return long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    from .profile import _binned
+    return _binned(long, ["pair"], ["x", "y"], bins).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n"))

@@ -16,7 +16,7 @@ from .. import ALL_FEATURES
 from ..functions.columns import truncate_name
 from ..operators import assign, history, profile, quality, scale, stats, strategy
 from ..operators import features as feat
-from ..session import ensure_checkpoint_dir, shared_path
+from ..session import shared_path, written_table
 from ..sources import csv_io, tables
 from . import models as M
 from . import segmentation as S
@@ -42,20 +42,33 @@ def _run_key(spark: SparkSession, sf: str, what: str):
 
 
 def materialised(spark: SparkSession, sf: str, what: str, build) -> DataFrame:
-    """Build a per-product table once per (application, tables) and cut
-    its lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+    """Build a per-product table once per (application, tables) and write it
+    to the shared folder.
 
     Every later analysis of the run (statistics, scaling, profiles,
-    models) reads this small table instead of re-running the scan, join,
-    dedup and roll-up of the transactions; a lost executor re-reads the
-    checkpoint files instead of recomputing them."""
+    models) reads this table instead of re-running the scan, join, dedup
+    and roll-up of the transactions; a lost executor re-reads its files.
+    :func:`forget` drops the tables of a run whose inputs have changed."""
     key = _run_key(spark, sf, what)
     if key not in _MATERIALISED:
-        ensure_checkpoint_dir(spark)
-        _MATERIALISED[key] = build().checkpoint(eager=True)
+        _MATERIALISED[key] = written_table(build(), what.split(":")[0])
     return _MATERIALISED[key]
 
 
+def forget(spark: SparkSession, sf: str | None = None) -> None:
+    """Forget the shared tables and model runs of this application (of one
+    folder of tables, or all) and release the models' cached points."""
+    app = spark.sparkContext.applicationId
+
+    def mine(key) -> bool:
+        return key[0] == app and (sf is None or key[1] == sf.rstrip("/"))
+
+    for key in [k for k in _RUNS if mine(k)]:
+        _RUNS.pop(key).release()
+    for key in [k for k in _MATERIALISED if mine(k)]:
+        del _MATERIALISED[key]
+
+
 def clean_features(spark: SparkSession, sf: str) -> DataFrame:
     """Feature table of the clean tables (the clustering input)."""
     return materialised(spark, sf, "features", lambda: feat.feature_table(
@@ -95,6 +108,21 @@ def a4_role_binding(spark, sf):
 
 # ---- 2.2 cleaning, data quality ------------------------------------------
 
+@query("a4_timestamp_role")
+def a4_timestamp_role(spark, sf):
+    """A date role with a time of day: two times of one day stay two rows
+    through the whole-row dedup, exact copies become one."""
+    li = tables.read_table(spark, sf, "lineitem")
+    day = F.col("l_shipdate").cast("date").cast("timestamp")
+    raw = li.select(
+        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("product"), F.col("l_suppkey").alias("buyer"),
+        F.explode(F.array(day, day + F.expr("INTERVAL 9 HOURS"), day)).alias("at"))
+    roles = {"id": "id", "product_id": "product", "customer_id": "buyer", "date": "at"}
+    clean = feat.clean_transactions(tables.bind_roles(raw, roles, keep_others=True))
+    return clean.select("id", "product_id", "customer_id", "date",
+                        F.hour("date_source").alias("hour"))
+
+
 @query("b1_null_key_filter")
 def b1_null_key_filter(spark, sf):
     return quality.null_key_filter(tables.dirty_transactions(spark, sf))
@@ -153,8 +181,10 @@ def c4_smoothed_concentration(spark, sf):
 
 @query("c5_truncated_names")
 def c5_truncated_names(spark, sf):
-    return tables.product_master(spark, sf).select(
-        "product_id", truncate_name("product_name", 50).alias("product_name"))
+    # the tables' names are short: repeat them with their key beyond 50 characters
+    return tables.product_master(spark, sf).select("product_id", truncate_name(
+        F.repeat(F.concat_ws("-", "product_name", F.col("product_id").cast("string")), 6), 50)
+        .alias("product_name"))
 
 
 # ---- 2.4 aggregations, statistics -----------------------------------------
@@ -380,17 +410,27 @@ FEATURE_SCHEMA = ("product_id bigint, product_name string, volume bigint, order_
 
 @query("a1_csv_roundtrip")
 def a1_csv_roundtrip(spark, sf):
-    path = csv_io.write_csv(clean_features(spark, sf), shared_path(spark, "a1"))
-    return csv_io.read_csv(spark, path, schema=FEATURE_SCHEMA)
+    path = csv_io.write_csv(clean_features(spark, sf).withColumn("product_name", awkward("product_name")),
+                            shared_path(spark, "a1"))
+    return csv_io.read_csv(spark, path, schema=FEATURE_SCHEMA, multi_line=True)
+
+
+def awkward(name: str):
+    """Names with a line break, quotes, commas and outer blanks, by product."""
+    return (F.when(F.col("product_id") % 4 == 0, F.concat(name, F.lit('\nsecond "line", ')))
+            .when(F.col("product_id") % 4 == 1, F.concat(F.lit('"'), name, F.lit(',"')))
+            .when(F.col("product_id") % 4 == 2, F.concat(F.lit("  "), name))
+            .otherwise(F.col(name)))
 
 
-def _export_fixed(spark, sf) -> str:
+def _export_fixed(spark, sf) -> tuple[str, DataFrame]:
     lab = fixed_labelled(spark, sf)
     names = profile.segment_names(lab)
     table = (lab.join(F.broadcast(names), "cluster", "left")
-             .select("product_id", "product_name", "volume", "order_frequency", "unique_customers",
-                     "concentration", "cluster", "segment"))
-    return csv_io.write_csv(table, shared_path(spark, "a5"))
+             .select("product_id", awkward("product_name").alias("product_name"), "volume",
+                     "order_frequency", "unique_customers", "concentration", "cluster", "segment"))
+    path = shared_path(spark, "a5")
+    return path, csv_io.write_counted(table, path)
 
 
 EXPORT_SCHEMA = FEATURE_SCHEMA + ", cluster int, segment string"
@@ -398,12 +438,12 @@ EXPORT_SCHEMA = FEATURE_SCHEMA + ", cluster int, segment string"
 
 @query("a5_export_csv")
 def a5_export_csv(spark, sf):
-    return csv_io.read_csv(spark, _export_fixed(spark, sf), schema=EXPORT_SCHEMA)
+    return csv_io.read_csv(spark, _export_fixed(spark, sf)[0], schema=EXPORT_SCHEMA, multi_line=True)
 
 
 @query("a6_export_manifest")
 def a6_export_manifest(spark, sf):
-    return csv_io.write_manifest(spark, _export_fixed(spark, sf), schema=EXPORT_SCHEMA)
+    return _export_fixed(spark, sf)[1]
 
 
 # ---- 2.10 history extensions --------------------------------------------------
@@ -419,8 +459,7 @@ def x1_history_coverage(spark, sf):
 def _transitions(spark, sf):
     pf = materialised(spark, sf, f"period_features:{PERIOD_CUT}", lambda: history.period_features(
         tables.transactions(spark, sf), tables.product_master(spark, sf), PERIOD_CUT))
-    before, after = history.label_periods(pf)
-    return history.segment_transitions(before, after)
+    return history.pivot_periods(history.label_periods(pf))
 
 
 @query("x2_segment_transitions")
@@ -488,10 +527,8 @@ def g11_gmm_fit(spark, sf):
 @query("g12_bic")
 def g12_bic(spark, sf):
     seg = segmentation(spark, sf)
-    d, n = len(seg.input.features), seg.input.n
-    return seg.gmm.table.select("k", "log_likelihood", F.lit(n).alias("n"),
-                                ((F.col("k") - 1) + F.col("k") * d + F.col("k") * (d * (d + 1) // 2))
-                                .alias("parameters"), "bic")
+    return M.bic_table(seg.gmm.table.select("k", "log_likelihood", F.lit(seg.input.n).alias("n")),
+                       len(seg.input.features), "n")
 
 
 @query("g13_gmm_sweep")
@@ -543,6 +580,101 @@ def h6_final_table(spark, sf):
     return S.final_table(segmentation(spark, sf))
 
 
+# ---- selection, comparison and reports on deterministic rows -------------------
+# The same functions as above, on scores and labels that any engine can
+# recompute: fixed centers (their first k, or all) and a second labelling.
+
+def _fixed_scores(spark, sf) -> DataFrame:
+    """(k, inertia, silhouette) of the first k fixed centers, k = 2..4."""
+    z = materialised(spark, sf, "fixed_scaled", lambda: scale.standardise(
+        scale.complete_rows(clean_features(spark, sf))))
+    out = None
+    for k in range(2, len(assign.FIXED_CENTERS) + 1):
+        centers = assign.FIXED_CENTERS[:k]
+        lab = assign.label_fixed(z, centers)
+        one = assign.inertia(lab, centers).select(
+            "k", "inertia", assign.silhouette_squared(lab).select("silhouette").scalar().alias("silhouette"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _second_labels(spark, sf) -> DataFrame:
+    """A labelling by three other fixed centers, as a second model's."""
+    return assign.label_fixed(fixed_labelled(spark, sf), SECOND_CENTERS, label="cluster_gmm")
+
+
+# Centers of the second labelling.
+SECOND_CENTERS = ((-0.5, -0.5, -0.5), (0.5, 0.5, -0.5), (0.5, 0.5, 1.5))
+
+
+@query("f4_best_of_fixed_sweep")
+def f4_best_of_fixed_sweep(spark, sf):
+    scores = materialised(spark, sf, "fixed_scores", lambda: _fixed_scores(spark, sf))
+    best = M.best_of_sweep(scores, "silhouette", maximize=True).withColumn("choice", F.lit("silhouette"))
+    return best.unionByName(M.best_of_sweep(scores, "inertia", maximize=False)
+                            .withColumn("choice", F.lit("inertia")))
+
+
+@query("g12_bic_fixed")
+def g12_bic_fixed(spark, sf):
+    """The BIC formula on log-likelihoods -n / k of the scaled products."""
+    n = fixed_labelled(spark, sf).count()
+    scores = spark.range(2, 11).select(F.col("id").cast("int").alias("k"),
+                                       (F.lit(-1.0 * n) / F.col("id")).alias("log_likelihood"))
+    return M.bic_table(scores, len(scale.MODEL_FEATURES), n).withColumn("bic", F.round("bic", 6)).select(
+        "k", F.round("log_likelihood", 6).alias("log_likelihood"), F.col("parameters").cast("long"), "bic")
+
+
+def _two_models(spark, sf):
+    """Silhouettes of both fixed labellings."""
+    a = assign.silhouette_squared(fixed_labelled(spark, sf)).first()[0]
+    b = assign.silhouette_squared(_second_labels(spark, sf), label="cluster_gmm").first()[0]
+    return a, b
+
+
+@query("g16_comparison_fixed")
+def g16_comparison_fixed(spark, sf):
+    a, b = _two_models(spark, sf)
+    rows = [(name, x, y, M.recommend(x, y)) for name, x, y in (
+        ("as scored", a, b), ("swapped", b, a), ("tie", a, a), ("first missing", None, b), ("second missing", a, None))]
+    return spark.createDataFrame(rows, "case string, silhouette_kmeans double, silhouette_gmm double, "
+                                       "recommended string")
+
+
+@query("e2_two_labellings_fixed")
+def e2_two_labellings_fixed(spark, sf):
+    """E2 + C2: two labellings of the same products, joined by product."""
+    first = fixed_labelled(spark, sf).select("product_id", F.col("cluster").alias("cluster_kmeans"))
+    second = _second_labels(spark, sf).select("product_id", "cluster_gmm")
+    return S.join_labels(first, second)
+
+
+@query("h5_executive_fixed")
+def h5_executive_fixed(spark, sf):
+    a, b = _two_models(spark, sf)
+    inertia = assign.inertia(fixed_labelled(spark, sf)).first()["inertia"]
+    return S.summary_table(
+        fixed_labelled(spark, sf).withColumnRenamed("cluster", M.KMEANS_COL), fixed_names(spark, sf),
+        M.recommend(a, b), {"k": 4, "silhouette": a, "inertia": inertia}, {"k": 3, "silhouette": b, "bic": None})
+
+
+@query("h6_final_table_fixed")
+def h6_final_table_fixed(spark, sf):
+    scored = _second_labels(spark, sf).withColumnRenamed("cluster", M.KMEANS_COL)
+    return S.product_table(scored, fixed_names(spark, sf))
+
+
+@query("h1_smoothed_profile")
+def h1_smoothed_profile(spark, sf):
+    """H1 + H3 on the unrounded smoothed concentration."""
+    lab = fixed_labelled(spark, sf).withColumn("concentration", F.expr("volume / (unique_customers + 1.0D)"))
+    p = profile.cluster_profile(lab).select(
+        "cluster", "products", F.round("mean_concentration", 6).alias("mean_concentration"),
+        F.round("min_concentration", 6).alias("min_concentration"),
+        F.round("max_concentration", 6).alias("max_concentration"))
+    return p
+
+
 # ---- streaming form of X2/X3 ------------------------------------------------------
 
 @query("x3_stream_transition_alerts")
@@ -552,13 +684,17 @@ def x3_stream_transition_alerts(spark, sf):
     available-now trigger, and the alerts table is read back."""
     import os
     from ..streaming import monitor
+    # four files, one a micro-batch: both periods arrive in several batches
     base = shared_path(spark, "stream")
     src = os.path.join(base, "input")
     tx = tables.transactions(spark, sf).withColumn(
         "period", F.when(F.col("date") < F.lit(PERIOD_CUT).cast("date"), F.lit(1)).otherwise(F.lit(2)))
-    tx.write.mode("overwrite").partitionBy("period").parquet(src)
+    tx.repartition(4, "id").write.mode("overwrite").parquet(src)
     q = monitor.start_transition_monitor(spark, src, tables.product_master(spark, sf),
-                                         os.path.join(base, "state"), os.path.join(base, "ckpt"))
+                                         os.path.join(base, "state"), os.path.join(base, "ckpt"),
+                                         max_files_per_trigger=1)
     q.awaitTermination()
+    for done in (src, os.path.join(base, "state", "transactions")):  # no copy of the log is kept
+        monitor._remove(spark, done)
     return monitor.read_alerts(spark, os.path.join(base, "state")).select(
         "product_id", "cluster_before", "cluster_after", "change")

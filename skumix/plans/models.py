@@ -8,6 +8,7 @@ jobs overlap instead of queueing."""
 from __future__ import annotations
 
 import math
+import re
 import sys
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import MODEL_FEATURES, PRODUCT_ID
 from ..operators.assign import silhouette_squared
 from ..operators.scale import assemble, complete_rows, fit_vector_scaler
-from ..session import ensure_checkpoint_dir
+from ..session import written_table
 
 FEATURES_COL = "features_scaled"
 KMEANS_COL = "cluster_kmeans"
@@ -38,7 +39,6 @@ class ModelInput:
     """Scaled product vectors, deterministically partitioned and cached."""
     df: DataFrame
     n: int
-    partitions: int
     scaler: StandardScalerModel | None
     features: tuple[str, ...]
     cached: DataFrame | None = None
@@ -46,6 +46,7 @@ class ModelInput:
     n_points: int = 0
     mean: tuple[float, ...] = ()      # per-feature scaling statistics (sample std)
     std: tuple[float, ...] = ()
+    scaled_by_columns: bool = False   # population std: the scaler's own std does not apply
 
     def release(self) -> None:
         if self.cached is not None:
@@ -75,45 +76,40 @@ class ModelInput:
         return self.df.select(FEATURES_COL)
 
 
-def model_partitions(n: int, rows_per_partition: int = 1_000_000, min_partitions: int = 4,
-                     min_rows_per_partition: int = 5_000, max_partitions: int = 65_536) -> int:
-    """Partition count for the model input, a function of the row count
-    only (never of the cluster size), so a run repeats anywhere: about
-    ``rows_per_partition`` rows each on big tables, and up to
-    ``min_partitions`` on small ones so a lone fit still runs in parallel."""
-    by_size = math.ceil(n / rows_per_partition)
-    floor = min(min_partitions, math.ceil(n / min_rows_per_partition))
-    return max(1, min(max_partitions, max(by_size, floor)))
+ROWS_PER_PARTITION = 1_000_000
+
+
+def model_partitions(n: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions of the model input: about ``rows_per_partition`` rows each,
+    a function of the row count only, so a run repeats on any cluster."""
+    return max(1, math.ceil(n / rows_per_partition))
 
 
 def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURES,
-                        rows_per_partition: int = 1_000_000, max_partitions: int = 65_536,
-                        checkpoint: bool = True, distinct_points: bool = True) -> ModelInput:
-    """Complete rows -> reliable checkpoint -> fixed hash partitioning by
-    product id, sorted inside partitions -> vector -> scaled -> cached.
+                        rows_per_partition: int = ROWS_PER_PARTITION, checkpoint: bool = True,
+                        distinct_points: bool = False, ddof: int = 1) -> ModelInput:
+    """Complete rows -> written table -> fixed hash partitioning by product
+    id, sorted inside partitions -> vector -> scaled -> cached.
 
     K-means and GMM results depend on how rows are split over partitions,
     so the split is a pure function of the data (partition count from the
     row count, rows placed by product id), never of upstream tasks.  The
-    checkpoint cuts the lineage back to the transaction scan, so a lost
-    executor re-reads the checkpoint instead of re-running the roll-up.
-
-    ``distinct_points`` (default): the models train on the distinct
-    feature points weighted by how many products share them.  K-means
-    cost and GMM log-likelihood of a weighted point equal those of its
-    copies, so the objective is the one of every product, while the data
-    shrinks from the number of products to the number of distinct
-    (volume, frequency, concentration) points -- 20,000 -> 103 at sf0.1,
-    and features per product do not grow with the data.  The scaler is
-    still fitted on every product, and every product is labelled."""
+    written table cuts the lineage back to the transaction scan, so a lost
+    executor re-reads it instead of re-running the roll-up.
+
+    Models train on every product.  ``distinct_points=True`` trains on the
+    distinct feature points weighted by how many products share them: the
+    same objective over fewer rows, but initial centers are then drawn from
+    the distinct points, which can end in a worse optimum.  ``ddof`` is 1
+    for the sample and 0 for the population standard deviation."""
     base = complete_rows(features, cols)
     if checkpoint:
-        ensure_checkpoint_dir(base.sparkSession)
-        base = base.checkpoint(eager=True)
+        base = written_table(base, "model-input")
     if distinct_points:
-        return _distinct_point_input(base, tuple(cols), rows_per_partition, max_partitions)
-    n = base.count()
-    parts = model_partitions(n, rows_per_partition, max_partitions=max_partitions)
+        return _distinct_point_input(base, tuple(cols), rows_per_partition, ddof)
+    counts = base.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*cols).alias("points")).first()
+    n = counts["n"]
+    parts = model_partitions(n, rows_per_partition)
     stable = base.repartition(parts, PRODUCT_ID).sortWithinPartitions(PRODUCT_ID)
     # one shuffle: the partitioned vectors are cached, the scaler is fit on
     # that fixed layout (its sums, hence the models, depend on it), and the
@@ -121,10 +117,15 @@ def prepare_model_input(features: DataFrame, cols: Sequence[str] = MODEL_FEATURE
     vec = assemble(stable, cols, "features").persist(StorageLevel.MEMORY_AND_DISK)
     vec.count()
     scaler = fit_vector_scaler(vec, "features", FEATURES_COL)
-    scaled = scaler.transform(vec)
-    return ModelInput(scaled, n, parts, scaler, tuple(cols), cached=vec,
-                      mean=tuple(float(x) for x in scaler.mean.toArray()),
-                      std=tuple(float(x) for x in scaler.std.toArray()))
+    mean = tuple(float(x) for x in scaler.mean.toArray())
+    std = tuple(float(x) for x in scaler.std.toArray())
+    if ddof == 0:
+        std = tuple(x * math.sqrt((n - 1) / n) if n > 1 else 0.0 for x in std)
+        scaled = _scaled_vector(vec, cols, mean, std)
+    else:
+        scaled = scaler.transform(vec)
+    return ModelInput(scaled, n, scaler, tuple(cols), cached=vec, n_points=counts["points"],
+                      mean=mean, std=std, scaled_by_columns=ddof == 0)
 
 
 def _scaled_vector(df: DataFrame, cols: Sequence[str], mean, std) -> DataFrame:
@@ -135,33 +136,37 @@ def _scaled_vector(df: DataFrame, cols: Sequence[str], mean, std) -> DataFrame:
     return df.withColumn(FEATURES_COL, array_to_vector(F.array(*z)))
 
 
+def scale_like(mi: ModelInput, features: DataFrame) -> DataFrame:
+    """Complete feature rows with the scaled vector of ``mi``'s statistics."""
+    rows = complete_rows(features, mi.features)
+    if mi.scaler is None or mi.scaled_by_columns:
+        return _scaled_vector(rows, mi.features, mi.mean, mi.std)
+    return mi.scaler.transform(assemble(rows, mi.features, "features"))
+
+
 def _distinct_point_input(base: DataFrame, cols: tuple[str, ...], rows_per_partition: int,
-                          max_partitions: int) -> ModelInput:
+                          ddof: int) -> ModelInput:
     """Distinct points weighted by multiplicity, without shuffling or
-    caching the product table: one grouping (map-side combined) gives the
-    points, which are placed deterministically and cached; the scaling
-    statistics (mean, sample std over all products) come from the
-    weighted points in a fixed order, so a run repeats exactly; the
-    product table stays a projection of the checkpoint and is read once
-    more, to label every product."""
-    grouped = base.groupBy(*cols).agg(F.count(F.lit(1)).alias(WEIGHT_COL))
+    caching the product table: one grouping (map-side combined, written
+    once) gives the points, which are placed deterministically and cached;
+    the scaling statistics come from the weighted points in a fixed order;
+    the product table is read once more, to label every product."""
+    grouped = written_table(base.groupBy(*cols).agg(F.count(F.lit(1)).alias(WEIGHT_COL)), "model-points")
     n_points = grouped.count()
-    pparts = model_partitions(n_points, rows_per_partition, max_partitions=max_partitions)
-    pts = (grouped.repartition(pparts, *cols).sortWithinPartitions(*cols)
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    pts = (grouped.repartition(model_partitions(n_points, rows_per_partition), *cols)
+           .sortWithinPartitions(*cols).persist(StorageLevel.MEMORY_AND_DISK))
     w = F.col(WEIGHT_COL).cast("double")
     first = pts.agg(F.sum(w).alias("n"), *[F.sum(w * F.col(c)).alias(c) for c in cols]).first()
     n = int(first["n"])
     mean = tuple(float(first[c]) / n for c in cols)
     second = pts.agg(*[F.sum(w * (F.col(c) - F.lit(mu)) * (F.col(c) - F.lit(mu))).alias(c)
                        for c, mu in zip(cols, mean)]).first()
-    std = tuple(math.sqrt(float(second[c]) / (n - 1)) if n > 1 else 0.0 for c in cols)
+    std = tuple(math.sqrt(float(second[c]) / (n - ddof)) if n > 1 else 0.0 for c in cols)
     points = _scaled_vector(pts, cols, mean, std).select(*cols, FEATURES_COL, WEIGHT_COL)
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     points.count()
     pts.unpersist()
-    full = _scaled_vector(base, cols, mean, std)
-    return ModelInput(full, n, base.rdd.getNumPartitions(), None, cols, cached=None, points=points,
+    return ModelInput(_scaled_vector(base, cols, mean, std), n, None, cols, points=points,
                       n_points=n_points, mean=mean, std=std)
 
 
@@ -200,33 +205,16 @@ def bic(log_likelihood: float, k: int, d: int, n: int) -> float:
     return -2.0 * log_likelihood + p * math.log(n)
 
 
-def distinct_points(mi: ModelInput) -> int:
-    """Number of distinct scaled points (one distributed distinct count)."""
-    if mi.weighted:
-        return mi.n_points
-    return mi.df.select(FEATURES_COL).distinct().count()
-
-
 def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> KMeansModel:
     """G4 (+C2: labels land in ``cluster_kmeans``).
 
-    With fewer distinct points than k, MLlib's block trainer fails; the
-    fit is then made with k = number of distinct points, which is the
-    same clustering (every point its own center) with fewer centers."""
-    def fit(kk):
-        est = KMeans(k=kk, seed=seed, maxIter=max_iter, featuresCol=FEATURES_COL, predictionCol=KMEANS_COL)
-        if mi.weighted:
-            est = est.setWeightCol(WEIGHT_COL)
-        return est.fit(mi.fit_frame)
-    try:
-        return fit(k)
-    except Exception as e:  # Py4JJavaError from the JVM trainer
-        if "ArrayIndexOutOfBounds" not in str(e):
-            raise
-        d = distinct_points(mi)
-        if d >= k or d < 1:
-            raise
-        return fit(d)
+    No clustering has more centers than distinct points (the trainer fails
+    on it), so k is at most their number, which the input knows."""
+    est = KMeans(k=max(1, min(k, mi.n_points)), seed=seed, maxIter=max_iter,
+                 featuresCol=FEATURES_COL, predictionCol=KMEANS_COL)
+    if mi.weighted:
+        est = est.setWeightCol(WEIGHT_COL)
+    return est.fit(mi.fit_frame)
 
 
 _LAPACK_READY: set[int] = set()   # py4j gateways (JVMs) already initialised
@@ -241,7 +229,9 @@ def init_lapack(spark) -> None:
     as ready before computing them, so threads that make their first call
     at the same moment can read zeros, and ``dlascl`` then loops forever.
     One call from a single thread computes them for the whole JVM (in
-    local mode the executors share it)."""
+    local mode the executors share it).  On a cluster the executors'
+    constants are read by a few tasks; a wrong one fails the run with a
+    message, where EM would never end."""
     jvm_key = id(spark.sparkContext._gateway)
     if jvm_key in _LAPACK_READY:
         return
@@ -255,6 +245,15 @@ def init_lapack(spark) -> None:
         # EM would then spin in dlascl, so fail fast instead
         raise RuntimeError(f"LAPACK machine constants are corrupt in this JVM (safe minimum {safe_min!r}); "
                            "restart the session or install a native LAPACK")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        tasks = spark.sparkContext.defaultParallelism
+        wrong = (spark.range(0, 4 * tasks, numPartitions=tasks)
+                 .select(F.reflect(F.lit("org.netlib.lapack.Dlamch"), F.lit("dlamch"), F.lit("S"))
+                         .cast("double").alias("v"))
+                 .where(F.col("v") != F.lit(sys.float_info.min)).count())
+        if wrong:
+            raise RuntimeError("LAPACK machine constants are corrupt in an executor JVM; install a native "
+                               "LAPACK on the executors or restart them")
     _LAPACK_READY.add(jvm_key)
 
 
@@ -268,25 +267,13 @@ def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> Gaus
     return est.fit(mi.fit_frame)
 
 
-CONCURRENT_FIT_MAX_ROWS = 50_000_000
-
-
-def default_parallelism(spark, n_items: int, n_rows: int = 0, max_threads: int = 32) -> int:
-    """Concurrent fits: every k at once (up to ``max_threads``) while the
-    table is small enough that per-iteration job latency dominates -- the
-    threads mostly wait, and a fit left to run alone at the end would add
-    its whole latency (local[8], sf0.1: GMM sweep 9.8 s with 9 threads vs
-    10.9 s with 8).  Above ``CONCURRENT_FIT_MAX_ROWS`` one fit already
-    fills the cluster, and fits run one at a time (one cached vector copy)."""
-    if n_rows > CONCURRENT_FIT_MAX_ROWS:
-        return 1
-    return max(1, min(n_items, max_threads))
+PARALLEL_FITS = 9  # default of ``parallelism``: fits that run at once
 
 
-def _pool_map(fn, items, parallelism: int | None, spark=None, n_rows: int = 0):
+def _pool_map(fn, items, parallelism: int = PARALLEL_FITS):
+    """Run independent fits from a thread pool.  Each fit caches its own
+    copy of the vectors: on data that fills the cluster pass 1."""
     items = list(items)
-    if parallelism is None:
-        parallelism = default_parallelism(spark, len(items), n_rows)
     if parallelism <= 1 or len(items) <= 1:
         return [fn(x) for x in items]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
@@ -300,46 +287,72 @@ class Sweep:
     models: dict[int, object]
 
 
-def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max_iter: int = 100,
-                 parallelism: int | None = None) -> Sweep:
-    """Inertia (training cost) and silhouette for each k."""
-    def one(k):
-        m = fit_kmeans(mi, k, seed, max_iter)
-        s = m.summary
-        return {"k": k, "inertia": float(s.trainingCost),
-                "silhouette": _silhouette(s.predictions, KMEANS_COL, s.clusterSizes, mi.weighted,
-                                          len(mi.features)),
-                "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
+def _runs(ks: Iterable[int], seed: int, n_init: int) -> list[tuple[int, int]]:
+    return [(k, seed + i) for k in ks for i in range(n_init)]
 
-    out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.fit_rows)
-    rows = [r for r, _ in out]
+
+def kmeans_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max_iter: int = 100,
+                 parallelism: int = PARALLEL_FITS, n_init: int = 1) -> Sweep:
+    """G7 (+G10): inertia (training cost) and silhouette for each k, of the
+    run with the least inertia among ``n_init`` seeds (ties: first seed)."""
+    jobs = _runs(ks, seed, n_init)
+    fits = dict(zip(jobs, _pool_map(lambda j: fit_kmeans(mi, j[0], j[1], max_iter), jobs, parallelism)))
+    best = {}
+    for k, sd in jobs:
+        cost = float(fits[(k, sd)].summary.trainingCost)
+        if k not in best or cost < best[k][0]:
+            best[k] = (cost, sd)
+
+    def row(k):
+        cost, sd = best[k]
+        s = fits[(k, sd)].summary
+        return {"k": k, "inertia": cost, "silhouette": _silhouette(
+                    s.predictions, KMEANS_COL, s.clusterSizes, mi.weighted, len(mi.features)),
+                "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter, "seed": sd}
+
+    rows = _pool_map(row, best, parallelism)
     table = mi.df.sparkSession.createDataFrame(
-        [(r["k"], r["inertia"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
-        "k int, inertia double, silhouette double, clusters int, iterations int")
-    return Sweep(table, rows, {r["k"]: m for r, m in out})
+        [tuple(r.values()) for r in rows],
+        "k int, inertia double, silhouette double, clusters int, iterations int, seed int")
+    return Sweep(table, rows, {k: fits[(k, sd)] for k, (_, sd) in best.items()})
 
 
 def gmm_sweep(mi: ModelInput, ks: Iterable[int] = DEFAULT_K, seed: int = 42, max_iter: int = 100,
-              parallelism: int | None = None) -> Sweep:
-    """G13 (+G12): log-likelihood, BIC and silhouette for each k."""
-    d = len(mi.features)
+              parallelism: int = PARALLEL_FITS, n_init: int = 1) -> Sweep:
+    """G13 (+G10, G12): log-likelihood, BIC and silhouette for each k, of the
+    run with the highest log-likelihood among ``n_init`` seeds."""
     init_lapack(mi.df.sparkSession)
-
-    def one(k):
-        m = fit_gmm(mi, k, seed, max_iter)
-        s = m.summary
-        ll = float(s.logLikelihood)
-        return {"k": k, "log_likelihood": ll, "bic": bic(ll, k, d, mi.n),
+    jobs = _runs(ks, seed, n_init)
+    fits = dict(zip(jobs, _pool_map(lambda j: fit_gmm(mi, j[0], j[1], max_iter), jobs, parallelism)))
+    best = {}
+    for k, sd in jobs:
+        ll = float(fits[(k, sd)].summary.logLikelihood)
+        if k not in best or ll > best[k][0]:
+            best[k] = (ll, sd)
+
+    def row(k):
+        ll, sd = best[k]
+        s = fits[(k, sd)].summary
+        return {"k": k, "log_likelihood": ll, "bic": bic(ll, k, len(mi.features), mi.n),
                 "silhouette": _silhouette(s.predictions, GMM_COL, s.clusterSizes, mi.weighted,
                                           len(mi.features)),
-                "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter}, m
+                "clusters": sum(1 for x in s.clusterSizes if x > 0), "iterations": s.numIter, "seed": sd}
 
-    out = _pool_map(one, ks, parallelism, mi.df.sparkSession, mi.fit_rows)
-    rows = [r for r, _ in out]
+    rows = _pool_map(row, best, parallelism)
     table = mi.df.sparkSession.createDataFrame(
-        [(r["k"], r["log_likelihood"], r["bic"], r["silhouette"], r["clusters"], r["iterations"]) for r in rows],
-        "k int, log_likelihood double, bic double, silhouette double, clusters int, iterations int")
-    return Sweep(table, rows, {r["k"]: m for r, m in out})
+        [tuple(r.values()) for r in rows],
+        "k int, log_likelihood double, bic double, silhouette double, clusters int, iterations int, seed int")
+    return Sweep(table, rows, {k: fits[(k, sd)] for k, (_, sd) in best.items()})
+
+
+def bic_table(scores: DataFrame, d: int, n) -> DataFrame:
+    """G12 on given (k, log_likelihood) rows: parameters and BIC.  ``n`` is
+    a number or the name of a column."""
+    k = F.col("k")
+    params = (k - 1) + k * d + k * (d * (d + 1) // 2)
+    size = F.col(n) if isinstance(n, str) else F.lit(n)
+    return scores.withColumn("parameters", params).withColumn(
+        "bic", F.lit(-2.0) * F.col("log_likelihood") + F.col("parameters") * F.log(size.cast("double")))
 
 
 def best_of_sweep(table: DataFrame, metric: str, maximize: bool) -> DataFrame:
@@ -351,12 +364,10 @@ def best_of_sweep(table: DataFrame, metric: str, maximize: bool) -> DataFrame:
     return table.orderBy(invalid.asc(), order, F.col("k").asc()).limit(1)
 
 
-def pick_best(rows: list[dict], metric: str, maximize: bool) -> dict:
-    """Driver-side twin of :func:`best_of_sweep` over the sweep rows."""
-    valid = [r for r in rows if r[metric] is not None and not math.isnan(r[metric])]
-    pool = valid or rows
-    sign = -1.0 if maximize else 1.0
-    return min(pool, key=lambda r: ((sign * r[metric]) if r[metric] is not None else math.inf, r["k"]))
+def chosen_row(sweep: Sweep, metric: str, maximize: bool) -> dict:
+    """The row of a sweep that :func:`best_of_sweep` chooses."""
+    k = best_of_sweep(sweep.table, metric, maximize).first()["k"]
+    return next(r for r in sweep.rows if r["k"] == k)
 
 
 def recommend(km_silhouette: float | None, gmm_silhouette: float | None) -> str:
@@ -394,9 +405,10 @@ def gmm_components(model: GaussianMixtureModel, mi: ModelInput) -> DataFrame:
 
 
 def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 100,
-             parallelism: int | None = None) -> DataFrame:
-    """Best of n_init initialisations, for K-means (lowest cost) and
-    GMM (highest log-likelihood); ties -> earliest seed."""
+             parallelism: int = PARALLEL_FITS) -> DataFrame:
+    """Every run of ``n_init`` initialisations and the chosen one, for
+    K-means (lowest cost) and GMM (highest log-likelihood); ties -> earliest
+    seed.  The sweeps take ``n_init`` too."""
     seeds = [seed + i for i in range(n_init)]
 
     def km(s):
@@ -409,7 +421,7 @@ def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter:
     init_lapack(spark)
     # all 2 x n_init fits in one pool: they are independent and latency-bound
     runs = _pool_map(lambda job: job[0](job[1]), [(km, s) for s in seeds] + [(gm, s) for s in seeds],
-                     parallelism, spark, mi.fit_rows)
+                     parallelism)
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
     rows = [(m, k, s, v, (m, s) in ((best_km[0], best_km[1]), (best_gm[0], best_gm[1]))) for m, s, v in runs]

@@ -129,7 +129,12 @@ UNION ALL SELECT 'concentration', 6, count(*) FILTER (WHERE concentration IS NUL
     "c4_smoothed_concentration": CLEAN_FEATURES + """
 SELECT product_id, volume, unique_customers,
        round(volume::DOUBLE / (unique_customers::DOUBLE + 1.0), 6) AS concentration FROM feat_agg""",
-    "c5_truncated_names": "WITH " + MASTER + "\nSELECT product_id, substring(product_name, 1, 50) AS product_name FROM master",
+    "c5_truncated_names": "WITH " + MASTER + """
+SELECT product_id, substring(repeat(concat_ws('-', product_name, CAST(product_id AS VARCHAR)), 6), 1, 50) AS product_name
+FROM master""",
+    "a4_timestamp_role": """
+SELECT DISTINCT l_orderkey AS id, l_partkey AS product_id, l_suppkey AS customer_id, CAST(l_shipdate AS DATE) AS date, h AS hour
+FROM lineitem, (VALUES (0), (9)) v(h) WHERE l_partkey IS NOT NULL""",
     "d1_volume": CLEAN_FEATURES + "\nSELECT product_id, volume FROM feat_agg",
     "d2_order_frequency": CLEAN_FEATURES + "\nSELECT product_id, order_frequency FROM feat_agg",
     "d3_unique_customers": "WITH " + DIRTY_TX + ",\n" + MASTER + ",\n" + features_cte("dtx", "feat", "master")
@@ -151,9 +156,13 @@ SELECT 'order_frequency:concentration', order_frequency::DOUBLE, concentration,
 
 # ---- scaled features and fixed-center labels --------------------------------
 
+# Fixed values, written out here so that a changed value in the library shows.
+CENTERS = ((-1.0, -1.0, 0.0), (0.0, 0.0, 0.0), (1.0, 1.0, 0.0), (0.0, 0.0, 2.0))
+SECOND = ((-0.5, -0.5, -0.5), (0.5, 0.5, -0.5), (0.5, 0.5, 1.5))
+
+
 def _centers():
-    from ..operators.assign import FIXED_CENTERS
-    return FIXED_CENTERS
+    return CENTERS
 
 
 ZF = ("volume", "order_frequency", "concentration")
@@ -177,8 +186,8 @@ def _dist_sql(center) -> str:
     return " + ".join(terms)
 
 
-def labelled_cte(src: str, name: str) -> str:
-    cs = _centers()
+def labelled_cte(src: str, name: str, cs=None, label: str = "cluster") -> str:
+    cs = cs or _centers()
     ds = ", ".join(f"round({_dist_sql(c)}, 9) AS d{i}" for i, c in enumerate(cs))
     conds = []
     for i in range(len(cs) - 1):
@@ -186,7 +195,7 @@ def labelled_cte(src: str, name: str) -> str:
     case = "CASE " + " ".join(conds) + f" ELSE {len(cs) - 1} END"
     dcols = ", ".join(f"d{i}" for i in range(len(cs)))
     return f"""{name}_d AS (SELECT *, {ds} FROM {src}),
-{name} AS (SELECT * EXCLUDE ({dcols}), CAST({case} AS INTEGER) AS cluster FROM {name}_d)"""
+{name} AS (SELECT * EXCLUDE ({dcols}), CAST({case} AS INTEGER) AS {label} FROM {name}_d)"""
 
 
 LABELLED = CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs") + ",\n" + labelled_cte("zs", "lab")
@@ -213,38 +222,74 @@ names AS (
 LAB_PROFILE = LABELLED + ",\n" + PROFILE
 
 
-def _strategies_values() -> str:
-    from ..operators.strategy import ATTRIBUTES, STRATEGIES
+STRATEGY_VALUES = """strat AS (SELECT * FROM (VALUES
+  ('high_turnover_centralised',
+   'in high demand, sold mostly to few large customers',
+   'easy-access zone next to loading and unloading - strategic location A1',
+   'frequency: weekly or bi-weekly - volumes: large',
+   'high (3-4 weeks of cover)',
+   'very high (under 7 days per cycle)',
+   'stock-out rate < 2% | obsolescence rate < 1%'),
+  ('high_turnover_dispersed',
+   'in high demand, sold to many different customers',
+   'easy-access zone with frequent distribution - strategic location A2',
+   'frequency: weekly - volumes: medium',
+   'medium-high (2-3 weeks of cover)',
+   'high (7-14 days per cycle)',
+   'stock-out rate < 3% | pick/pack efficiency > 95%'),
+  ('medium_turnover',
+   'moderate and steady demand',
+   'middle zone of the warehouse - strategic location B',
+   'frequency: bi-weekly - volumes: small to medium',
+   'medium (2 weeks of cover)',
+   'medium (14-30 days per cycle)',
+   'stock-out rate < 5% | coverage rate > 90%'),
+  ('low_turnover',
+   'specialised products with low or sporadic demand',
+   'deep zone of the warehouse - strategic location C (back)',
+   'frequency: monthly or on demand - volumes: very small',
+   'low (4+ weeks of cover or on demand)',
+   'low (over 30 days per cycle)',
+   'obsolescence rate < 10% | storage cost minimised'))
+  v(segment, description, storage, replenishment, stock_level, rotation, kpis))"""
+ATTRIBUTES = ('description', 'storage', 'replenishment', 'stock_level', 'rotation', 'kpis')
+
 
-    def q(s):
-        return "'" + s.replace("'", "''") + "'"
-    rows = ",\n  ".join("(" + ", ".join(q(x) for x in (seg, *vals)) + ")" for seg, vals in STRATEGIES.items())
-    return f"strat AS (SELECT * FROM (VALUES\n  {rows}) v(segment, {', '.join(ATTRIBUTES)}))"
+def _strategies_values() -> str:
+    return STRATEGY_VALUES
 
 
 def _strategy_long_sql() -> str:
-    from ..operators.strategy import ATTRIBUTES, UNMAPPED
     parts = [f"SELECT n.cluster, upper(n.segment) AS segment, {i + 1} AS ordinal, "
              f"'{a.replace('_', ' ').upper()}' AS attribute, s.{a} AS value "
              f"FROM names n JOIN strat s ON n.segment = s.segment" for i, a in enumerate(ATTRIBUTES)]
-    parts.append(f"SELECT n.cluster, upper(n.segment), 1, 'STRATEGY', '{UNMAPPED}' FROM names n "
+    parts.append(f"SELECT n.cluster, upper(n.segment), 1, 'STRATEGY', 'cluster not mapped to a predefined strategy' FROM names n "
                  f"WHERE n.segment NOT IN (SELECT segment FROM strat)")
     return LAB_PROFILE + ",\n" + _strategies_values() + "\n" + "\nUNION ALL\n".join(parts)
 
 
 def _short_sql() -> str:
-    from ..operators.strategy import SHORT
+    short = {
+        'centralised': ('easy-access zone (area A1)', 'weekly/bi-weekly, large volumes', 'stock-out < 2%, obsolescence < 1%', 'high stock, few suppliers, concentrated distribution'),
+        'dispersed': ('easy-access zone (area A2)', 'weekly, medium volumes', 'stock-out < 3%, pick/pack efficiency > 95%', 'high stock, several suppliers, wide distribution'),
+        'low_turnover': ('deep zone (area C)', 'monthly or on demand', 'obsolescence < 10%, minimise storage cost', 'low stock, suppliers on demand, special monitoring'),
+        'other': ('middle zone (area B)', 'bi-weekly', 'stock-out < 5%, coverage > 90%', 'moderate stock, flexible replenishment'),
+    }
 
     def pick(i):
-        return (f"CASE WHEN contains(segment, 'centralised') THEN '{SHORT['centralised'][i]}' "
-                f"WHEN contains(segment, 'dispersed') THEN '{SHORT['dispersed'][i]}' "
-                f"WHEN contains(segment, 'low_turnover') THEN '{SHORT['low_turnover'][i]}' "
-                f"ELSE '{SHORT['other'][i]}' END")
+        return (f"CASE WHEN contains(segment, 'centralised') THEN '{short['centralised'][i]}' "
+                f"WHEN contains(segment, 'dispersed') THEN '{short['dispersed'][i]}' "
+                f"WHEN contains(segment, 'low_turnover') THEN '{short['low_turnover'][i]}' "
+                f"ELSE '{short['other'][i]}' END")
     return LAB_PROFILE + f"""
 SELECT cluster, segment, {pick(0)} AS storage, {pick(1)} AS replenishment, {pick(2)} AS kpis, {pick(3)} AS summary
 FROM names"""
 
 
+AWKWARD = """CASE product_id % 4 WHEN 0 THEN product_name || chr(10) || 'second "line", '
+  WHEN 1 THEN '"' || product_name || ',"' WHEN 2 THEN '  ' || product_name ELSE product_name END AS product_name"""
+
+
 def _boxplot_sql() -> str:
     longs = "\nUNION ALL\n".join(f"SELECT cluster, '{f}' AS feature, {f}::DOUBLE AS x FROM lab" for f in ZF)
     return LABELLED + f""",
@@ -261,24 +306,51 @@ SELECT cluster, feature, n, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS
        round(whisker_low, 6) + 0.0 AS whisker_low, round(whisker_high, 6) + 0.0 AS whisker_high, outliers FROM w"""
 
 
-def _silhouette_sql() -> str:
+def _silhouette_ctes(lab: str, label: str, p: str) -> str:
+    """CTE ``{p}sil`` with one value: the squared silhouette of ``lab``."""
     zsq = " + ".join(f"z_{f} * z_{f}" for f in ZF)
     dot = " + ".join(f"p.z_{f} * s.y_{f}" for f in ZF)
     ys = ", ".join(f"sum(z_{f}) AS y_{f}" for f in ZF)
-    return LABELLED + f""",
-pts AS (SELECT product_id, cluster, z_volume, z_order_frequency, z_concentration, {zsq} AS sq FROM lab),
-cs AS (SELECT cluster, count(*)::DOUBLE AS n, {ys}, sum({zsq}) AS psi FROM lab GROUP BY cluster),
-pd AS (SELECT p.product_id, p.cluster AS own, s.cluster AS c, s.n,
+    return f"""{p}pts AS (SELECT product_id, {label} AS cluster, z_volume, z_order_frequency, z_concentration, {zsq} AS sq FROM {lab}),
+{p}cs AS (SELECT {label} AS cluster, count(*)::DOUBLE AS n, {ys}, sum({zsq}) AS psi FROM {lab} GROUP BY {label}),
+{p}pd AS (SELECT p.product_id, p.cluster AS own, s.cluster AS c, s.n,
               p.sq + s.psi / s.n - 2.0 * ({dot}) / s.n AS d
-       FROM pts p, cs s),
-per AS (SELECT product_id,
+       FROM {p}pts p, {p}cs s),
+{p}per AS (SELECT product_id,
                max(CASE WHEN c = own THEN d * n / (n - 1.0) END) AS a,
                max(CASE WHEN c = own THEN n END) AS own_n,
                min(CASE WHEN c <> own THEN d END) AS b
-        FROM pd GROUP BY product_id),
-sil AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1.0 - a / b WHEN a > b THEN b / a - 1.0 ELSE 0.0 END AS s
-        FROM per)
-SELECT CASE WHEN (SELECT count(*) FROM cs) >= 2 THEN round(avg(s), 6) END AS silhouette FROM sil"""
+        FROM {p}pd GROUP BY product_id),
+{p}each AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1.0 - a / b WHEN a > b THEN b / a - 1.0 ELSE 0.0 END AS s
+        FROM {p}per),
+{p}sil AS (SELECT CASE WHEN (SELECT count(*) FROM {p}cs) >= 2 THEN round(avg(s), 6) END AS silhouette FROM {p}each)"""
+
+
+def _silhouette_sql() -> str:
+    return LABELLED + ",\n" + _silhouette_ctes("lab", "cluster", "") + "\nSELECT silhouette FROM sil"
+
+
+def _inertia_expr(cs) -> str:
+    return "CASE cluster " + " ".join(f"WHEN {i} THEN {_dist_sql(c)}" for i, c in enumerate(cs)) + " END"
+
+
+def _fixed_sweep_cte() -> str:
+    """CTE ``sweep`` (k, inertia, silhouette) of the first 2, 3 and 4 centers."""
+    parts, rows = [], []
+    for k in (2, 3, 4):
+        cs = CENTERS[:k]
+        parts += [labelled_cte("zs", f"lab{k}", cs), _silhouette_ctes(f"lab{k}", "cluster", f"s{k}")]
+        rows.append(f"SELECT {k} AS k, round(sum({_inertia_expr(cs)}), 6) AS inertia, "
+                    f"(SELECT silhouette FROM s{k}sil) AS silhouette FROM lab{k}")
+    return (CLEAN_FEATURES + ",\n" + scaled_cte("feat", "zs") + ",\n" + ",\n".join(parts)
+            + ",\nsweep AS (" + "\nUNION ALL\n".join(rows) + ")")
+
+
+def _two_models_cte() -> str:
+    """CTEs ``two`` (both labels) and ``sc`` (a, b: both silhouettes)."""
+    return (LAB_PROFILE + ",\n" + labelled_cte("lab", "two", SECOND, "cluster_gmm") + ",\n"
+            + _silhouette_ctes("lab", "cluster", "a") + ",\n" + _silhouette_ctes("two", "cluster_gmm", "b")
+            + ",\nsc AS (SELECT (SELECT silhouette FROM asil) AS a, (SELECT silhouette FROM bsil) AS b)")
 
 
 def _inertia_sql() -> str:
@@ -369,11 +441,11 @@ SELECT s.cluster, coalesce(n.segment, 'undefined') AS segment, s.products,
 FROM sums s LEFT JOIN names n ON s.cluster = n.cluster""",
     "h4_strategy_report": _strategy_long_sql(),
     "h4b_short_strategy": _short_sql(),
-    "a1_csv_roundtrip": CLEAN_FEATURES + "\nSELECT * FROM feat",
+    "a1_csv_roundtrip": CLEAN_FEATURES + f"\nSELECT * REPLACE ({AWKWARD}) FROM feat",
     "a5_export_csv": LAB_PROFILE + """
 SELECT l.product_id, l.product_name, l.volume, l.order_frequency, l.unique_customers, l.concentration,
        l.cluster, n.segment
-FROM lab l LEFT JOIN names n ON l.cluster = n.cluster""",
+FROM (SELECT * REPLACE (""" + AWKWARD + """) FROM lab) l LEFT JOIN names n ON l.cluster = n.cluster""",
     "a6_export_manifest": LABELLED + """
 SELECT column_name, ordinal, (SELECT count(*) FROM lab) AS n_rows FROM (VALUES
   ('product_id', 1), ('product_name', 2), ('volume', 3), ('order_frequency', 4), ('unique_customers', 5),
@@ -398,3 +470,41 @@ ORACLE["g4_lloyd_step_fixed"] = LABELLED + "\n" + "\nUNION ALL\n".join(
 
 ORACLE["a2_preview_transactions"] = ("WITH " + TX + "\nSELECT * FROM tx "
                                      "ORDER BY id, line, date, week, product_id, customer_id LIMIT 5")
+
+ORACLE["f4_best_of_fixed_sweep"] = _fixed_sweep_cte() + """
+SELECT * FROM (SELECT k, inertia, silhouette, 'silhouette' AS choice FROM sweep ORDER BY silhouette DESC, k LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT k, inertia, silhouette, 'inertia' AS choice FROM sweep ORDER BY inertia, k LIMIT 1)"""
+
+ORACLE["g12_bic_fixed"] = LABELLED + """,
+n AS (SELECT count(*)::DOUBLE AS n FROM lab),
+s AS (SELECT CAST(range AS INTEGER) AS k, -n / range AS ll, CAST((range - 1) + range * 3 + range * 6 AS BIGINT) AS parameters, n
+      FROM n, range(2, 11))
+SELECT k, round(ll, 6) AS log_likelihood, parameters, round(-2.0 * ll + parameters * ln(n), 6) AS bic FROM s"""
+
+ORACLE["g16_comparison_fixed"] = _two_models_cte() + """,
+cases AS (SELECT 'as scored' AS "case", a AS silhouette_kmeans, b AS silhouette_gmm FROM sc
+          UNION ALL SELECT 'swapped', b, a FROM sc UNION ALL SELECT 'tie', a, a FROM sc
+          UNION ALL SELECT 'first missing', NULL, b FROM sc UNION ALL SELECT 'second missing', a, NULL FROM sc)
+SELECT *, CASE WHEN silhouette_gmm IS NULL AND silhouette_kmeans IS NOT NULL THEN 'K-means'
+               WHEN silhouette_kmeans > silhouette_gmm THEN 'K-means' ELSE 'GMM' END AS recommended FROM cases"""
+
+ORACLE["e2_two_labellings_fixed"] = _two_models_cte() + """
+SELECT product_id, cluster AS cluster_kmeans, cluster_gmm FROM two"""
+
+ORACLE["h5_executive_fixed"] = _two_models_cte() + f""",
+ine AS (SELECT round(sum({_inertia_expr(CENTERS)}), 6) AS inertia FROM lab)
+SELECT CASE WHEN a > b THEN 'K-means' ELSE 'GMM' END AS recommended_model, 4 AS k_kmeans, a AS silhouette_kmeans,
+       inertia AS inertia_kmeans, 3 AS k_gmm, b AS silhouette_gmm, CAST(NULL AS DOUBLE) AS bic_gmm,
+       prof.cluster, coalesce(segment, 'undefined') AS segment, products
+FROM prof LEFT JOIN names ON prof.cluster = names.cluster, sc, ine"""
+
+ORACLE["h6_final_table_fixed"] = _two_models_cte() + """
+SELECT product_id, product_name, volume, order_frequency, unique_customers, concentration,
+       two.cluster AS cluster_kmeans, cluster_gmm, coalesce(segment, 'undefined') AS segment
+FROM two LEFT JOIN names ON two.cluster = names.cluster"""
+
+ORACLE["h1_smoothed_profile"] = LABELLED + """,
+sm AS (SELECT cluster, volume / (unique_customers + 1.0::DOUBLE) AS c FROM lab)
+SELECT cluster, count(*) AS products, round(avg(c), 6) AS mean_concentration, round(min(c), 6) AS min_concentration,
+       round(max(c), 6) AS max_concentration FROM sm GROUP BY cluster"""

@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import ALL_FEATURES, PRODUCT_ID, PRODUCT_NAME
+from .. import ALL_FEATURES, CONCENTRATION, CUSTOMERS, PRODUCT_ID, PRODUCT_NAME, VOLUME
+from ..functions.columns import concentration_ratio, smoothed_concentration
 from ..functions.naming import UNDEFINED
-from ..operators import profile
+from ..operators import history, profile
+from ..operators.quality import drop_any_null as drop_nulls
 from ..sources import csv_io
 from . import models as M
 
@@ -39,13 +41,30 @@ class Segmentation:
 
 
 def segment(features: DataFrame, ks: Iterable[int] = M.DEFAULT_K, gmm_ks: Iterable[int] = M.DEFAULT_K,
-            seed: int = 42, max_iter: int = 100, parallelism: int | None = None,
-            checkpoint: bool = True) -> Segmentation:
-    mi = M.prepare_model_input(features, checkpoint=checkpoint)
-    km = M.kmeans_sweep(mi, ks, seed, max_iter, parallelism)
-    gm = M.gmm_sweep(mi, gmm_ks, seed, max_iter, parallelism)
-    kb = M.pick_best(km.rows, "silhouette", maximize=True)      # G8
-    gb = M.pick_best(gm.rows, "bic", maximize=False)            # G14
+            seed: int = 42, max_iter: int = 100, parallelism: int = M.PARALLEL_FITS,
+            checkpoint: bool = True, n_init: int = 1, ddof: int = 1, concentration: str | None = None,
+            drop_any_null: bool = False, distinct_points: bool = False,
+            rows_per_partition: int = M.ROWS_PER_PARTITION) -> Segmentation:
+    """Sweeps, choice, final models and names over a feature table.
+
+    ``n_init`` runs every fit that many times and keeps the best;
+    ``ddof=0`` scales by the population standard deviation;
+    ``concentration`` ("ratio", "smoothed") derives it anew from volume and
+    customers; ``drop_any_null`` leaves out feature rows with any null."""
+    if concentration == "smoothed":
+        features = features.withColumn(CONCENTRATION, smoothed_concentration(VOLUME, CUSTOMERS))
+    elif concentration == "ratio":
+        features = features.withColumn(CONCENTRATION, concentration_ratio(VOLUME, CUSTOMERS))
+    elif concentration is not None:
+        raise ValueError(f"unknown concentration formula {concentration!r}")
+    if drop_any_null:
+        features = drop_nulls(features)
+    mi = M.prepare_model_input(features, checkpoint=checkpoint, distinct_points=distinct_points, ddof=ddof,
+                               rows_per_partition=rows_per_partition)
+    km = M.kmeans_sweep(mi, ks, seed, max_iter, parallelism, n_init)
+    gm = M.gmm_sweep(mi, gmm_ks, seed, max_iter, parallelism, n_init)
+    kb = M.chosen_row(km, "silhouette", maximize=True)      # G8
+    gb = M.chosen_row(gm, "bic", maximize=False)            # G14
     # The sweep's model for the chosen k is the final model (same
     # data split and seed give the same fit, so no refit)
     kmodel, gmodel = km.models[kb["k"]], gm.models[gb["k"]]
@@ -70,11 +89,21 @@ def label_join(seg: Segmentation) -> DataFrame:
     return seg.scored.select(PRODUCT_ID, M.KMEANS_COL, M.GMM_COL)
 
 
+def join_labels(first: DataFrame, second: DataFrame) -> DataFrame:
+    """E2 for labels that come from different tables: one row per product
+    of either, null where a table has no label for it."""
+    return first.join(second, PRODUCT_ID, "full_outer").select(PRODUCT_ID, M.KMEANS_COL, M.GMM_COL)
+
+
 def final_table(seg: Segmentation) -> DataFrame:
-    """H6: product, features, both labels and the K-means segment name.
-    The names table has at most k rows: a size-bounded broadcast."""
-    return (seg.scored.join(F.broadcast(seg.names.withColumnRenamed("cluster", M.KMEANS_COL)),
-                            M.KMEANS_COL, "left")
+    """H6: product, features, both labels and the K-means segment name."""
+    return product_table(seg.scored, seg.names)
+
+
+def product_table(scored: DataFrame, names: DataFrame) -> DataFrame:
+    """H6 from scored products and the names of the K-means clusters (at
+    most k rows: a size-bounded broadcast)."""
+    return (scored.join(F.broadcast(names.withColumnRenamed("cluster", M.KMEANS_COL)), M.KMEANS_COL, "left")
             .select(PRODUCT_ID, PRODUCT_NAME, *ALL_FEATURES, M.KMEANS_COL, M.GMM_COL,
                     F.coalesce(F.col("segment"), F.lit(UNDEFINED)).alias("segment")))
 
@@ -87,21 +116,40 @@ def segment_summary(seg: Segmentation) -> DataFrame:
 def executive_summary(seg: Segmentation) -> DataFrame:
     """H5: recommended model and both models' metrics beside the products
     per named K-means cluster (the naming stays on K-means labels)."""
-    sizes = seg.scored.groupBy(M.KMEANS_COL).agg(F.count(F.lit(1)).alias("products"))
+    return summary_table(seg.scored, seg.names, seg.recommended, {**seg.kmeans_best, "k": seg.k},
+                         {**seg.gmm_best, "k": seg.gmm_k})
+
+
+def summary_table(scored: DataFrame, names: DataFrame, recommended: str, kmeans: dict, gmm: dict) -> DataFrame:
+    """H5 from scored products, cluster names and the chosen rows of both sweeps."""
+    sizes = scored.groupBy(M.KMEANS_COL).agg(F.count(F.lit(1)).alias("products"))
+
+    def number(x):
+        return F.lit(x).cast("double")
+
     return (sizes.withColumnRenamed(M.KMEANS_COL, "cluster")
-            .join(F.broadcast(seg.names), "cluster", "left")
-            .select(F.lit(seg.recommended).alias("recommended_model"),
-                    F.lit(seg.k).alias("k_kmeans"), F.lit(seg.kmeans_best["silhouette"]).cast("double")
-                    .alias("silhouette_kmeans"), F.lit(seg.kmeans_best["inertia"]).alias("inertia_kmeans"),
-                    F.lit(seg.gmm_k).alias("k_gmm"), F.lit(seg.gmm_best["silhouette"]).cast("double")
-                    .alias("silhouette_gmm"), F.lit(seg.gmm_best["bic"]).alias("bic_gmm"),
+            .join(F.broadcast(names), "cluster", "left")
+            .select(F.lit(recommended).alias("recommended_model"),
+                    F.lit(kmeans["k"]).alias("k_kmeans"), number(kmeans["silhouette"]).alias("silhouette_kmeans"),
+                    number(kmeans["inertia"]).alias("inertia_kmeans"),
+                    F.lit(gmm["k"]).alias("k_gmm"), number(gmm["silhouette"]).alias("silhouette_gmm"),
+                    number(gmm["bic"]).alias("bic_gmm"),
                     "cluster", F.coalesce(F.col("segment"), F.lit(UNDEFINED)).alias("segment"), "products"))
 
 
 def export(seg: Segmentation, path: str, fmt: str = "csv") -> DataFrame:
-    """A5 + A6: write the final table, return the manifest of what was written."""
-    csv_io.write_csv(final_table(seg), path, fmt)
-    schema = ("product_id bigint, product_name string, volume bigint, order_frequency bigint, "
-              "unique_customers bigint, concentration double, cluster_kmeans int, cluster_gmm int, "
-              "segment string") if fmt == "csv" else None
-    return csv_io.write_manifest(seg.input.df.sparkSession, path, fmt, schema)
+    """A5 + A6: write the final table, return the manifest of what was
+    written (rows counted by the write itself)."""
+    return csv_io.write_counted(final_table(seg), path, fmt)
+
+
+def label_products(seg: Segmentation, features: DataFrame) -> DataFrame:
+    """Any feature rows scaled and labelled by the run's K-means model, as
+    its final table is."""
+    return seg.kmeans_model.transform(M.scale_like(seg.input, features))
+
+
+def fitted_transitions(seg: Segmentation, period_feats: DataFrame) -> DataFrame:
+    """X2 on the fitted segments: the label of each product in period 1 and
+    2 (``history.period_features``), by the run's scaling and centers."""
+    return history.pivot_periods(label_products(seg, period_feats).withColumnRenamed(M.KMEANS_COL, "cluster"))

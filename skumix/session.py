@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -65,3 +65,29 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (for written tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "skumix", *parts, uuid.uuid4().hex)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files) and, unlike an RDD
+    checkpoint, keeps column pruning, filter push-down and true sizes."""
+    path = shared_path(df.sparkSession, "tables", name)
+    df.write.parquet(path)
+    _SCRATCH.append((df.sparkSession.sparkContext.applicationId, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[tuple[str, str]] = []
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the tables this application has written to the shared folder
+    for its own use; returns how many.  Call when their readers are done."""
+    app, jvm = spark.sparkContext.applicationId, spark.sparkContext._jvm
+    mine = [p for a, p in _SCRATCH if a == app]
+    for p in mine:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _SCRATCH[:] = [x for x in _SCRATCH if x[0] != app]
+    return len(mine)

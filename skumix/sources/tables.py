@@ -49,10 +49,12 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
 
     Required roles must be present; optional roles (quantity) are kept
     only when mapped and present.  Never binds by position.  The date
-    role, when given, is cast to a date and its ISO week key derived; a
-    ``week`` role takes an existing week column as is.  ``keep_others``
-    carries every unmapped source column along unchanged, so that a
-    whole-row deduplication still sees them.
+    role, when given, is cast to a date and its ISO week key derived; if
+    the source holds more than a date (a time of day, text), it is kept as
+    ``date_source``, so that two transactions of one day stay two rows
+    through a whole-row deduplication.  A ``week`` role takes an existing
+    week column as is.  ``keep_others`` carries every unmapped source
+    column along unchanged.
     """
     required = [r for r in ("id", "product_id", "customer_id") if r not in roles]
     if required:
@@ -64,13 +66,15 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
         c = F.col(source)
         if role == "date":
             cols.append(c.cast("date").alias("date"))
+            if df.schema[source].dataType.simpleString() != "date":
+                cols.append(c.alias("date_source"))
             if "week" not in roles:
                 cols.append(week_key(c).alias("week", metadata=DERIVED_WEEK))
         else:
             cols.append(c.alias(role))
     if keep_others:
         mapped = set(roles.values())
-        taken = set(roles) | {"date", "week"}
+        taken = set(roles) | {"date", "week", "date_source"}
         cols += [F.col(c) for c in df.columns if c not in mapped and c not in taken]
     return df.select(*cols)
 
@@ -86,6 +90,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    # the ship date is a day: its type may be a timestamp at midnight, which adds nothing
+    joined = joined.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     return bind_roles(joined, TPCH_TRANSACTION_ROLES).select(*TRANSACTION_COLUMNS)
 
 

@@ -21,11 +21,10 @@ def test_bic_formula():
 
 def test_selection_ties_smallest_k(spark):
     rows = [{"k": 2, "silhouette": 0.5}, {"k": 3, "silhouette": 0.7}, {"k": 4, "silhouette": 0.7}]
-    assert M.pick_best(rows, "silhouette", True)["k"] == 3
     t = spark.createDataFrame([(r["k"], r["silhouette"]) for r in rows], "k int, silhouette double")
     assert M.best_of_sweep(t, "silhouette", True).first().k == 3
-    rows = [{"k": 2, "bic": 5.0}, {"k": 3, "bic": 1.0}, {"k": 4, "bic": 1.0}]
-    assert M.pick_best(rows, "bic", False)["k"] == 3
+    t = spark.createDataFrame([(2, 5.0), (3, 1.0), (4, 1.0)], "k int, bic double")
+    assert M.best_of_sweep(t, "bic", False).first().k == 3
 
 
 def test_model_tie_rule():
@@ -104,9 +103,65 @@ def test_tiny_k_fewer_centers(spark):
 
 def test_model_partitions_depend_on_rows_only():
     assert M.model_partitions(2_000) == 1
-    assert M.model_partitions(20_000) == 4
     assert M.model_partitions(20_000_000_000) == 20_000
-    assert M.model_partitions(10 ** 12) == 65_536
+    assert M.model_partitions(10 ** 12) == 1_000_000
+    assert M.model_partitions(20_000, rows_per_partition=5_000) == 4
+
+
+def test_default_sweep_is_the_per_product_sweep(spark):
+    from skumix.plans.catalog import clean_features
+    f = clean_features(spark, "/root/testdata/sf0.01")
+    mi = M.prepare_model_input(f, checkpoint=False)
+    assert not mi.weighted
+    got = {r["k"]: r["inertia"] for r in M.kmeans_sweep(mi, ks=(2, 3, 5)).rows}
+    for k, cost in got.items():
+        one = M.KMeans(k=k, seed=42, maxIter=100, featuresCol=M.FEATURES_COL).fit(mi.df.select(M.FEATURES_COL))
+        assert one.summary.trainingCost == pytest.approx(cost, rel=1e-12)
+    mi.release()
+
+
+def test_sweep_keeps_the_best_run_per_k(spark):
+    mi = M.prepare_model_input(clean_features(spark, SF), checkpoint=False)
+    many = M.kmeans_sweep(mi, ks=(3, 4), max_iter=15, n_init=3)
+    for r in many.rows:
+        costs = {s: M.fit_kmeans(mi, r["k"], s, 15).summary.trainingCost for s in (42, 43, 44)}
+        assert r["inertia"] == min(costs.values()) and costs[r["seed"]] == r["inertia"]
+        assert many.models[r["k"]].summary.trainingCost == r["inertia"]
+    g = M.gmm_sweep(mi, ks=(2,), max_iter=10, n_init=2).rows[0]
+    assert g["log_likelihood"] == max(M.fit_gmm(mi, 2, s, 10).summary.logLikelihood for s in (42, 43))
+    mi.release()
+
+
+def test_population_scaling_reaches_the_models(spark):
+    f = clean_features(spark, SF)
+    a, b = M.prepare_model_input(f, checkpoint=False), M.prepare_model_input(f, checkpoint=False, ddof=0)
+    for x, y in zip(a.std, b.std):
+        assert y == pytest.approx(x * math.sqrt((a.n - 1) / a.n), rel=1e-12)
+    from pyspark.ml.functions import vector_to_array
+    z = b.df.select(vector_to_array(M.FEATURES_COL)[0].alias("z")).agg(F.stddev_pop("z")).first()[0]
+    assert z == pytest.approx(1.0, rel=1e-9)
+    a.release()
+    b.release()
+
+
+def test_second_pipeline_options(spark):
+    seg = S.segment(clean_features(spark, SF), ks=(2, 3), gmm_ks=(2,), max_iter=10, ddof=0,
+                    concentration="smoothed", drop_any_null=True, checkpoint=False)
+    r = S.final_table(seg).first()
+    assert r.concentration == pytest.approx(r.volume / (r.unique_customers + 1))
+    seg.release()
+
+
+def test_transitions_use_the_run_s_own_labels(seg, spark):
+    """Any period's products are labelled as the final table labels them."""
+    again = S.label_products(seg, clean_features(spark, SF)).select("product_id", F.col(M.KMEANS_COL).alias("c"))
+    final = S.final_table(seg)
+    assert final.join(again, "product_id").where(F.col(M.KMEANS_COL) != F.col("c")).count() == 0
+    periods = clean_features(spark, SF).withColumn("period", F.lit(1))
+    both = periods.unionByName(periods.withColumn("period", F.lit(2)))
+    moves = S.fitted_transitions(seg, both)
+    assert moves.where("cluster_before <> cluster_after or cluster_before is null").count() == 0
+    assert moves.count() == seg.input.n
 
 
 def test_nan_and_null_metrics_never_win(spark):
@@ -114,8 +169,6 @@ def test_nan_and_null_metrics_never_win(spark):
     t = spark.createDataFrame(rows, "k int, silhouette double")
     assert M.best_of_sweep(t, "silhouette", True).first().k == 3
     assert M.best_of_sweep(t, "silhouette", False).first().k == 3
-    dicts = [{"k": k, "silhouette": v} for k, v in rows]
-    assert M.pick_best(dicts, "silhouette", True)["k"] == 3
 
 
 def test_concurrent_sweeps_repeat_exactly(spark):
@@ -140,10 +193,11 @@ def test_restarts_choose_best_run_per_model(seg):
         assert chosen[0].score == better(r.score for r in runs)
 
 
-def test_distinct_point_training_scores_every_product(seg, spark):
+def test_distinct_point_training_scores_every_product(spark):
     """Fits on weighted distinct points: the silhouette equals MLlib's
     evaluator over every product, and every product gets a label."""
     from pyspark.ml.evaluation import ClusteringEvaluator
+    seg = S.segment(clean_features(spark, SF), ks=(2, 3), gmm_ks=(2,), max_iter=20, distinct_points=True)
     mi = seg.input
     assert mi.weighted and mi.n_points < mi.n
     assert mi.points.agg(F.sum(M.WEIGHT_COL)).first()[0] == mi.n
@@ -152,11 +206,12 @@ def test_distinct_point_training_scores_every_product(seg, spark):
     ref = ClusteringEvaluator(featuresCol=M.FEATURES_COL, predictionCol=M.KMEANS_COL).evaluate(full)
     assert seg.kmeans_best["silhouette"] == pytest.approx(ref, abs=1e-9)
     assert seg.scored.count() == mi.n
+    seg.release()
 
 
-def test_unweighted_training_still_available(spark):
-    mi = M.prepare_model_input(clean_features(spark, SF), checkpoint=False, distinct_points=False)
-    assert not mi.weighted and mi.fit_rows == mi.n
+def test_per_product_training_is_the_default(spark):
+    mi = M.prepare_model_input(clean_features(spark, SF), checkpoint=False)
+    assert not mi.weighted and mi.n_points < mi.n
     sw = M.kmeans_sweep(mi, ks=(2, 3), max_iter=10)
     assert all(-1 <= r["silhouette"] <= 1 for r in sw.rows)
     mi.release()
@@ -172,7 +227,7 @@ def test_weighted_gmm_likelihood_counts_copies(spark):
     rows = [(i, "p", v, f, 1, c) for i, (v, f, c) in enumerate(base * 25)]
     df = spark.createDataFrame(rows, "product_id long, product_name string, volume long, order_frequency long, "
                                      "unique_customers long, concentration double")
-    mi = M.prepare_model_input(df, checkpoint=False)
+    mi = M.prepare_model_input(df, checkpoint=False, distinct_points=True)
     assert mi.weighted and mi.n_points == len(base) and mi.n == len(rows)
     g = M.GaussianMixture(k=2, seed=42, maxIter=500, tol=1e-10, featuresCol=M.FEATURES_COL,
                           weightCol=M.WEIGHT_COL).fit(mi.fit_frame)
@@ -190,8 +245,8 @@ def test_weighted_gmm_likelihood_counts_copies(spark):
 
 def test_weighted_scaling_statistics_equal_standard_scaler(spark):
     f = clean_features(spark, SF)
-    weighted = M.prepare_model_input(f, checkpoint=False)
-    per_row = M.prepare_model_input(f, checkpoint=False, distinct_points=False)
+    weighted = M.prepare_model_input(f, checkpoint=False, distinct_points=True)
+    per_row = M.prepare_model_input(f, checkpoint=False)
     assert weighted.n == per_row.n
     for a, b in zip(weighted.mean + weighted.std, per_row.mean + per_row.std):
         assert a == pytest.approx(b, rel=1e-12)

@@ -21,6 +21,18 @@ def _input(spark, base):
     return src
 
 
+def _alerts(spark, state):
+    return monitor.read_alerts(spark, state).select("product_id", "cluster_before", "cluster_after", "change")
+
+
+def _want(spark, master):
+    return history.transition_alerts(history.period_transitions(tables.transactions(spark, SF), master, CUT))
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_stream_alerts_equal_batch_and_replay_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="skumix-stream-")
     src = _input(spark, base)
@@ -28,13 +40,26 @@ def test_stream_alerts_equal_batch_and_replay_is_idempotent(spark):
     state = os.path.join(base, "state")
     q = monitor.start_transition_monitor(spark, src, master, state, os.path.join(base, "ckpt"))
     q.awaitTermination()
-    got = monitor.read_alerts(spark, state).select("product_id", "cluster_before", "cluster_after", "change")
-    before, after = history.period_labels(tables.transactions(spark, SF), master, CUT)
-    want = history.transition_alerts(history.segment_transitions(before, after))
-    assert got.count() > 0
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # a replayed micro-batch rewrites the same period folders
-    batch = spark.read.schema(monitor.TX_STREAM_SCHEMA).parquet(src)
-    monitor.process_periods(batch, master, state)
-    again = monitor.read_alerts(spark, state).select("product_id", "cluster_before", "cluster_after", "change")
-    assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
+    got, want = _alerts(spark, state), _want(spark, master)
+    assert got.count() > 0 and _same(got, want)
+    # a replayed micro-batch rewrites the same folders
+    monitor.process_batch(spark.read.schema(monitor.TX_STREAM_SCHEMA).parquet(src), 0, master, state)
+    assert _same(_alerts(spark, state), want)
+
+
+def test_split_late_and_half_written_periods_equal_the_batch_result(spark):
+    """Period 1 comes late and in two batches; the first reference write
+    ends without its success mark."""
+    base = tempfile.mkdtemp(prefix="skumix-stream-")
+    master = tables.product_master(spark, SF)
+    state = os.path.join(base, "state")
+    rows = spark.read.schema(monitor.TX_STREAM_SCHEMA).parquet(_input(spark, base))
+    monitor.process_batch(rows.where("period = 2 and id % 2 = 0"), 0, master, state)
+    os.remove(os.path.join(state, "reference", "_SUCCESS"))
+    monitor.process_batch(rows.where("period = 1 and id % 3 = 0"), 1, master, state)
+    monitor.process_batch(rows.where("period = 2 and id % 2 = 1"), 2, master, state)
+    monitor.process_batch(rows.where("period = 1 and id % 3 <> 0"), 3, master, state)
+    want = _want(spark, master)
+    assert _same(_alerts(spark, state), want)
+    monitor.process_batch(rows.where("period = 1 and id % 3 = 0"), 1, master, state)  # replay
+    assert _same(_alerts(spark, state), want)
