@@ -82,15 +82,15 @@ covered AS (
   FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM twice) GROUP BY rid),
 m AS (
   SELECT d.rid, doc_id, len(w) AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
-         len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-           - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
-         len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
+         len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
          coalesce(c.n, 0) AS n_repeat_words,
          len(regexp_extract_all(text, '!')) AS n_exclaim,
          len(regexp_extract_all(text, '\p{Lu}')) AS n_upper,
-         len(list_filter(w, x -> lower(x) IN (
+         len(list_filter(w, lambda x: lower(x) IN (
            'the','of','and','to','in','is','that','for','it','as','was','with','be','by','on','not','he','his','but','at','are','this','have','from','or','had',
            'a','la','le','les','de','des','du','et','en','un','une','que','qui','dans','pour','sur','pas','par','au','ne','se','ce','il','plus','est','sont','avec',
            'el','los','las','y','del','con','su','para','al','lo','como','más','o','es',
