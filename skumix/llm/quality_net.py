@@ -38,7 +38,7 @@ REACH = 2          # neighbours on either side
 HIDDEN = 32
 PER_CLASS = 4000   # bound of the labelled sample, rows of each class
 THRESHOLD = 0.5    # fixed value: predicted = 1 from this score on
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 SEED = 10
 
 LOWER, UPPER, DIGIT = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
@@ -100,6 +100,13 @@ def word_vectors(docs: DataFrame):
         seen = np.zeros(TERMS * SHAPES, np.int32)  # neighbour shapes of every term
         total = np.zeros((TERMS, WIDTH), np.int64)
         index, held = index_vectors(), 0
+
+        def fold():
+            table = seen.reshape(TERMS, SHAPES)
+            for i in range(0, TERMS, 512):  # exact: the sums stay below 2^53
+                total[i:i + 512] += (table[i:i + 512].astype(np.float64) @ index).astype(np.int64)
+            seen[:] = 0
+
         for b in batches:
             for text in b.column("text").to_pylist():
                 w, s = terms.of(text)
@@ -109,9 +116,9 @@ def word_vectors(docs: DataFrame):
                         np.add.at(seen, (WORDS + s[a]) * SHAPES + s[c], 1)
                 held += len(w)
                 if held > 50_000_000:  # before 32 bits can overflow
-                    total += seen.reshape(TERMS, SHAPES) @ index
-                    seen[:], held = 0, 0
-        total += seen.reshape(TERMS, SHAPES).astype(np.float64).dot(index).astype(np.int64)
+                    fold()
+                    held = 0
+        fold()
         used = np.nonzero(total.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), *(pa.array(np.ascontiguousarray(total[used, i])) for i in range(WIDTH))],
@@ -212,7 +219,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
     rows = sorted(((r["calib"], r["y"], r["f"]) for r in sample.select("y", "calib", "text").mapInArrow(
         inputs, "y int, calib boolean, f array<double>").collect()))
     x = np.array([r[2] for r in rows])
-    y, calib = np.array([r[1] for r in rows], float), np.array([r[0] for r in rows])
+    y, calib = np.array([r[1] for r in rows], float), np.array([r[0] for r in rows], bool)
     if len(set(y[~calib])) < 2:
         return {"constant": totals[1] / sum(totals)}
     share = np.where(y == 1, totals[1] / max(1, y.sum()), totals[0] / max(1, (1 - y).sum()))
