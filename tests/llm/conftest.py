@@ -1,7 +1,13 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_helpers import LONG  # noqa: E402
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-LONG = " ".join(f"wort{i % 700} der" for i in range(6000))
 
 
 @pytest.fixture(scope="session")
@@ -23,15 +29,3 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def labels(spark):
     return spark.createDataFrame([], "doc_id long, quality int, toxic int")
-
-
-def clashing(df, names):
-    """The same rows with further columns named like an operator's own."""
-    from pyspark.sql import functions as F
-    for n in names:
-        df = df.withColumn(n, F.lit("x"))
-    return df
-
-
-def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest import LONG, clashing, rows_of
+from llm_helpers import LONG, clashing, rows_of
 from skumix.llm import common, hmm, quality_net, quality_rules, toxicity
 
 SF = "/root/testdata/sf0.01"

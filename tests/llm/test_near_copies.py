@@ -5,7 +5,7 @@ import random
 import numpy as np
 import xxhash
 
-from conftest import clashing
+from llm_helpers import clashing
 from skumix.llm import embed_lsh, simhash
 from skumix.llm.components import components
 

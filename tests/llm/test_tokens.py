@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import clashing, rows_of
+from llm_helpers import clashing, rows_of
 from skumix.llm import bpe, packing, prefix_counts
 
 ALPHABET = (list("abcdefgh thenandi'streovml 0123.,!?\n\t  ")
