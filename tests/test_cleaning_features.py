@@ -24,7 +24,7 @@ def test_null_keys_filter_vs_any_null(spark):
 def test_exact_duplicates(spark):
     rows = [(1, 1, 10, 100, 1)] * 3 + [(1, 2, 10, 100, 1)]
     df = spark.createDataFrame(rows, TX)
-    d = quality.deduplicate(df)
+    d = feat.clean_transactions(df)
     assert d.count() == 2
     audit = quality.duplicate_audit(df).first()
     assert (audit.rows, audit.distinct_rows, audit.removed) == (4, 2, 2)
