@@ -38,7 +38,7 @@ REACH = 2          # neighbours on either side
 HIDDEN = 32
 PER_CLASS = 4000   # bound of the labelled sample, rows of each class
 THRESHOLD = 0.5    # fixed value: predicted = 1 from this score on
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
 SEED = 10
 
 LOWER, UPPER, DIGIT = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
