@@ -29,7 +29,7 @@ from .common import ids_and_text
 
 # Fixed value: the pattern that cuts texts into pre-tokens.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO_CHUNKS = 300_000   # pieces of text a worker remembers
+MEMO_CHUNKS = 150_000   # pieces of text a worker remembers
 STRIDE = 1_000_000      # characters encoded at once
 
 
@@ -96,7 +96,7 @@ class Tables:
         """Whether the merges leave the border between tokens a and b alone."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 100_000:
                 self.pairs.clear()
             known = self.pairs[(a, b)] = self._border_stays(a, b)
         return known

@@ -12,6 +12,22 @@ from ..session import shared_path
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: a word is a run of anything but ASCII white space
 
 
+# Rows and bytes of an Arrow batch between the JVM and Python.  Spark's own
+# defaults hold 10,000 texts at once, several times over.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+           "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m")}
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, with small Arrow batches set for its session unless the
+    session has values of its own: memory of a task is bounded by them."""
+    conf = df.sparkSession.conf
+    for key, (default, ours) in BATCHES.items():
+        if conf.get(key, None) == default:
+            conf.set(key, ours)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -28,7 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) alone, null text as empty: further columns of the input,
     whatever their names, cannot clash with an operator's own."""
-    return docs.select(F.col(id_col).alias("doc_id"),
+    return in_batches(docs).select(F.col(id_col).alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_batches, written
 from .components import components
 
 THRESHOLD = 0.95  # fixed value: least cosine of a link
@@ -37,13 +37,12 @@ SEED = 20
 
 def hadamard(x):
     """Fast Hadamard transform of the rows of a float array (width 2^k)."""
+    import numpy as np
     n, d = x.shape
     h = 1
     while h < d:
         x = x.reshape(n, d // (2 * h), 2, h)
-        x = (x[:, :, :1] + x[:, :, 1:], x[:, :, :1] - x[:, :, 1:])
-        import numpy as np
-        x = np.concatenate(x, axis=2).reshape(n, d)
+        x = np.concatenate([x[:, :, :1] + x[:, :, 1:], x[:, :, :1] - x[:, :, 1:]], axis=2).reshape(n, d)
         h *= 2
     return x / d ** 0.5
 
@@ -209,7 +208,7 @@ def _valid(c: str) -> Column:
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
                     vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
-    base = vectors.select(F.col(id_col).alias("vec_id"),
+    base = in_batches(vectors).select(F.col(id_col).alias("vec_id"),
                           F.col(vector_col).cast("array<double>").alias("embedding"))
     base = base.withColumn("ok", _valid("embedding"))
     reps = written(base.where("ok").groupBy("embedding")

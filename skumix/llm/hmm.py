@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import crc_mod, ids_and_text, written
 
@@ -51,7 +52,6 @@ def _encode(buckets: int, kind: str):
 
     def pack(part, ids, held, lengths, tokens, local):
         import numpy as np
-        import pyarrow as pa
         words = list(local)
         bucket = np.array([zlib.crc32(w) % buckets for w in words], np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -291,7 +291,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     d = ids_and_text(docs, id_col, text_col)
     d = d.select("doc_id", "text", F.coalesce(crc_mod(F.col("doc_id"), FOLDS) == HELD, F.lit(False)).alias("held"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(d.schema["doc_id"].dataType)
     buckets = max(32, 2 * d.rdd.getNumPartitions())
     rows = written(d.mapInArrow(
         _encode(buckets, arrow), f"kind int, part long, doc_ids array<{kind}>, held array<boolean>, "

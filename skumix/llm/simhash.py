@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import free_name, in_batches, written
 from .components import components
 
 SHINGLE = 4        # fixed value: words of a shingle
@@ -34,7 +34,7 @@ RADIUS = 4         # fixed value: bits in which linked fingerprints may differ
 SEED = 42          # fixed value: seed of XXH64
 PREFIX_BITS = 16   # leading bits of a variant that decide where it is compared
 CHUNK_ROWS = 32_768          # received rows compared at once
-SLICE_VARIANTS = 8_000_000   # variants held at once
+SLICE_VARIANTS = 2_000_000   # variants held at once
 
 
 def fingerprint(text: bytes) -> int:
@@ -161,7 +161,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, prefix_bits: int = PREFIX_B
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows with doc_id, text hash, fp), (fp, root of its component)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    d = in_batches(docs).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     rows = written(d.mapInArrow(_fingerprints, f"doc_id {kind}, h long, fp long"), "simhash-fp")
     distinct = written(rows.select("fp").distinct(), "simhash-distinct")
@@ -190,7 +190,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = (first.join(comp, "fp").groupBy("root").agg(F.min("s").alias("s"))
             .select(F.col("s.doc_id").alias("k_id"), F.col("s.h").alias("k_h")))
     kept = written(kept, "simhash-kept")
-    h, copy = free_name(docs, "text_hash"), free_name(docs, "copy")
+    h = free_name(docs, "text_hash")
     d = docs.withColumn(h, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     joined = d.join(kept, d[id_col].eqNullSafe(kept["k_id"]) & (d[h] == kept["k_h"]), "left_semi")
-    return joined.dropDuplicates([id_col, h]).drop(h, copy)
+    return joined.dropDuplicates([id_col, h]).drop(h)
