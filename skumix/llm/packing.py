@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import ChunkCoder, default_vocabulary, vocabulary
+from .bpe import PRETOKEN, byte_symbols, default_vocabulary, vocabulary
 from .common import ids_and_text, written
 
 MAX_TOKENS = 1024   # fixed value: tokens of a sequence
@@ -28,28 +28,25 @@ END_ID = 0          # fixed value: the id that ends every document
 BUCKET_ROWS = 20_000  # pieces ranked together, on average
 
 
-def library_coder(state: dict) -> ChunkCoder:
-    """Ids by the tokenizers library, chunk by chunk (little-endian u32)."""
-    if "library_coder" not in state:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
-        from tokenizers import Tokenizer
-        t = Tokenizer.from_buffer(state["content"])
-        t.no_truncation()
-        t.no_padding()
-        pack = lambda e: np.array(e.ids, "<u4").tobytes()
+def library_encoder(state: dict):
+    """Text -> ids, by a merge library over the vocabulary file's own tokens,
+    merge order, pre-token pattern and special strings (the file's bytes are
+    broadcast; built once per worker)."""
+    if "encoder" not in state:
+        import json
 
-        def many(chunks: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for i in range(0, len(chunks), 10_000):
-                out += map(pack, t.encode_batch_fast(chunks[i:i + 10_000], add_special_tokens=False))
-            return out
-
-        state["library_coder"] = ChunkCoder(
-            many, lambda x: [pack(t.encode(x, add_special_tokens=False))],
-            tuple(a.content for a in t.get_added_tokens_decoder().values()))
-    return state["library_coder"]
+        import tiktoken
+        spec, symbols = json.loads(state["content"]), byte_symbols()
+        ranks = {bytes(symbols[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        order = [spec["model"]["vocab"][a + b] for a, b in merges]
+        if order != sorted(order):
+            raise ValueError("the vocabulary's ids do not follow its merge order")
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        encoding = tiktoken.Encoding("vocabulary", pat_str=PRETOKEN, mergeable_ranks=ranks,
+                                     special_tokens=special)
+        state["encoder"] = lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+    return state["encoder"]
 
 
 def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
@@ -62,12 +59,12 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = Non
         import zlib
 
         import pyarrow as pa
-        coder = library_coder(bc.value)
+        encode = library_encoder(bc.value)
         end = END_ID.to_bytes(4, "little")
         for b in batches:
             rows, start, length, crc, total, ids = [], [], [], [], [], []
-            for i, v in enumerate(coder.code(b.column("text").to_pylist())):
-                data = b"".join(v) + end
+            for i, text in enumerate(b.column("text").to_pylist()):
+                data = encode(text).astype("<u4").tobytes() + end
                 n = len(data) // 4
                 for s in range(0, n, max_tokens):
                     part = data[4 * s:4 * (s + max_tokens)]
