@@ -97,11 +97,24 @@ def word_vectors(docs: DataFrame):
         import numpy as np
         import pyarrow as pa
         terms = _terms(bc.value)
-        seen = np.zeros(TERMS * SHAPES, np.int32)  # neighbour shapes of every term
+        index = index_vectors()
         total = np.zeros((TERMS, WIDTH), np.int64)
-        index, held = index_vectors(), 0
+        seen = np.zeros(TERMS * SHAPES, np.int32)  # neighbour shapes of every term
+        keys: list = []
+        held = waiting = 0
+
+        def tally():
+            if keys:
+                k = np.concatenate(keys)
+                # words and shapes apart: a count array of one part at a time
+                cut = WORDS * SHAPES
+                for lo, hi in ((0, cut), (cut, TERMS * SHAPES)):
+                    part = k[(k >= lo) & (k < hi)] - lo
+                    seen[lo:hi] += np.bincount(part, minlength=hi - lo).astype(np.int32)
+                keys.clear()
 
         def fold():
+            tally()
             table = seen.reshape(TERMS, SHAPES)
             for i in range(0, TERMS, 512):  # exact: the sums stay below 2^53
                 total[i:i + 512] += (table[i:i + 512].astype(np.float64) @ index).astype(np.int64)
@@ -112,9 +125,13 @@ def word_vectors(docs: DataFrame):
                 w, s = terms.of(text)
                 for o in range(1, REACH + 1):
                     for a, c in ((slice(o, None), slice(None, -o)), (slice(None, -o), slice(o, None))):
-                        np.add.at(seen, w[a] * SHAPES + s[c], 1)
-                        np.add.at(seen, (WORDS + s[a]) * SHAPES + s[c], 1)
+                        keys.append(w[a] * SHAPES + s[c])
+                        keys.append((WORDS + s[a]) * SHAPES + s[c])
+                waiting += len(w)
                 held += len(w)
+                if waiting > 200_000:
+                    tally()
+                    waiting = 0
                 if held > 50_000_000:  # before 32 bits can overflow
                     fold()
                     held = 0
@@ -140,16 +157,21 @@ def document_inputs(terms: Terms, vectors, text: str):
     out = np.zeros(4 * WIDTH + 2)
     if not len(w):
         return out
-    total = [np.zeros(WIDTH), np.zeros(WIDTH), np.zeros(WIDTH), np.zeros(WIDTH)]
-    for i in range(0, len(w), 4096):  # bounded memory for long texts
-        for k, ids in enumerate((w[i:i + 4096], WORDS + s[i:i + 4096])):
-            v = vectors[ids]
-            total[2 * k] += v.sum(axis=0)
-            total[2 * k + 1] += np.einsum("ij,ij->j", v, v)
-    for k in (0, 1):
-        mean = total[2 * k] / len(w)
+    for k, ids in enumerate((w, WORDS + s)):
+        if k:  # few shapes: their counts times their vectors
+            counts = np.bincount(s, minlength=SHAPES)
+            own = np.nonzero(counts)[0]
+            v, n = vectors[WORDS + own].astype(np.float64), counts[own]
+            mean, square = n @ v / len(w), n @ (v * v) / len(w)
+        else:
+            mean, square = np.zeros(WIDTH), np.zeros(WIDTH)
+            for i in range(0, len(w), 4096):  # bounded memory for long texts
+                v = vectors[ids[i:i + 4096]]
+                mean += v.sum(axis=0)
+                square += (v * v).sum(axis=0)
+            mean, square = mean / len(w), square / len(w)
         out[2 * k * WIDTH:(2 * k + 1) * WIDTH] = mean
-        out[(2 * k + 1) * WIDTH:(2 * k + 2) * WIDTH] = np.sqrt(np.maximum(total[2 * k + 1] / len(w) - mean ** 2, 0))
+        out[(2 * k + 1) * WIDTH:(2 * k + 2) * WIDTH] = np.sqrt(np.maximum(square - mean ** 2, 0))
     out[-2], out[-1] = np.log1p(len(w)), len(set(text.split())) / len(w)
     return out
 
