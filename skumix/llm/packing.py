@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import PRETOKEN, byte_symbols, default_vocabulary, vocabulary
+from .bpe import PRETOKEN, byte_symbols, default_vocabulary, id_coder, vocabulary
 from .common import ids_and_text, written
 
 MAX_TOKENS = 1024   # fixed value: tokens of a sequence
@@ -31,10 +31,13 @@ BUCKET_ROWS = 20_000  # pieces ranked together, on average
 def library_encoder(state: dict):
     """Text -> ids, by a merge library over the vocabulary file's own tokens,
     merge order, pre-token pattern and special strings (the file's bytes are
-    broadcast; built once per worker)."""
+    broadcast; built once per worker).  Its pattern engine gives up on a run
+    of about a million white-space characters; such a text is encoded by the
+    operator's own tables, which give the same ids."""
     if "encoder" not in state:
         import json
 
+        import numpy as np
         import tiktoken
         spec, symbols = json.loads(state["content"]), byte_symbols()
         ranks = {bytes(symbols[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
@@ -45,7 +48,14 @@ def library_encoder(state: dict):
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         encoding = tiktoken.Encoding("vocabulary", pat_str=PRETOKEN, mergeable_ranks=ranks,
                                      special_tokens=special)
-        state["encoder"] = lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+
+        def encode(text: str):
+            try:
+                return encoding.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # the pattern engine's backtracking stack is full
+                return np.frombuffer(b"".join(next(id_coder(state).code([text]))), "<u4")
+
+        state["encoder"] = encode
     return state["encoder"]
 
 

@@ -82,6 +82,12 @@ def test_encode_and_counts_over_odd_rows(docs, empty, library):
     assert cut[2] == 0 and cut[1] == len("the quick brown fox")
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 2_000_000 + "b c", "a" + "\n" * 2_000_000 + "b",
+                                  " " * 2_000_000, "x<|endoftext|>" + " \r\n" * 700_000 + "<|endoftext|> 中 don't"])
+def test_packing_encodes_white_space_runs_of_millions(library, state, text):
+    assert packing.library_encoder(state)(text).tolist() == _ids(library, text)
+
+
 def _check_packing(rows, texts, library, size):
     """Every id in one piece, sequences gapless and within the size."""
     whole = {}
