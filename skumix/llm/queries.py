@@ -17,7 +17,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = secrets.scan(table(spark, sf_dir, "documents"))
     return s.select("doc_id", "n_assign", "n_access", "n_hex",
                     F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
-                    "spans", "n_layers")
+                    "spans", "n_layers", "oversized_layers")
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
