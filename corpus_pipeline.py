@@ -40,8 +40,9 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids in sequences of at most 1024."""
-    return packing.pack(docs)
+    """The documents' token ids in sequences of at most 1024: the pieces with
+    their ids, those of a sequence one after the other."""
+    return packing.piece_rows(packing.pack_sequences(docs), with_ids=True)
 
 
 STAGES = [

@@ -8,6 +8,8 @@ the driver, longest lengths first, each into the packs with the most room,
 updating the counts of packing patterns.  The patterns' slots are then
 joined back to the pieces by the piece's rank among those of its length.
 Ranks are made from bucket counts, so no task sees all pieces of a length.
+``pack`` gives the pieces' places; ``pack_sequences`` carries the ids along
+(compressed) and gives the sequences themselves, ids in order.
 
 Defined results: a null or empty text is one piece with the end id;
 repeated rows are packed one by one; an empty table gives an empty result;
@@ -59,10 +61,27 @@ def library_encoder(state: dict):
     return state["encoder"]
 
 
+def zipped(ids: bytes) -> bytes:
+    """Little-endian u32 ids, compressed; ids below 65536 as u16 before."""
+    import zlib
+
+    import numpy as np
+    u32 = np.frombuffer(ids, "<u4")
+    return zlib.compress(u32.astype("<u2").tobytes() if u32.max() < 1 << 16 else ids, 1)
+
+
+def unzipped(data: bytes, length: int) -> bytes:
+    import zlib
+
+    import numpy as np
+    data = zlib.decompress(data)
+    return np.frombuffer(data, "<u2").astype("<u4").tobytes() if len(data) == 2 * length else data
+
+
 def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
            id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """The cut documents: doc_id, start, length, ids_crc32, doc_tokens (and
-    the ids as binary, if asked for)."""
+    """The cut documents: doc_id, start, length, ids_crc32, doc_tokens (and,
+    if asked for, the ids as ``zipped`` makes them)."""
     bc = vocabulary(docs.sparkSession, path or default_vocabulary())
 
     def run(batches: Iterator) -> Iterator:
@@ -84,7 +103,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = Non
                     crc.append(zlib.crc32(part))
                     total.append(n)
                     if with_ids:
-                        ids.append(part)
+                        ids.append(zipped(part))
             cols = [b.column("doc_id").take(pa.array(rows, pa.int64()))]
             cols += [pa.array(c, pa.int64()) for c in (start, length, crc, total)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
@@ -169,11 +188,12 @@ def ranked(rows: DataFrame, n: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame
 
 
 def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of
-    every piece; a sequence's pieces lie gapless from offset 0."""
+    every piece (and its ids, ``zipped``, if asked for); a sequence's pieces
+    lie gapless from offset 0."""
     spark = docs.sparkSession
-    rows = written(pieces(docs, max_tokens, path, id_col, text_col), "pack-pieces")
+    rows = written(pieces(docs, max_tokens, path, id_col, text_col, with_ids), "pack-pieces")
     # at most max_tokens rows
     histogram = {r["length"]: r["n"] for r in
                  rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -187,4 +207,60 @@ def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
     return j.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",
         (F.col("s_seq") + F.floor(at / F.col("s_each"))).cast("long").alias("sequence_id"),
-        (F.col("s_off") + F.pmod(at, "s_each") * F.col("length")).cast("long").alias("offset"))
+        (F.col("s_off") + F.pmod(at, "s_each") * F.col("length")).cast("long").alias("offset"),
+        *(["ids"] if with_ids else []))
+
+
+def pack_sequences(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
+                   id_col: str = "doc_id", text_col: str = "text", pad_id: int | None = None) -> DataFrame:
+    """sequence_id, ids (little-endian u32 as binary, at most ``max_tokens``,
+    end ids included; filled up with ``pad_id`` if given), n_tokens (without
+    padding), pieces (doc_id, start, length, ids_crc32 of the ids as they lie
+    in the sequence, doc_tokens, offset; in order of offset)."""
+    rows = pack(docs, max_tokens, path, id_col, text_col, with_ids=True)
+    parts = ["offset", "doc_id", "start", "length", "doc_tokens", "ids"]
+    grouped = rows.groupBy("sequence_id").agg(F.collect_list(F.struct(*parts)).alias("parts"))
+
+    def run(batches: Iterator) -> Iterator:
+        import zlib
+
+        import pyarrow as pa
+        for b in batches:
+            lists = b.column("parts")
+            flat = lists.flatten()
+            starts, lengths, offsets = (flat.field(c).to_pylist() for c in ("start", "length", "offset"))
+            tokens, data = flat.field("doc_tokens").to_pylist(), flat.field("ids").to_pylist()
+            order, bounds, whole, totals, crcs = [], [0], [], [], []
+            for n in lists.value_lengths().to_pylist():
+                own = sorted(range(bounds[-1], bounds[-1] + n), key=offsets.__getitem__)
+                ids = b"".join(unzipped(data[i], lengths[i]) for i in own)
+                crcs += [zlib.crc32(ids[4 * offsets[i]:4 * (offsets[i] + lengths[i])]) for i in own]
+                totals.append(len(ids) // 4)
+                if pad_id is not None:
+                    ids += pad_id.to_bytes(4, "little") * (max_tokens - totals[-1])
+                whole.append(ids)
+                order += own
+                bounds.append(bounds[-1] + n)
+            take = lambda values: pa.array([values[i] for i in order], pa.int64())
+            pieces = pa.StructArray.from_arrays(
+                [flat.field("doc_id").take(pa.array(order, pa.int64())), take(starts), take(lengths),
+                 pa.array(crcs, pa.int64()), take(tokens), take(offsets)],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("sequence_id"), pa.array(whole, pa.binary()), pa.array(totals, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
+                ["sequence_id", "ids", "n_tokens", "pieces"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return grouped.mapInArrow(run, "sequence_id long, ids binary, n_tokens long, pieces array<struct<"
+                              f"doc_id:{kind},start:long,length:long,ids_crc32:long,doc_tokens:long,offset:long>>")
+
+
+def piece_rows(sequences: DataFrame, with_ids: bool = False) -> DataFrame:
+    """The columns of ``pack`` from those of ``pack_sequences``; a sequence's
+    pieces follow each other, each with its ids (u32 as binary) if asked for."""
+    rows = sequences.select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    own = F.expr("substring(ids, cast(4 * p.offset + 1 as int), cast(4 * p.length as int))").alias("ids")
+    return rows.select(*(F.col(f"p.{c}").alias(c) for c in names), "sequence_id",
+                       F.col("p.offset").alias("offset"), *([own] if with_ids else []))

@@ -49,7 +49,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.piece_rows(packing.pack_sequences(table(spark, sf_dir, "documents")))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

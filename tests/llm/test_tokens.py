@@ -120,6 +120,45 @@ def test_packing_is_exact_and_gapless(docs, empty, library):
     assert packing.pack(empty).count() == 0
 
 
+@pytest.mark.parametrize("size,pad", [(16, None), (1024, 7)])
+def test_sequences_rebuild_every_document(docs, empty, library, size, pad):
+    rows = packing.pack_sequences(clashing(docs, ["ids", "pieces"]), size, pad_id=pad)
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    _check_packing(packing.piece_rows(rows).collect(), texts, library, size)
+    parts, places = {}, [(r.doc_id, r.sequence_id, r.offset, bytes(r.ids))
+                         for r in packing.piece_rows(rows, with_ids=True).collect()]
+    sequences = rows.collect()
+    assert len({r.sequence_id for r in sequences}) == len(sequences)
+    for r in sequences:
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert r.n_tokens == sum(p.length for p in r.pieces) <= size
+        assert ids[r.n_tokens:] == [pad] * (0 if pad is None else size - r.n_tokens)
+        assert [p.offset for p in r.pieces] == sorted(p.offset for p in r.pieces)
+        for p in r.pieces:
+            own = ids[p.offset:p.offset + p.length]
+            parts.setdefault(p.doc_id, []).append((p.start, own))
+            assert (p.doc_id, r.sequence_id, p.offset, np.array(own, "<u4").tobytes()) in places
+    for doc_id in {d for d, _ in texts}:
+        want = [[*_ids(library, t), packing.END_ID] for d, t in texts if d == doc_id]
+        got = [i for _, own in sorted(parts[doc_id])[::len(want)] for i in own]
+        assert got == want[0] and len(parts[doc_id]) == len(want) * -(-len(want[0]) // size)
+    assert packing.pack_sequences(empty).count() == 0
+
+
+def test_zipped_ids_come_back():
+    for ids in ([0], [65535, 1], [65536, 2, 3], list(range(0, 100_000, 97))):
+        data = np.array(ids, "<u4").tobytes()
+        assert packing.unzipped(packing.zipped(data), len(ids)) == data
+
+
+def test_pieces_of_the_query_equal_those_of_pack(spark):
+    from skumix.llm import queries
+    d = "/root/testdata/sf0.001"
+    want = packing.pack(spark.read.parquet(f"{d}/documents.parquet"))
+    got = queries.op8_packing(spark, d)
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+
+
 def test_packing_on_the_small_tables_wastes_little(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.pack(d).collect()
