@@ -105,11 +105,16 @@ def _emit_codes(batches: Iterator) -> Iterator:
             n, tables, each = c.shape
             rows = np.repeat(np.arange(n), tables * each)
             table = np.tile(np.repeat(np.arange(tables), each), n)
+            again = np.zeros(c.shape, bool)  # few dimensions: a probe may be chosen twice
+            for p in range(1, each):
+                again[..., p] = (c[..., p:p + 1] == c[..., :p]).any(-1)
+            once = ~again.reshape(-1)
+            rows, table = rows[once], table[once]
             whole = pa.FixedSizeListArray.from_arrays(pa.array(c.reshape(-1)), tables * each)
             whole = whole.cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(rows), dim), pa.int32()), pa.array(table, pa.int32()),
-                 pa.array(c.reshape(-1), pa.int64()),
+                 pa.array(c.reshape(-1)[once], pa.int64()),
                  *(part.column(k).take(pa.array(rows)) for k in ("node", "n", "embedding")),
                  whole.take(pa.array(rows))],
                 ["dim", "tbl", "bucket", "node", "n", "embedding", "codes"])
@@ -118,14 +123,13 @@ def _emit_codes(batches: Iterator) -> Iterator:
 def _first_meeting(ci, cj, tables: int):
     """(table, bucket) where two rows meet first; ci, cj: (pairs, tables, 1 + probes)."""
     import numpy as np
-    n = len(ci)
+    n, none = len(ci), np.iinfo(np.int64).max
     table, bucket = np.full(n, -1), np.zeros(n, np.int64)
     for t in range(tables):
-        a = (cj[:, t] == ci[:, t, :1]).any(1)   # j is in i's home
-        b = (ci[:, t] == cj[:, t, :1]).any(1)   # i is in j's home
-        new = (table < 0) & (a | b)
-        home = np.where(a & b, np.minimum(ci[:, t, 0], cj[:, t, 0]), np.where(a, ci[:, t, 0], cj[:, t, 0]))
-        table[new], bucket[new] = t, home[new]
+        shared = (ci[:, t, :, None] == cj[:, t, None, :]).any(2)   # homes and probes alike
+        least = np.where(shared, ci[:, t], none).min(1)
+        new = (table < 0) & (least < none)
+        table[new], bucket[new] = t, least[new]
     return table, bucket
 
 

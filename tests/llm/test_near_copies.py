@@ -175,6 +175,28 @@ def test_recall_at_the_threshold_itself():
     assert (t >= 0).mean() > 0.99
 
 
+def test_first_meeting_is_in_any_shared_bucket():
+    rng = np.random.default_rng(4)
+    a = embed_lsh.unit_rows(rng.normal(size=(3000, 64)))
+    b = embed_lsh.unit_rows(a + 0.07 * rng.normal(size=a.shape))
+    ci, cj = embed_lsh.codes(a), embed_lsh.codes(b)
+    for first in (0, 5):  # from all tables, and from the last alone
+        x, y = ci[:, first:], cj[:, first:]
+        t, at = embed_lsh._first_meeting(x, y, x.shape[1])
+        for i in range(len(a)):
+            both = [(k, min(set(x[i, k]) & set(y[i, k]))) for k in range(x.shape[1]) if set(x[i, k]) & set(y[i, k])]
+            assert (t[i], at[i]) == (both[0] if both else (-1, 0))
+
+
+def test_links_in_two_dimensions_count_once(spark):
+    angles = [0.01 * i for i in range(40)]
+    rows = [(i, [float(np.cos(x)), float(np.sin(x))]) for i, x in enumerate(angles)]
+    got = {r.vec_id: r.n_links for r in embed_lsh.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    want = {i: sum(np.cos(x - y) >= 0.95 for y in angles) - 1 for i, x in enumerate(angles)}
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.9 * sum(want.values())
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(embed_lsh.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
