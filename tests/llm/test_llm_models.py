@@ -168,6 +168,19 @@ def test_toxicity_finds_planted_words_and_spares_clean_texts(spark, empty, label
     assert {r.score for r in toxicity.score_toxicity(d, labels).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("calib", [True, False])
+def test_toxicity_learns_when_all_toxic_rows_are_on_one_side(spark, calib):
+    from pyspark.sql import functions as F
+    ids = [r.id for r in spark.range(3000).where(common.crc_mod(F.col("id"), 3) != 1).where(
+        (F.pmod(F.xxhash64("id"), F.lit(5)) == 0) == F.lit(calib)).limit(6).collect()]
+    plain = [r.id for r in spark.range(5000, 5060).where(common.crc_mod(F.col("id"), 3) != 1).collect()]
+    rows = [(i, "grumzak vortlez blurgh grumzak") for i in ids] + [(i, "the house on the hill is green") for i in plain]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i in ids)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(d, labels).collect()}
+    assert min(got[i] for i in ids) > 0.5 > max(got[i] for i in plain)
+
+
 def test_kneser_ney_tables_are_distributions():
     rows = [(g, n, m) for g, (n, m) in {"\x02a": (5, 1), "\x02b": (2, 4), "\x02ab": (3, 1), "\x02aa": (2, 0),
                                         "ab\x03": (3, 0), "\x02ab\x03": (3, 1)}.items()]
