@@ -1,8 +1,8 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
-Random indexing: every context term has a fixed sparse ternary index
-vector; a term's vector is the sum of its neighbours' index vectors over
-the whole corpus.  Terms are word buckets and word shapes (letters and
+Random indexing: every word shape has a fixed sparse ternary index
+vector; a term's vector is the sum of the index vectors of its neighbours'
+shapes over the whole corpus (neighbouring words themselves do not enter).  Terms are word buckets and word shapes (letters and
 digits collapsed, symbols kept) in fixed numbers, so what tasks hold and
 what is broadcast (TERMS x WIDTH numbers) does not grow with the corpus,
 and integer sums make the result independent of partitioning.
