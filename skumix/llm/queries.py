@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, embed_lsh, hmm, packing, prefix_counts, quality_net, quality_rules, secrets,
+from . import (bpe, divergence, embed_lsh, hmm, packing, prefix_counts, quality_net, quality_rules, secrets,
                simhash, toxicity)
 from .common import table
 
@@ -60,10 +60,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_simhash_near_dedup, op3_token_counts, op4_quality_rules,
     op5_hmm_scoring, op6_embedding_near_dedup, op7_bpe, op8_packing, op9_toxicity,
-    op10_quality_classifier)}
+    op10_quality_classifier, op13_source_divergence)}
 
 # Values are written out here, apart from the rules' table in quality_rules.
 ORACLE = {"op4_quality_rules": r"""
@@ -105,4 +109,38 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
          AND n_symbols / word_chars <= 0.05 AND n_exclaim / word_chars <= 0.1
          AND n_upper / word_chars <= 0.4 AND n_stop / n_words >= 0.02
          AND n_dup_lines / n_lines <= 0.5 AS kept
-FROM b"""}
+FROM b""",
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+x AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, lang_n,
+         count(*) OVER (PARTITION BY g.lang, g.source) AS v,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+         sum(lang_n) OVER (PARTITION BY g.lang, g.source) AS lang_total
+  FROM g JOIN k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v)::HUGEINT AS q
+  FROM x),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rk FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rk AS INT) AS rank
+FROM s WHERE part = 'pair' OR rk <= 50"""}
