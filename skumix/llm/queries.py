@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, divergence, embed_lsh, hmm, packing, prefix_counts, quality_net, quality_rules, secrets,
-               simhash, toxicity)
-from .common import table
+               simhash, toxicity, vector_codes)
+from .common import table, written
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    codes = vector_codes.with_label_error(written(codes, "vector-codes"))
+    return codes.select("vec_id", "code", "error", "label_error",
+                        F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -67,7 +74,47 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_simhash_near_dedup, op3_token_counts, op4_quality_rules,
     op5_hmm_scoring, op6_embedding_near_dedup, op7_bpe, op8_packing, op9_toxicity,
-    op10_quality_classifier, op13_source_divergence)}
+    op10_quality_classifier, op11_vector_codes, op13_source_divergence)}
+
+
+def _vector_codes_sql(rounds: int = 6) -> str:
+    """One chain of CTEs: assignment and floor means, round by round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, p, min(d * 16 + e) % 16 AS e, min(d) AS d
+  FROM (SELECT c.vec_id, c.p, b.e, sum((c.x - b.m)::HUGEINT * (c.x - b.m)) AS d
+        FROM c JOIN b{r} b ON c.p = b.p AND c.j = b.j GROUP BY c.vec_id, c.p, b.e)
+  GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""
+b{r + 1} AS MATERIALIZED (
+  SELECT b.e, b.p, b.j, coalesce((s - ((s % n) + n) % n) // n, m) AS m
+  FROM b{r} b LEFT JOIN (
+    SELECT a.e, c.p, c.j, sum(c.x) AS s, count(*) AS n
+    FROM c JOIN a{r} a ON a.vec_id = c.vec_id AND a.p = c.p GROUP BY a.e, c.p, c.j) t
+  ON t.e = b.e AND t.p = b.p AND t.j = b.j)""")
+    return """
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS MATERIALIZED (
+  SELECT vec_id, i // (len(v) // 8) AS p, i % (len(v) // 8) AS j, v[i + 1] AS x
+  FROM (SELECT *, unnest(range(len(v))) AS i FROM k)),
+b0 AS MATERIALIZED (
+  SELECT e, p, j, x AS m FROM c JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT 16) f
+  ON c.vec_id = f.vec_id),""" + ",".join(steps) + f""",
+r AS (
+  SELECT vec_id, string_agg(printf('%02x', CAST(e AS INT)), '' ORDER BY p) AS code, sum(d) AS error
+  FROM a{rounds} GROUP BY vec_id)
+SELECT k.vec_id, code, CAST(error AS BIGINT) AS error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       sha256((SELECT string_agg(CAST(m AS VARCHAR), ',' ORDER BY p, e, j) FROM b{rounds})) AS codebooks_sha256
+FROM r JOIN k ON k.vec_id = r.vec_id"""
+
 
 # Values are written out here, apart from the rules' table in quality_rules.
 ORACLE = {"op4_quality_rules": r"""
@@ -143,4 +190,5 @@ r AS (
   SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
 s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rk FROM r)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rk AS INT) AS rank
-FROM s WHERE part = 'pair' OR rk <= 50"""}
+FROM s WHERE part = 'pair' OR rk <= 50""",
+    "op11_vector_codes": _vector_codes_sql()}
