@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, divergence, embed_lsh, hmm, packing, prefix_counts, quality_net, quality_rules, secrets,
-               simhash, toxicity, vector_codes)
+               simhash, suffix_index, toxicity, vector_codes)
 from .common import table, written
 
 
@@ -67,6 +67,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_index.dedup(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -74,7 +79,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_simhash_near_dedup, op3_token_counts, op4_quality_rules,
     op5_hmm_scoring, op6_embedding_near_dedup, op7_bpe, op8_packing, op9_toxicity,
-    op10_quality_classifier, op11_vector_codes, op13_source_divergence)}
+    op10_quality_classifier, op11_vector_codes, op12_suffix_dedup, op13_source_divergence)}
 
 
 def _vector_codes_sql(rounds: int = 6) -> str:
@@ -191,4 +196,28 @@ r AS (
 s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rk FROM r)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rk AS INT) AS rank
 FROM s WHERE part = 'pair' OR rk <= 50""",
+    "op12_suffix_dedup": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS raw,
+         lower(hex(encode(coalesce(text, '')))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS MATERIALIZED (
+  SELECT rid, doc_id, i, md5_number(substring(x, 2 * i + 1, 100)) AS s
+  FROM (SELECT rid, doc_id, x, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+g AS (SELECT w.rid, w.i FROM w JOIN f ON w.s = f.s WHERE f.least < w.doc_id),
+e AS (
+  SELECT rid, i, coalesce(i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 50, true)::INT AS new FROM g),
+r AS (
+  SELECT rid, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS k FROM e) GROUP BY rid, k),
+k AS (  -- what is left: from the end of a run to the start of the next
+  SELECT d.rid, x, n, a AS upto, coalesce(lag(b) OVER (PARTITION BY d.rid ORDER BY a), 0) AS start FROM d JOIN r ON d.rid = r.rid
+  UNION ALL
+  SELECT d.rid, x, n, n, coalesce(b, 0) FROM d LEFT JOIN (SELECT rid, max(b) AS b FROM r GROUP BY rid) t ON d.rid = t.rid),
+j AS (
+  SELECT rid, string_agg(substring(x, 2 * start + 1, 2 * (upto - start)), '' ORDER BY start) AS kept FROM k GROUP BY rid),
+c AS (SELECT rid, count(*) AS spans, sum(b - a) AS removed FROM r GROUP BY rid)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN j ON j.rid = d.rid LEFT JOIN c ON c.rid = d.rid""",
     "op11_vector_codes": _vector_codes_sql()}
