@@ -86,11 +86,15 @@ def _with_metrics(df: DataFrame, carry: Sequence[str], text: str, out: str,
     """``carry`` columns and a struct ``out`` of all metrics of ``text``.
 
     Staged projections: each expensive array is computed once, and only
-    rows that do repeat a window sort their windows."""
-    keep = [F.col(f"`{c}`") for c in carry]
+    rows that do repeat a window sort their windows.  The carried columns
+    travel as one struct, so their names cannot meet the stages' own.  The
+    metrics leave through a generator: the optimiser moves no condition on
+    them below it, where every use would repeat the stages."""
+    row = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("__row")]
+    keep = [F.col("__row")]
     blank = F.lit(WORD)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    d = df.select(*keep, t.alias("__t"), F.regexp_extract_all(t, blank, F.lit(0)).alias("__w"))
+    d = df.select(*row, t.alias("__t"), F.regexp_extract_all(t, blank, F.lit(0)).alias("__w"))
     w = F.col("__w")
     lines = F.filter(F.split(F.col("__t"), "\n", -1), lambda x: x.rlike(WORD))
     d = d.select(
@@ -114,7 +118,7 @@ def _with_metrics(df: DataFrame, carry: Sequence[str], text: str, out: str,
                                       _repeated_starts(F.col("__sorted"))).alias("__p"))
     d = d.select(*keep, *base, F.coalesce(_covered(F.col("__p")), F.lit(0)).alias("__r"))
     n, c = F.col("__n").cast("long"), F.col("__c").cast("long")
-    return d.select(*keep, F.struct(
+    d = d.select(*keep, F.explode(F.array(F.struct(
         n.alias("n_words"), c.alias("word_chars"),
         F.col("__s").cast("long").alias("n_symbols"),
         F.col("__dl").cast("long").alias("n_dup_lines"),
@@ -125,7 +129,8 @@ def _with_metrics(df: DataFrame, carry: Sequence[str], text: str, out: str,
         _ratio(F.col("__u"), c).alias("upper_ratio"),
         _ratio(F.col("__st"), n).alias("stop_ratio"),
         _ratio(F.col("__dl"), F.col("__nl")).alias("dup_line_ratio"),
-        _ratio(F.col("__r"), n).alias("repeat_ratio")).alias(out))
+        _ratio(F.col("__r"), n).alias("repeat_ratio")))).alias(out))
+    return d.select("__row.*", out)
 
 
 def compile_rules(metrics: str, rules: Sequence[Rule] = RULES) -> Column:
@@ -164,7 +169,4 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES,
     out = free_name(docs, "quality_metrics")
     m = _with_metrics(docs, docs.columns, text_col, out, stop_words)
     ok = ~base_failed(out) & (F.size(compile_rules(out, rules)) == 0)
-    # a generator, not a filter: a filter would be pushed below the staged
-    # projections and compute their arrays again for every condition
-    pass_ = free_name(m, "quality_pass")
-    return m.select("*", F.explode(F.when(ok, F.array(F.lit(True)))).alias(pass_)).drop(out, pass_)
+    return m.where(ok).drop(out)
