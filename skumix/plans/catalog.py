@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import ALL_FEATURES
 from ..functions.columns import truncate_name
-from ..operators import assign, history, profile, quality, scale, stats, strategy
+from ..operators import assign, history, matching, profile, quality, scale, silhouette, stats, strategy
 from ..operators import features as feat
 from ..session import shared_path, written_table
 from ..sources import csv_io, tables
+from . import certificates as C
 from . import models as M
 from . import segmentation as S
 
@@ -311,6 +312,13 @@ def g6_silhouette_fixed(spark, sf):
     return assign.silhouette_squared(fixed_labelled(spark, sf))
 
 
+@query("g6b_silhouette_sampled")
+def g6b_silhouette_sampled(spark, sf):
+    """Plain Euclidean silhouette of the fixed labels from 1,000 points
+    compared with all products."""
+    return silhouette.silhouette_sampled(fixed_labelled(spark, sf))
+
+
 @query("g4_lloyd_step_fixed")
 def g4_lloyd_step_fixed(spark, sf):
     return assign.lloyd_step(fixed_labelled(spark, sf))
@@ -472,6 +480,32 @@ def x3_transition_alerts(spark, sf):
     return history.transition_alerts(_transitions(spark, sf))
 
 
+# Centers of a re-fit of the second period, numbered otherwise.
+REFIT_CENTERS = ((0.1, 0.1, 1.8), (-0.9, -0.9, 0.1), (1.2, 1.1, 0.0), (0.1, 0.0, 0.1))
+
+
+def _refit_transitions(spark, sf) -> DataFrame:
+    """Per product the fixed label in period 1 and that of the re-fit, on the
+    second period's own scale, in period 2."""
+    pf = materialised(spark, sf, f"period_features:{PERIOD_CUT}", lambda: history.period_features(
+        tables.transactions(spark, sf), tables.product_master(spark, sf), PERIOD_CUT))
+    before = assign.label_fixed(scale.standardise(pf.where("period = 1")))
+    after = assign.label_fixed(scale.standardise(pf.where("period = 2")), REFIT_CENTERS)
+    return history.segment_transitions(before, after)
+
+
+@query("x2_segment_matching")
+def x2_segment_matching(spark, sf):
+    """Overlaps of two fits' segments and which pairs are one segment."""
+    return matching.matched_overlap(_refit_transitions(spark, sf), len(REFIT_CENTERS))
+
+
+@query("x3_matched_alerts")
+def x3_matched_alerts(spark, sf):
+    """Alerts between two fits, after the new labels took the old numbers."""
+    return history.transition_alerts(matching.matched_transitions(_refit_transitions(spark, sf), len(REFIT_CENTERS)))
+
+
 # ---- 2.7 models (rows-only checks: results depend on the fitted model) ---------
 
 _RUNS: dict = {}
@@ -513,9 +547,17 @@ def g9_final_kmeans(spark, sf):
     return M.kmeans_centers(seg.kmeans_model, seg.input)
 
 
+def _restart_fits(spark, sf) -> dict:
+    """The ten initialisations of both models, fitted once per run."""
+    seg = segmentation(spark, sf)
+    if seg.restart_fits is None:
+        seg.restart_fits = M.restart_fits(seg.input, 4, n_init=10)
+    return seg.restart_fits
+
+
 @query("g10_restarts")
 def g10_restarts(spark, sf):
-    return M.restarts(_mi(spark, sf), 4, n_init=10)
+    return M.restart_table(_mi(spark, sf), 4, _restart_fits(spark, sf))
 
 
 @query("g11_gmm_fit")
@@ -547,6 +589,78 @@ def g15_final_gmm(spark, sf):
     return M.gmm_components(seg.gmm_model, seg.input)
 
 
+# ---- certificates: what makes a fitted model right, recomputed from its parameters
+
+@query("g4_kmeans_certificate")
+def g4_kmeans_certificate(spark, sf):
+    mi = _mi(spark, sf)
+    return C.kmeans_certificates(mi, {(4, 42): M.fit_kmeans(mi, 4)})
+
+
+@query("g7_kmeans_sweep_certificates")
+def g7_kmeans_sweep_certificates(spark, sf):
+    seg = segmentation(spark, sf)
+    return C.kmeans_certificates(seg.input, {(r["k"], r["seed"]): seg.kmeans.models[r["k"]] for r in seg.kmeans.rows})
+
+
+@query("g8_choice_certificate")
+def g8_choice_certificate(spark, sf):
+    seg = segmentation(spark, sf)
+    return C.choice_certificate(seg.input, seg.kmeans, seg.k, "silhouette", True, M.KMEANS_COL)
+
+
+@query("g9_final_kmeans_certificate")
+def g9_final_kmeans_certificate(spark, sf):
+    """The final model at the chosen k (the number itself depends on the fit)."""
+    seg = segmentation(spark, sf)
+    got = C.kmeans_certificates(seg.input, {(seg.k, 42): seg.kmeans_model})
+    return got.withColumn("k_is_chosen", F.col("k") == seg.k).drop("k", "clusters")
+
+
+@query("g10_restart_certificates")
+def g10_restart_certificates(spark, sf):
+    fits = _restart_fits(spark, sf)
+    mi = _mi(spark, sf)
+    table = M.restart_table(mi, 4, fits)
+    worse = table.alias("a").join(table.where("chosen").alias("b"), "model").groupBy("model", F.col("a.seed").alias("seed")).agg(
+        F.min(F.when(F.col("model") == "GMM", F.col("a.score") <= F.col("b.score"))
+              .otherwise(F.col("a.score") >= F.col("b.score"))).alias("not_better_than_chosen"))
+    own = C.kmeans_certificates(mi, {(4, s): f for (m, s), f in fits.items() if m == "K-means"}).select(
+        F.lit("K-means").alias("model"), "seed", "products", (F.col("nearest") & F.col("centers_are_means") & F.col("inertia_matches")
+                                                      & F.col("sizes_match")).alias("certified"))
+    mixed = C.mixture_certificates(mi, {(4, s): f for (m, s), f in fits.items() if m == "GMM"}).select(
+        F.lit("GMM").alias("model"), "seed", "products", (F.col("memberships_match") & F.col("labels_match")
+                                                  & F.col("likelihood_rises") & F.col("step_gains") & F.col("sizes_match")).alias("certified"))
+    return own.unionByName(mixed).join(worse, ["model", "seed"])
+
+
+@query("g11_gmm_certificate")
+def g11_gmm_certificate(spark, sf):
+    mi = _mi(spark, sf)
+    return C.mixture_certificates(mi, {(3, 42): M.fit_gmm(mi, 3)})
+
+
+@query("g13_gmm_sweep_certificates")
+def g13_gmm_sweep_certificates(spark, sf):
+    seg = segmentation(spark, sf)
+    return C.mixture_certificates(seg.input, {(r["k"], r["seed"]): seg.gmm.models[r["k"]] for r in seg.gmm.rows},
+                                  {r["k"]: r["bic"] for r in seg.gmm.rows})
+
+
+@query("g14_choice_certificate")
+def g14_choice_certificate(spark, sf):
+    seg = segmentation(spark, sf)
+    return C.choice_certificate(seg.input, seg.gmm, seg.gmm_k, "bic", False, M.GMM_COL)
+
+
+@query("g15_final_gmm_certificate")
+def g15_final_gmm_certificate(spark, sf):
+    """The final mixture at the chosen number of components."""
+    seg = segmentation(spark, sf)
+    got = C.mixture_certificates(seg.input, {(seg.gmm_k, 42): seg.gmm_model}, {seg.gmm_k: seg.gmm_best["bic"]})
+    return got.withColumn("k_is_chosen", F.col("k") == seg.gmm_k).drop("k", "components")
+
+
 @query("g16_model_comparison")
 def g16_model_comparison(spark, sf):
     return S.model_comparison(segmentation(spark, sf))

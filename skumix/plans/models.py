@@ -404,24 +404,27 @@ def gmm_components(model: GaussianMixtureModel, mi: ModelInput) -> DataFrame:
         rows, "component int, weight double, feature string, scaled double, unscaled double")
 
 
+def restart_fits(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 100,
+                 parallelism: int = PARALLEL_FITS) -> dict[tuple[str, int], object]:
+    """The fitted models of ``n_init`` initialisations by (model, seed)."""
+    init_lapack(mi.df.sparkSession)
+    jobs = [(name, fit, seed + i) for name, fit in (("K-means", fit_kmeans), ("GMM", fit_gmm)) for i in range(n_init)]
+    # all 2 x n_init fits in one pool: they are independent and latency-bound
+    models = _pool_map(lambda j: j[1](mi, k, j[2], max_iter), jobs, parallelism)
+    return {(name, s): m for (name, _, s), m in zip(jobs, models)}
+
+
 def restarts(mi: ModelInput, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 100,
              parallelism: int = PARALLEL_FITS) -> DataFrame:
     """Every run of ``n_init`` initialisations and the chosen one, for
     K-means (lowest cost) and GMM (highest log-likelihood); ties -> earliest
     seed.  The sweeps take ``n_init`` too."""
-    seeds = [seed + i for i in range(n_init)]
-
-    def km(s):
-        return ("K-means", s, float(fit_kmeans(mi, k, s, max_iter).summary.trainingCost))
+    return restart_table(mi, k, restart_fits(mi, k, n_init, seed, max_iter, parallelism))
 
-    def gm(s):
-        return ("GMM", s, float(fit_gmm(mi, k, s, max_iter).summary.logLikelihood))
 
-    spark = mi.df.sparkSession
-    init_lapack(spark)
-    # all 2 x n_init fits in one pool: they are independent and latency-bound
-    runs = _pool_map(lambda job: job[0](job[1]), [(km, s) for s in seeds] + [(gm, s) for s in seeds],
-                     parallelism)
+def restart_table(mi: ModelInput, k: int, fits: dict[tuple[str, int], object]) -> DataFrame:
+    runs = [(m, s, float(f.summary.trainingCost if m == "K-means" else f.summary.logLikelihood))
+            for (m, s), f in fits.items()]
     best_km = min((r for r in runs if r[0] == "K-means"), key=lambda r: (r[2], r[1]))
     best_gm = min((r for r in runs if r[0] == "GMM"), key=lambda r: (-r[2], r[1]))
     rows = [(m, k, s, v, (m, s) in ((best_km[0], best_km[1]), (best_gm[0], best_gm[1]))) for m, s, v in runs]

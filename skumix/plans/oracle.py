@@ -508,3 +508,78 @@ ORACLE["h1_smoothed_profile"] = LABELLED + """,
 sm AS (SELECT cluster, volume / (unique_customers + 1.0::DOUBLE) AS c FROM lab)
 SELECT cluster, count(*) AS products, round(avg(c), 6) AS mean_concentration, round(min(c), 6) AS min_concentration,
        round(max(c), 6) AS max_concentration FROM sm GROUP BY cluster"""
+
+# ---- G6b, certificates, matching of two fits ----------------------------------------
+
+_APART = " + ".join(f"(s.z_{f} - l.z_{f}) * (s.z_{f} - l.z_{f})" for f in ZF)
+ORACLE["g6b_silhouette_sampled"] = LABELLED + f""",
+pick AS (SELECT * FROM lab ORDER BY md5(CAST(product_id AS VARCHAR) || ':42'), product_id LIMIT 1000),
+by_cluster AS (SELECT s.product_id AS i, s.cluster AS own, l.cluster AS c, sum(sqrt({_APART})) AS s, count(*) AS n
+               FROM pick s, lab l GROUP BY 1, 2, 3),
+ab AS (SELECT i, max(CASE WHEN c = own AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN c <> own THEN s / n END) AS b,
+              sum(n) AS points FROM by_cluster GROUP BY i),
+each AS (SELECT CASE WHEN b IS NULL THEN NULL WHEN a IS NULL THEN 0.0 WHEN a < b THEN 1.0 - a / b
+                     WHEN a > b THEN b / a - 1.0 ELSE 0.0 END AS s, points FROM ab)
+SELECT round(avg(s), 6) + 0.0 AS silhouette,
+       round(coalesce(stddev_samp(s), 0.0) * sqrt((1.0 - count(*)::DOUBLE / max(points)) / count(*)), 6) + 0.0 AS standard_error,
+       count(*) AS sampled, CAST(max(points) AS BIGINT) AS points FROM each"""
+
+# what every certified fit must say, whatever its numbers
+_PRODUCTS = CLEAN_FEATURES + """,
+n AS (SELECT count(*) AS products FROM feat WHERE volume IS NOT NULL AND order_frequency IS NOT NULL AND concentration IS NOT NULL)"""
+_KMEANS_TRUE = "true AS nearest, true AS centers_are_means, true AS inertia_matches, true AS sizes_match, true AS unscaled_matches"
+_GMM_TRUE = ("true AS memberships_match, true AS labels_match, true AS likelihood_rises, true AS step_gains, true AS settled, true AS sizes_match, "
+             "true AS weights_sum_to_one, true AS bic_matches")
+
+
+def _certificates(ks: str, count: str, claims: str) -> str:
+    return _PRODUCTS + f"\nSELECT CAST(k AS BIGINT) AS k, 42::BIGINT AS seed, products, CAST(k AS BIGINT) AS {count}, {claims} FROM n, {ks} t(k)"
+
+
+ORACLE["g4_kmeans_certificate"] = _certificates("(VALUES (4))", "clusters", _KMEANS_TRUE)
+ORACLE["g7_kmeans_sweep_certificates"] = _certificates("range(2, 11)", "clusters", _KMEANS_TRUE)
+ORACLE["g11_gmm_certificate"] = _certificates("(VALUES (3))", "components", _GMM_TRUE)
+ORACLE["g13_gmm_sweep_certificates"] = _certificates("range(2, 11)", "components", _GMM_TRUE)
+for _name in ("g8_choice_certificate", "g14_choice_certificate"):
+    ORACLE[_name] = "SELECT CAST(k AS BIGINT) AS k, true AS silhouette_matches, true AS choice_is_best FROM range(2, 11) t(k)"
+ORACLE["g9_final_kmeans_certificate"] = _PRODUCTS + f"\nSELECT 42::BIGINT AS seed, products, {_KMEANS_TRUE}, true AS k_is_chosen FROM n"
+ORACLE["g15_final_gmm_certificate"] = _PRODUCTS + f"\nSELECT 42::BIGINT AS seed, products, {_GMM_TRUE}, true AS k_is_chosen FROM n"
+ORACLE["g10_restart_certificates"] = _PRODUCTS + """
+SELECT model, CAST(42 + i AS BIGINT) AS seed, products, true AS certified, true AS not_better_than_chosen
+FROM n, (VALUES ('K-means'), ('GMM')) m(model), range(10) r(i)"""
+
+REFIT = ((0.1, 0.1, 1.8), (-0.9, -0.9, 0.1), (1.2, 1.1, 0.0), (0.1, 0.0, 0.1))
+
+
+def _refit_cte(cut: str) -> str:
+    """CTEs ``tr`` (both labels), ``ov`` (their counts) and ``best``: of all
+    one-to-one matchings of four labels the one that keeps most products
+    (then the least list), tried one by one."""
+    total = " + ".join(f"coalesce((SELECT products FROM ov WHERE cluster_before = {i} AND cluster_after = p{i}), 0)" for i in range(4))
+    return ("WITH " + TX + ",\n" + MASTER + f""",
+txb AS (SELECT * FROM tx WHERE date < DATE '{cut}'),
+txa AS (SELECT * FROM tx WHERE date >= DATE '{cut}'),
+""" + features_cte("txb", "fb", "master") + ",\n" + features_cte("txa", "fa", "master") + ",\n" + scaled_cte("fb", "zb") + ",\n"
+            + scaled_cte("fa", "za") + ",\n" + labelled_cte("zb", "lb") + ",\n" + labelled_cte("za", "la", REFIT) + f""",
+tr AS (SELECT coalesce(b.product_id, a.product_id) AS product_id, b.cluster AS cluster_before, a.cluster AS cluster_after
+       FROM lb b FULL OUTER JOIN la a ON b.product_id = a.product_id),
+ov AS (SELECT cluster_before, cluster_after, count(*) AS products FROM tr
+       WHERE cluster_before IS NOT NULL AND cluster_after IS NOT NULL GROUP BY 1, 2),
+best AS (SELECT * FROM (SELECT p0, p1, p2, p3, {total} AS kept
+         FROM range(4) a(p0), range(4) b(p1), range(4) c(p2), range(4) d(p3)
+         WHERE p0 <> p1 AND p0 <> p2 AND p0 <> p3 AND p1 <> p2 AND p1 <> p3 AND p2 <> p3)
+         ORDER BY kept DESC, p0, p1, p2, p3 LIMIT 1),
+one AS (SELECT 0 AS old, p0 AS new FROM best UNION ALL SELECT 1, p1 FROM best UNION ALL SELECT 2, p2 FROM best
+        UNION ALL SELECT 3, p3 FROM best),
+same AS (SELECT old, new FROM one JOIN ov ON cluster_before = old AND cluster_after = new),
+named AS (SELECT new, old FROM same UNION ALL
+          SELECT new, 3 + row_number() OVER (ORDER BY new) FROM range(4) r(new) WHERE new NOT IN (SELECT new FROM same))""")
+
+
+ORACLE["x2_segment_matching"] = _refit_cte("1998-07-01") + """
+SELECT cluster_before, cluster_after, products, EXISTS (SELECT 1 FROM same WHERE old = cluster_before AND new = cluster_after) AS continues
+FROM ov"""
+ORACLE["x3_matched_alerts"] = _refit_cte("1998-07-01") + """
+SELECT product_id, cluster_before, CAST(old AS INTEGER) AS cluster_after,
+       CASE WHEN cluster_before IS NULL THEN 'appeared' WHEN old IS NULL THEN 'vanished' ELSE 'changed' END AS change
+FROM tr LEFT JOIN named ON new = cluster_after WHERE cluster_before IS DISTINCT FROM old"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import ALL_FEATURES, CONCENTRATION, CUSTOMERS, PRODUCT_ID, PRODUCT_NAME, VOLUME
 from ..functions.columns import concentration_ratio, smoothed_concentration
 from ..functions.naming import UNDEFINED
-from ..operators import history, profile
+from ..operators import history, matching, profile
 from ..operators.quality import drop_any_null as drop_nulls
 from ..sources import csv_io
 from . import models as M
@@ -35,6 +35,7 @@ class Segmentation:
     recommended: str
     scored: DataFrame
     names: DataFrame
+    restart_fits: dict | None = None   # fitted initialisations (G10), once asked for
 
     def release(self) -> None:
         self.input.release()
@@ -153,3 +154,10 @@ def fitted_transitions(seg: Segmentation, period_feats: DataFrame) -> DataFrame:
     """X2 on the fitted segments: the label of each product in period 1 and
     2 (``history.period_features``), by the run's scaling and centers."""
     return history.pivot_periods(label_products(seg, period_feats).withColumnRenamed(M.KMEANS_COL, "cluster"))
+
+
+def refit_transitions(before: Segmentation, after: Segmentation, labels: int | None = None) -> DataFrame:
+    """X2 between two runs (a re-clustering of a later period): the label of
+    each product in either, the later run's in the earlier run's numbers."""
+    moved = history.segment_transitions(before.scored, after.scored, M.KMEANS_COL)
+    return matching.matched_transitions(moved, labels)
