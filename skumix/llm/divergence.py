@@ -14,8 +14,9 @@ comes from a frequent-pattern tree: a term is a row of its nonzero (source,
 share) items, the most frequent sources first; rows are sorted, so that rows
 with a common beginning follow each other and share the nodes of a path.  A
 node knows how many terms run through it, and its corrections with all its
-ancestors are computed once, times that number.  Only the current path is
-held; all arithmetic is on integers.
+ancestors are computed once, times that number.  The tree is built for some
+thousand rows at a time, level by level: a row opens a node at every depth
+from its first difference to the row before.  All arithmetic is on integers.
 
 A row is as long as its term has sources and the answer itself has a row for
 every ordered pair of a language's sources, so the tree grows no faster than
@@ -46,8 +47,9 @@ SMOOTHING = 5            # fixed value: added to every count
 SCALE = 1_000_000_000    # fixed value: shares are counted in parts of this
 TOP_TERMS = 50           # fixed value: ranks of part `term`
 
-HELD_TERMS = 300_000     # terms a task counts before it passes them on
-HELD_PAIRS = 1_000_000   # corrections a task holds before it sums and passes them on
+HELD_TERMS = 900_000     # terms a task counts before it passes them on
+TREE_ITEMS = 500_000     # items of rows a task makes into a tree at once
+HELD_PAIRS = 1_000_000   # node-ancestor pairs computed at once
 SALTS = 16               # parts a language's groups are dealt to in the join by language
 
 
@@ -55,7 +57,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
                 text_col: str = "text") -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term.
     One row with a null term stands for each group itself."""
-    kinds = "lang string, source string, term string, n long, docs long"
+    kinds = "lang string, source string, term binary, n long, docs long"
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -63,14 +65,12 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def passed_on():
-            for (lang, source), (n, d) in held.items():
-                terms = list(n)
-                size = len(terms) + 1
+            for (lang, source), (n, d) in held.items():  # both have their terms in one order
+                size = len(n) + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
-                     pa.array([None, *(t.decode("utf-8", "replace") for t in terms)], pa.string()),
-                     pa.array([0, *(n[t] for t in terms)], pa.int64()),
-                     pa.array([0, *(d[t] for t in terms)], pa.int64())],
+                     pa.array([None, *n], pa.binary()), pa.array([0, *n.values()], pa.int64()),
+                     pa.array([0, *d.values()], pa.int64())],
                     ["lang", "source", "term", "n", "docs"])
             held.clear()
 
@@ -79,7 +79,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
                 n, d = held.setdefault((lang, source), (Counter(), Counter()))
                 terms = find(text.lower())  # of bytes: A-Z alone
                 n.update(terms)
-                d.update(set(terms))
+                d.update(dict.fromkeys(terms).keys())
             if sum(len(n) for n, _ in held.values()) > HELD_TERMS:
                 yield from passed_on()
         yield from passed_on()
@@ -87,7 +87,7 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
     blank = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     d = in_batches(docs).select(blank(lang_col).alias("lang"), blank(source_col).alias("source"),
                                 blank(text_col).cast("binary").alias("text"))
-    return (d.mapInArrow(run, kinds).groupBy("lang", "source", "term")
+    return (d.mapInArrow(run, kinds).groupBy("lang", "source", F.col("term").cast("string").alias("term"))
             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
@@ -104,80 +104,91 @@ def _between(a: Column, b: Column) -> Column:
     return F.abs(a - b)
 
 
-def _closed(node: list, above: list, out: list) -> None:
-    """The corrections of a finished node with its ancestors, once for all
-    the terms that run through it."""
-    import numpy as np
-    place, p, p0, times = node
-    if not above:
-        return
-    h = np.array([(x[0], x[1], x[2]) for x in above], np.int64)
-    both = np.abs(p - h[:, 1]) - np.abs(p - h[:, 2]) - np.abs(p0 - h[:, 1]) + np.abs(p0 - h[:, 2])
-    out.append((h[:, 0], np.full(len(h), place, np.int64), both * times))
-
-
-def tree_corrections(rows: Iterator) -> Iterator:
-    """From sorted (path, multiplicity) rows, path a list of (place, p, p0):
-    (place of the ancestor, place of the node, summed corrections) arrays.
+def tree_corrections(sizes, times, place, p, p0):
+    """Summed corrections of the tree of some sorted rows: (place of the
+    ancestor, place of the node, sum) arrays, each pair of places once.
 
-    The open path is the only part of the tree that is held."""
+    ``sizes``: items of each row; ``times``: its multiplicity; the others are
+    the rows' items, one row after the other."""
     import numpy as np
-
-    def summed(parts):
-        a, b, v = (np.concatenate(x) for x in zip(*parts))
-        keys, at = np.unique(np.column_stack([a, b]), axis=0, return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at.reshape(-1), v)
-        return keys[:, 0], keys[:, 1], sums
-
-    stack: list[list] = []
-    out: list = []
-    held = 0
-
-    def close_to(depth):
-        nonlocal held
-        while len(stack) > depth:
-            node = stack.pop()
-            if stack:
-                stack[-1][3] += node[3]
-            _closed(node, stack, out)
-            held += len(stack)
-
-    for path, times in rows:
-        common = 0
-        while common < min(len(stack), len(path)) and tuple(stack[common][:2]) == tuple(path[common][:2]):
-            common += 1
-        close_to(common)
-        stack += [[*item, 0] for item in path[common:]]
-        if stack:
-            stack[-1][3] += times
-        if held > HELD_PAIRS:
-            out[:], held = [summed(out)], 0
-            yield out.pop()
-    close_to(0)
-    if out:
-        yield summed(out)
+    at = np.cumsum(sizes) - sizes
+    # items that a row has in common with the row before
+    common, same = np.zeros(len(sizes), np.int64), np.ones(len(sizes), bool)
+    same[:1] = False
+    through = np.r_[0, np.cumsum(times)]
+    row, depth, number = [], [], []
+    for d in range(int(sizes.max(initial=0))):
+        r = np.flatnonzero(same)
+        r = r[(sizes[r] > d) & (sizes[r - 1] > d)]
+        r = r[(place[at[r] + d] == place[at[r - 1] + d]) & (p[at[r] + d] == p[at[r - 1] + d])]
+        same[:] = False
+        same[r] = True
+        common[r] += 1
+        opens = np.flatnonzero(common <= d)  # the rows up to the next of these share the node
+        n = through[np.r_[opens[1:], len(sizes)]] - through[opens]
+        real = sizes[opens] > d
+        row.append(opens[real])
+        depth.append(np.full(int(real.sum()), d))
+        number.append(n[real])
+    if not row:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    row, depth, number = (np.concatenate(x) for x in (row, depth, number))
+    wide = int(place.max(initial=0)) + 1
+    keys, sums = [], []
+    parts = np.cumsum(depth) // HELD_PAIRS
+    for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(parts)) + 1):
+        d = depth[part]
+        node = np.repeat(at[row[part]] + d, d)
+        above = np.arange(len(node)) - np.repeat(np.cumsum(d) - d, d) + np.repeat(at[row[part]], d)
+        fix = (np.abs(p[node] - p[above]) - np.abs(p[node] - p0[above])
+               - np.abs(p0[node] - p[above]) + np.abs(p0[node] - p0[above])) * np.repeat(number[part], d)
+        k, s = _summed(place[above] * wide + place[node], fix)
+        keys.append(k)
+        sums.append(s)
+    k, s = _summed(np.concatenate(keys), np.concatenate(sums))
+    return k // wide, k % wide, s
+
+
+def _summed(keys, values):
+    import numpy as np
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(values, first) if len(keys) else values
 
 
 def _corrections(paths: DataFrame) -> DataFrame:
     """(lang, a, b, fix): pair corrections by places, a before b."""
 
     def run(batches: Iterator) -> Iterator:
-        import itertools
-
+        import numpy as np
         import pyarrow as pa
+        lang, held = None, []
 
-        def rows():
-            for b in batches:
-                for lang, path, times in zip(*(c.to_pylist() for c in b.columns)):
-                    yield lang, [(x["place"], x["p"], x["p0"]) for x in path], times
-
-        for lang, of in itertools.groupby(rows(), key=lambda r: r[0]):
-            for a, b, fix in tree_corrections((path, times) for _, path, times in of):
+        def made():
+            if held:
+                a, b, fix = tree_corrections(*(np.concatenate(x) for x in zip(*held)))
+                held.clear()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(a), pa.string()), pa.array(a), pa.array(b), pa.array(fix)],
                     ["lang", "a", "b", "fix"])
 
+        for b in batches:
+            of = np.array(b.column("lang").to_pylist(), object)
+            edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else []
+            for s, e in zip(edges, edges[1:]):
+                if of[s] != lang:
+                    yield from made()
+                    lang = of[s]
+                path = b.column("path").slice(s, e - s)
+                items = path.flatten()
+                held.append((np.diff(path.offsets.to_numpy()).astype(np.int64),
+                             b.column("times").slice(s, e - s).to_numpy(),
+                             *(items.field(c).to_numpy() for c in ("place", "p", "p0"))))
+            if sum(len(x[2]) for x in held) > TREE_ITEMS:
+                yield from made()
+        yield from made()
+
     return (paths.mapInArrow(run, "lang string, a long, b long, fix long")
             .groupBy("lang", "a", "b").agg(F.sum("fix").alias("fix")))
 
@@ -209,8 +220,9 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, lang_col: str = "lang"
         F.col("n"), F.col("total"), F.col("terms")))
     paths = (rows.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("place", "p", "p0"))).alias("path"))
              .groupBy("lang", "path").agg(F.count("*").alias("times")))
-    both = _corrections(paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
-                        .select("lang", "path", "times"))
+    # ranges of beginnings; rows that begin alike are split by their hash
+    near = paths.repartitionByRange("lang", F.slice("path", 1, 3), F.xxhash64("path"))
+    both = _corrections(near.sortWithinPartitions("lang", "path").select("lang", "path", "times"))
 
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     other = groups.select("lang", F.col("place").alias("b"), F.col("source").alias("other"),
