@@ -1,7 +1,11 @@
 """Cluster interpretation on labelled products: D10-D14, E4, E5, F1, F2,
 H1-H3.  Every table is a grouped aggregate over the labels (map-side
 partial aggregation, so a cluster holding a third of all products is
-never gathered in one task) plus joins to k-row tables."""
+never gathered in one task) plus joins to k-row tables.
+
+Medians and quartiles come from one written table of value counts per
+labelling (:func:`label_counts`): pass it as ``counts`` to every function
+that needs it, or each makes its own."""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import CONCENTRATION, FREQUENCY, PRODUCT_ID, PRODUCT_NAME, VOLUME
 from ..functions.columns import half_up_mean, nonneg_round, truncate_name, with_default
 from ..functions.naming import UNDEFINED, segment_name
-from .quantiles import exact_quantiles, quantiles_of, value_counts
+from .quantiles import pooled, quantiles_of, value_counts
 
 PROFILE_FEATURES = (VOLUME, FREQUENCY, CONCENTRATION)
 
@@ -41,10 +45,16 @@ def cluster_size_bars(labelled: DataFrame, k: int, label: str = "cluster") -> Da
             .orderBy(label))
 
 
-def global_medians(features: DataFrame, cols: Sequence[str] = PROFILE_FEATURES):
+def label_counts(labelled: DataFrame, label: str = "cluster", cols: Sequence[str] = PROFILE_FEATURES) -> DataFrame:
+    """Value counts by cluster and feature, written once."""
+    return value_counts(labelled, cols, by=[label])
+
+
+def global_medians(features: DataFrame, cols: Sequence[str] = PROFILE_FEATURES, counts: DataFrame | None = None):
     """One struct of exact medians as a scalar subquery column; attach it
     once (``withColumn``) and read its fields from that column."""
-    q = exact_quantiles(features, cols, [0.5])  # one row per feature
+    counts = pooled(counts) if counts is not None else value_counts(features, cols)
+    q = quantiles_of(counts, [0.5])  # one row per feature
     return q.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("q0"))).alias(c) for c in cols])
                  .alias("m")).scalar()
 
@@ -57,10 +67,11 @@ def cluster_profile(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     return labelled.groupBy(label).agg(*aggs)
 
 
-def cluster_vs_medians(labelled: DataFrame, label: str = "cluster") -> DataFrame:
+def cluster_vs_medians(labelled: DataFrame, label: str = "cluster",
+                       counts: DataFrame | None = None) -> DataFrame:
     """E5: each cluster's means beside the global medians (a scalar
     subquery, not a cross join) and the strict comparisons."""
-    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled))
+    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled, counts=counts))
     med = F.col("_med")
     out = prof.select(label, "mean_volume", "mean_frequency", "mean_concentration",
                       med[VOLUME].alias("median_volume"), med[FREQUENCY].alias("median_frequency"),
@@ -75,17 +86,19 @@ def cluster_vs_medians(labelled: DataFrame, label: str = "cluster") -> DataFrame
     )
 
 
-def segment_names(labelled: DataFrame, label: str = "cluster") -> DataFrame:
+def segment_names(labelled: DataFrame, label: str = "cluster",
+                  counts: DataFrame | None = None) -> DataFrame:
     """H2: (cluster, segment) by the naming rule; several clusters may
     share one name."""
-    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled))
+    prof = cluster_profile(labelled, label).withColumn("_med", global_medians(labelled, counts=counts))
     med = F.col("_med")
     return prof.select(label, segment_name(F.col("mean_volume"), F.col("mean_frequency"),
                                            F.col("mean_concentration"), med[VOLUME], med[FREQUENCY],
                                            med[CONCENTRATION]).alias("segment"))
 
 
-def segment_summary(labelled: DataFrame, label: str = "cluster") -> DataFrame:
+def segment_summary(labelled: DataFrame, label: str = "cluster",
+                    counts: DataFrame | None = None) -> DataFrame:
     """H3: cluster, name, size and the means rounded half-up to 1, 1 and
     2 decimals (from exact sums)."""
     g = labelled.groupBy(label).agg(
@@ -93,7 +106,7 @@ def segment_summary(labelled: DataFrame, label: str = "cluster") -> DataFrame:
         F.sum(VOLUME).alias("_sv"), F.sum(FREQUENCY).alias("_sf"),
         F.sum(F.col(CONCENTRATION).cast("decimal(28,10)")).alias("_sc"),
         _mean(VOLUME).alias("_mv"), _mean(FREQUENCY).alias("_mf"), _mean(CONCENTRATION).alias("_mc"),
-    ).withColumn("_med", global_medians(labelled))
+    ).withColumn("_med", global_medians(labelled, counts=counts))
     med = F.col("_med")
     name = segment_name(F.col("_mv"), F.col("_mf"), F.col("_mc"), med[VOLUME], med[FREQUENCY], med[CONCENTRATION])
     return g.select(
@@ -129,14 +142,16 @@ def top_products(labelled: DataFrame, n: int = 5, label: str = "cluster") -> Dat
 
 
 def boxplot_table(labelled: DataFrame, label: str = "cluster",
-                  cols: Sequence[str] = PROFILE_FEATURES, decimals: int = 6) -> DataFrame:
+                  cols: Sequence[str] = PROFILE_FEATURES, decimals: int = 6,
+                  counts: DataFrame | None = None) -> DataFrame:
     """Per cluster and feature: quartiles, whiskers (the most extreme
     data point within 1.5 IQR of the box) and the outlier count.
 
     Quartiles, whiskers and outliers all come from one written table of
     value counts; the quartile table has one row per (cluster, feature),
     bounded by k x 3, and is broadcast."""
-    counts = value_counts(labelled, cols, by=[label])
+    if counts is None:
+        counts = label_counts(labelled, label, cols)
     q = quantiles_of(counts, (0.25, 0.5, 0.75), by=[label]).select(
         label, "feature", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     lo = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))

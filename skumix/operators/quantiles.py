@@ -17,15 +17,21 @@ from ..session import written_table
 
 def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, x, n, part): distinct non-null values of each column
-    as doubles with their counts, in range parts."""
+    as doubles with their counts, in range parts of (feature, x): quantiles
+    of the groups and of the whole table (``pooled``) follow from it."""
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])).alias("r"))
     counts = (long.select(*by, "r.feature", "r.x").where(F.col("x").isNotNull())
               .groupBy(*by, "feature", "x").agg(F.count(F.lit(1)).alias("n")))
-    dealt = counts.repartitionByRange(*[F.col(c) for c in (*by, "feature", "x")])
+    dealt = counts.repartitionByRange(*[F.col(c) for c in ("feature", "x", *by)])
     return written_table(dealt.withColumn("part", F.spark_partition_id()), "value-counts")
 
 
+def pooled(counts: DataFrame) -> DataFrame:
+    """The counts without their groups."""
+    return counts.groupBy("feature", "part", "x").agg(F.sum("n").alias("n"))
+
+
 def quantiles_of(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, n, q0, q1, ...): linear interpolation between the two
     nearest ranks, per group of :func:`value_counts`."""

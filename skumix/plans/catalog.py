@@ -264,8 +264,16 @@ def fixed_labelled(spark: SparkSession, sf: str) -> DataFrame:
         scale.standardise(scale.complete_rows(clean_features(spark, sf)))))
 
 
+def fixed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Value counts of the fixed labelling, written once per run."""
+    key = _run_key(spark, sf, "fixed_counts")
+    if key not in _MATERIALISED:
+        _MATERIALISED[key] = profile.label_counts(fixed_labelled(spark, sf))
+    return _MATERIALISED[key]
+
+
 def fixed_names(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.segment_names(fixed_labelled(spark, sf))
+    return profile.segment_names(fixed_labelled(spark, sf), counts=fixed_counts(spark, sf))
 
 
 ZC = assign.ZCOLS
@@ -339,7 +347,7 @@ def d10_cluster_sizes(spark, sf):
 
 @query("d11_boxplot")
 def d11_boxplot(spark, sf):
-    return profile.boxplot_table(fixed_labelled(spark, sf))
+    return profile.boxplot_table(fixed_labelled(spark, sf), counts=fixed_counts(spark, sf))
 
 
 @query("d12_cluster_bars")
@@ -350,13 +358,13 @@ def d12_cluster_bars(spark, sf):
 @query("d13_labelled_scatter_2d")
 def d13_labelled_scatter_2d(spark, sf):
     lab = fixed_labelled(spark, sf)
-    return profile.labelled_scatter_2d(lab, profile.segment_names(lab))
+    return profile.labelled_scatter_2d(lab, fixed_names(spark, sf))
 
 
 @query("d14_labelled_scatter_3d")
 def d14_labelled_scatter_3d(spark, sf):
     lab = fixed_labelled(spark, sf)
-    return profile.labelled_scatter_3d(lab, profile.segment_names(lab))
+    return profile.labelled_scatter_3d(lab, fixed_names(spark, sf))
 
 
 @query("e3_strategy_lookup")
@@ -367,12 +375,12 @@ def e3_strategy_lookup(spark, sf):
 @query("e4_names_to_products")
 def e4_names_to_products(spark, sf):
     lab = fixed_labelled(spark, sf)
-    return profile.names_to_products(lab, profile.segment_names(lab))
+    return profile.names_to_products(lab, fixed_names(spark, sf))
 
 
 @query("e5_cluster_vs_medians")
 def e5_cluster_vs_medians(spark, sf):
-    return profile.cluster_vs_medians(fixed_labelled(spark, sf))
+    return profile.cluster_vs_medians(fixed_labelled(spark, sf), counts=fixed_counts(spark, sf))
 
 
 @query("f1_order_by_cluster")
@@ -397,7 +405,7 @@ def h2_segment_names(spark, sf):
 
 @query("h3_segment_summary")
 def h3_segment_summary(spark, sf):
-    return profile.segment_summary(fixed_labelled(spark, sf))
+    return profile.segment_summary(fixed_labelled(spark, sf), counts=fixed_counts(spark, sf))
 
 
 @query("h4_strategy_report")
@@ -433,7 +441,7 @@ def awkward(name: str):
 
 def _export_fixed(spark, sf) -> tuple[str, DataFrame]:
     lab = fixed_labelled(spark, sf)
-    names = profile.segment_names(lab)
+    names = fixed_names(spark, sf)
     table = (lab.join(F.broadcast(names), "cluster", "left")
              .select("product_id", awkward("product_name").alias("product_name"), "volume",
                      "order_frequency", "unique_customers", "concentration", "cluster", "segment"))
@@ -721,6 +729,23 @@ def _second_labels(spark, sf) -> DataFrame:
 SECOND_CENTERS = ((-0.5, -0.5, -0.5), (0.5, 0.5, -0.5), (0.5, 0.5, 1.5))
 
 
+def _second_names(spark, sf) -> DataFrame:
+    # the medians are those of all products, whatever their labels
+    return profile.segment_names(_second_labels(spark, sf), M.GMM_COL, counts=fixed_counts(spark, sf))
+
+
+@query("d13_second_scatter_2d")
+def d13_second_scatter_2d(spark, sf):
+    """D13 on the labels of the second model (the mixture's column)."""
+    return profile.labelled_scatter_2d(_second_labels(spark, sf), _second_names(spark, sf), M.GMM_COL)
+
+
+@query("d14_second_scatter_3d")
+def d14_second_scatter_3d(spark, sf):
+    """D14 on the labels of the second model."""
+    return profile.labelled_scatter_3d(_second_labels(spark, sf), _second_names(spark, sf), M.GMM_COL)
+
+
 @query("f4_best_of_fixed_sweep")
 def f4_best_of_fixed_sweep(spark, sf):
     scores = materialised(spark, sf, "fixed_scores", lambda: _fixed_scores(spark, sf))

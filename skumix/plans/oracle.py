@@ -583,3 +583,10 @@ ORACLE["x3_matched_alerts"] = _refit_cte("1998-07-01") + """
 SELECT product_id, cluster_before, CAST(old AS INTEGER) AS cluster_after,
        CASE WHEN cluster_before IS NULL THEN 'appeared' WHEN old IS NULL THEN 'vanished' ELSE 'changed' END AS change
 FROM tr LEFT JOIN named ON new = cluster_after WHERE cluster_before IS DISTINCT FROM old"""
+
+# D13 and D14 once more, on the second labelling: the same text over table
+# ``two`` and its label column
+for _name, _first in (("d13_second_scatter_2d", "d13_labelled_scatter_2d"), ("d14_second_scatter_3d", "d14_labelled_scatter_3d")):
+    _rest = PROFILE + ORACLE[_first][len(LAB_PROFILE):]
+    ORACLE[_name] = (LABELLED + ",\n" + labelled_cte("lab", "two", SECOND, "cluster_gmm") + ",\n"
+                     + _rest.replace("FROM lab", "FROM two").replace("cluster", "cluster_gmm"))

@@ -54,7 +54,8 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
     ``date_source``, so that two transactions of one day stay two rows
     through a whole-row deduplication.  A ``week`` role takes an existing
     week column as is.  ``keep_others`` carries every unmapped source
-    column along unchanged.
+    column along unchanged; one that is named like a role or a derived
+    column becomes ``source_<name>`` (with further underscores if need be).
     """
     required = [r for r in ("id", "product_id", "customer_id") if r not in roles]
     if required:
@@ -74,8 +75,17 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
             cols.append(c.alias(role))
     if keep_others:
         mapped = set(roles.values())
-        taken = set(roles) | {"date", "week", "date_source"}
-        cols += [F.col(c) for c in df.columns if c not in mapped and c not in taken]
+        taken = {r.lower() for r in roles} | ({"date", "week", "date_source"} if "date" in roles else set())
+        others = [c for c in df.columns if c not in mapped]
+        free = {c.lower() for c in others} | taken
+        for c in others:
+            name = c
+            if c.lower() in taken:  # a lost column would make different rows equal
+                name = f"source_{c}"
+                while name.lower() in free:
+                    name += "_"
+                free.add(name.lower())
+            cols.append(F.col(f"`{c}`").alias(name))
     return df.select(*cols)
 
 

@@ -129,3 +129,20 @@ def test_derived_week_rederived_after_dedup(spark):
     tx2 = bind_roles(src.withColumn("w", F.lit(7)), {"id": "oid", "product_id": "pid", "customer_id": "cid",
                                                       "week": "w"})
     assert feat.clean_transactions(tx2).count() == 2
+
+
+def test_no_unmapped_column_is_lost_or_shadowed(spark):
+    """Columns named like a role or a derived one keep their values under a
+    free name, so rows that differ only there stay two rows."""
+    from skumix.operators import features as feat
+    from skumix.sources import tables
+    raw = spark.createDataFrame(
+        [(1, 7, 3, "2024-01-02", 1, "a", "x", "k"), (1, 7, 3, "2024-01-02", 2, "a", "x", "k"),
+         (1, 7, 3, "2024-01-02", 1, "b", "x", "k"), (1, 7, 3, "2024-01-02", 1, "b", "y", "k")],
+        "nr long, sku long, buyer long, day string, id int, week string, source_id string, date_source string")
+    bound = tables.bind_roles(raw, {"id": "nr", "product_id": "sku", "customer_id": "buyer", "date": "day"},
+                              keep_others=True)
+    assert sorted(bound.columns) == sorted(["id", "product_id", "customer_id", "date", "date_source", "week", "source_id_",
+                                            "source_week", "source_id", "source_date_source"])
+    assert feat.clean_transactions(bound).count() == 4
+    assert sorted(r.source_id_ for r in bound.collect()) == [1, 1, 1, 2]
