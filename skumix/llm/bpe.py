@@ -10,8 +10,9 @@ in the text and the result is exactly that of the merges.  Decoding joins
 slices of one byte buffer through an offset table.
 
 Texts are cut at single spaces between visible characters, where no
-pre-token can reach across; the pieces' ids are remembered (a bounded
-memo), so common words are encoded once per worker.
+pre-token can reach across.  Values of these chunks are remembered, and below
+them those of pre-tokens ("word," and "word." share "word"), in bounded memos
+of two generations, so common words are encoded once per worker.
 
 The vocabulary file's path is a parameter; its bytes are broadcast (a
 fixed size).  Defined results: null and empty texts have no tokens;
@@ -29,7 +30,9 @@ from .common import ids_and_text
 
 # Fixed value: the pattern that cuts texts into pre-tokens.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO_CHUNKS = 150_000   # pieces of text a worker remembers
+MEMO_CHUNKS = 300_000   # chunks a worker remembers, and as many of the time before
+MEMO_PIECES = 200_000   # pre-tokens, likewise
+MEMO_PAIRS = 300_000    # token pairs
 STRIDE = 1_000_000      # characters encoded at once
 
 
@@ -72,6 +75,7 @@ class Tables:
                 self.halves.append((rank[a], rank[b]))
             self.merged.setdefault((rank[a], rank[b]), rank[a + b])
         self.ids = [vocab[t] for t in self.tokens]
+        self.id_bytes = [i.to_bytes(4, "little") for i in self.ids]
         self.lengths = [len(t) for t in self.tokens]
         self.shorter = [self._prefix(t, rank) for t in self.tokens]
         self.automaton = ahocorasick.Automaton()
@@ -96,7 +100,7 @@ class Tables:
         """Whether the merges leave the border between tokens a and b alone."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 100_000:
+            if len(self.pairs) > MEMO_PAIRS:
                 self.pairs.clear()
             known = self.pairs[(a, b)] = self._border_stays(a, b)
         return known
@@ -129,37 +133,44 @@ class Tables:
         """Ranks of one pre-token's tokens."""
         n = len(piece)
         longest = [0] * n
-        lengths = self.lengths
+        lengths, known = self.lengths, self.pairs.get
         for end, t in self.automaton.iter(piece.decode("latin-1")):
             longest[end + 1 - lengths[t]] = t  # ends ascend: the longest comes last
         out: list[int] = []
         given_up = bytearray(n + 1)
-        pos, t = 0, longest[0]
+        pos, t, before = 0, longest[0], -1
         while pos < n:
             while t >= 0:
                 end = pos + lengths[t]
-                if not given_up[end] and (not out or self.compatible(out[-1], t)):
-                    break
+                if not given_up[end]:
+                    if before < 0:
+                        break
+                    fits = known((before, t))
+                    if fits or fits is None and self.compatible(before, t):
+                        break
                 t = self.shorter[t]
             if t >= 0:
                 out.append(t)
-                pos = end
+                pos, before = end, t
                 if pos < n:
                     t = longest[pos]
             else:  # nothing fits here: never come back to this place
                 given_up[pos] = 1
                 t = out.pop()
                 pos -= lengths[t]
+                before = out[-1] if out else -1
         return out
 
     def pieces(self, text: str) -> list[bytes]:
         return [p.encode("utf-8") for p in self.pretoken.findall(text)]
 
+    def packed_piece(self, piece: bytes) -> bytes:
+        """Ids of one pre-token, as little-endian u32."""
+        return b"".join([self.id_bytes[r] for r in self.encode_piece(piece)])
+
     def packed(self, text: str) -> bytes:
-        """Ids of a text without special strings, as little-endian u32."""
-        import numpy as np
-        ids = self.ids
-        return np.array([ids[r] for p in self.pieces(text) for r in self.encode_piece(p)], "<u4").tobytes()
+        """Ids of a text without special strings, likewise."""
+        return b"".join(map(self.packed_piece, self.pieces(text)))
 
     def offsets(self):
         """(byte buffer of all tokens by id, offset table) for decoding."""
@@ -172,27 +183,85 @@ class Tables:
         return buffer, np.r_[0, np.cumsum(lengths)]
 
 
-class ChunkCoder:
-    """Values of texts, made from remembered values of their chunks.
+class Memo:
+    """Remembered values in two generations: when the newer is full it
+    becomes the older, and what is asked for again moves to the newer."""
 
-    ``values`` maps chunks (with their leading space) to values; ``whole``
-    handles the rare texts that cannot be cut at every single space."""
+    def __init__(self, limit: int):
+        self.new: dict = {}
+        self.old: dict = {}
+        self.limit = limit
 
-    def __init__(self, values: Callable[[list[str]], list], whole: Callable[[str], list],
-                 specials: tuple[str, ...] = (), limit: int = MEMO_CHUNKS):
-        self.values, self.whole, self.specials, self.limit = values, whole, specials, limit
-        self.later: dict[str, object] = {}   # chunks after a space
-        self.first: dict[str, object] = {}   # chunks at the start of a text
+    def turn(self) -> None:
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+
+    def unknown(self, keys) -> list:
+        """The keys that are not remembered; all others are in ``new`` then."""
+        new, old, out = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    out.append(k)
+        return out
 
-    def _learn(self, memo: dict, chunks: set[str], lead: str) -> None:
-        todo = []
+
+class ChunkCoder:
+    """Values of texts, made from remembered values of their chunks, which
+    are made from remembered values of their pre-tokens.
+
+    ``value`` maps a pre-token (bytes) to its value, ``joined`` a list of
+    values to one; ``special`` gives the value of a special string's id."""
+
+    def __init__(self, tables: Tables, value: Callable[[bytes], object], joined: Callable[[list], object],
+                 special: Callable[[int], object], limit: int = MEMO_CHUNKS, pieces: int = MEMO_PIECES):
+        self.tables, self.value, self.joined = tables, value, joined
+        self.whole = whole_text(tables, self.of, special)
+        self.specials = tuple(tables.special)
+        self.later = Memo(limit)    # chunks after a space
+        self.first = Memo(limit)    # chunks at the start of a text
+        self.pieces = Memo(pieces)
+
+    def _values(self, pieces: list[str]) -> Callable[[str], object]:
+        """A lookup of pre-tokens, after all of ``pieces`` are learnt."""
+        self.pieces.turn()
+        memo, value = self.pieces.new, self.value
+        for p in self.pieces.unknown(set(pieces)):
+            memo[p] = value(p.encode("utf-8"))
+        return memo.__getitem__
+
+    def of(self, text: str):
+        """Value of a text without special strings."""
+        pieces = self.tables.pretoken.findall(text)
+        return self.joined(list(map(self._values(pieces), pieces)))
+
+    def _plain(self, chunks: list[str], memo: dict) -> list[str]:
+        """Chunks that can be coded apart; the others' value is None."""
+        out = []
         for c in chunks:
             if not c or c[0].isspace() or c[-1].isspace() or any(s in c for s in self.specials):
                 memo[c] = None
             else:
-                todo.append(c)
-        for c, v in zip(todo, self.values([lead + c for c in todo])):
-            memo[c] = v
+                out.append(c)
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Chunks after a space, all at once: a piece that starts with a space
+        starts a chunk, for there is no other space in them."""
+        chunks = self._plain(chunks, self.later.new)
+        if not chunks:
+            return
+        pieces = self.tables.pretoken.findall(" " + " ".join(chunks))
+        get, parts = self._values(pieces), []
+        for p in pieces:
+            if p[0] == " ":
+                parts.append([get(p)])
+            else:
+                parts[-1].append(get(p))
+        joined = self.joined
+        self.later.new.update(zip(chunks, [x[0] if len(x) == 1 else joined(x) for x in parts], strict=True))
 
     def code(self, texts: list[str]) -> Iterator[list]:
         """For every text its chunks' values, in order."""
@@ -207,20 +276,21 @@ class ChunkCoder:
 
     def _some(self, texts: list[str]) -> Iterator[list]:
         split = [t.split(" ") for t in texts]
-        for memo in (self.later, self.first):
-            if len(memo) > self.limit:
-                memo.clear()
+        self.later.turn()
+        self.first.turn()
         new: set[str] = set()
         for parts in split:
             new.update(parts[1:])
-        self._learn(self.later, {c for c in new if c not in self.later}, " ")
-        self._learn(self.first, {p[0] for p in split if p[0] not in self.first}, "")
-        get = self.later.__getitem__
+        self._learn(self.later.unknown(new))
+        first = self.first.new
+        for c in self._plain(self.first.unknown({p[0] for p in split}), first):
+            first[c] = self.of(c)
+        get = self.later.new.__getitem__
         for text, parts in zip(texts, split):
             if text == "":
                 yield []
                 continue
-            got = [self.first[parts[0]], *map(get, parts[1:])]
+            got = [first[parts[0]], *map(get, parts[1:])]
             yield self.whole(text) if None in got else got
 
 
@@ -260,9 +330,7 @@ def tables_of(state: dict) -> Tables:
 def id_coder(state: dict) -> ChunkCoder:
     if "id_coder" not in state:
         t = tables_of(state)
-        u32 = lambda i: i.to_bytes(4, "little")
-        state["id_coder"] = ChunkCoder(lambda cs: [t.packed(c) for c in cs],
-                                       whole_text(t, t.packed, u32), tuple(t.special))
+        state["id_coder"] = ChunkCoder(t, t.packed_piece, b"".join, lambda i: i.to_bytes(4, "little"))
     return state["id_coder"]
 
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import ChunkCoder, Tables, default_vocabulary, tables_of, vocabulary, whole_text
+from .bpe import ChunkCoder, Tables, default_vocabulary, tables_of, vocabulary
 from .common import ids_and_text
 
 LIMIT = 512  # fixed value: over_limit is n_tokens > LIMIT
@@ -27,16 +27,17 @@ LIMIT = 512  # fixed value: over_limit is n_tokens > LIMIT
 def piece_counts(tables: Tables, piece: bytes) -> list[int]:
     """Token count of every prefix of a pre-token (index: bytes)."""
     n = len(piece)
-    ending: list[list[int]] = [[] for _ in range(n + 1)]
-    for end, t in tables.automaton.iter(piece.decode("latin-1")):
-        ending[end + 1].append(t)
     last, counts, lengths = [-1] * (n + 1), [0] * (n + 1), tables.lengths
-    for i in range(1, n + 1):
-        for t in ending[i]:
+    known = tables.pairs.get
+    for end, t in tables.automaton.iter(piece.decode("latin-1")):  # ends ascend
+        i = end + 1
+        if last[i] < 0:
             start = i - lengths[t]
-            if start == 0 or tables.compatible(last[start], t):
-                last[i], counts[i] = t, counts[start] + 1
-                break
+            if start:
+                fits = known((last[start], t))
+                if not (tables.compatible(last[start], t) if fits is None else fits):
+                    continue
+            last[i], counts[i] = t, counts[start] + 1
     return counts
 
 
@@ -84,12 +85,7 @@ def total_coder(state: dict) -> ChunkCoder:
     """Token counts of whole texts from remembered chunk counts."""
     if "total_coder" not in state:
         t = tables_of(state)
-
-        def total(chunk: str) -> int:
-            return sum(piece_counts(t, p)[-1] for p in t.pieces(chunk))
-
-        state["total_coder"] = ChunkCoder(lambda cs: [total(c) for c in cs],
-                                          whole_text(t, total, lambda _: 1), tuple(t.special))
+        state["total_coder"] = ChunkCoder(t, lambda p: piece_counts(t, p)[-1], sum, lambda _: 1)
     return state["total_coder"]
 
 
