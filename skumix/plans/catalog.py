@@ -837,3 +837,32 @@ def x3_stream_transition_alerts(spark, sf):
         monitor._remove(spark, done)
     return monitor.read_alerts(spark, os.path.join(base, "state")).select(
         "product_id", "cluster_before", "cluster_after", "change")
+
+
+STREAM_DAYS = 364   # fixed value: 52 weeks a period
+STREAM_LATE = 7     # fixed value: days a transaction may be late
+
+
+@query("x3_stateful_stream_alerts")
+def x3_stateful_stream_alerts(spark, sf):
+    """X3 by state: the transactions arrive in four time-ordered parts, after
+    each of which the monitor is started anew from its checkpoint; alerts of
+    all periods that the watermark has closed."""
+    import os
+    from ..streaming import stateful
+    base = shared_path(spark, "stateful")
+    src = os.path.join(base, "input")
+    tx = tables.transactions(spark, sf).withColumn("period", stateful.period_of(F.col("date"), STREAM_DAYS))
+    r = tx.agg(F.min("period").alias("first"), F.max("period").alias("last")).first()
+    first, last = r["first"] or 0, r["last"] or 0
+    master = tables.product_master(spark, sf)
+    reference = feat.join_master(feat.product_features(feat.clean_transactions(
+        tx.where(F.col("period") == first).drop("period"))), master)
+    numbers = stateful.reference_scale(scale.complete_rows(reference))
+    step = max(1, -(-(last - first + 1) // 4))
+    for start in range(first, last + 1, step):
+        part = tx.where((F.col("period") >= start) & (F.col("period") < start + step)).drop("period")
+        part.write.mode("append").parquet(src)
+        stateful.start_label_monitor(spark, src, master, base, numbers, first, STREAM_DAYS,
+                                     STREAM_LATE).awaitTermination()
+    return stateful.read_alerts(spark, base)

@@ -590,3 +590,25 @@ for _name, _first in (("d13_second_scatter_2d", "d13_labelled_scatter_2d"), ("d1
     _rest = PROFILE + ORACLE[_first][len(LAB_PROFILE):]
     ORACLE[_name] = (LABELLED + ",\n" + labelled_cte("lab", "two", SECOND, "cluster_gmm") + ",\n"
                      + _rest.replace("FROM lab", "FROM two").replace("cluster", "cluster_gmm"))
+
+# X3 by periods of 52 weeks, under the first period's scale: all periods that
+# end a week before the last transaction or earlier
+ORACLE["x3_stateful_stream_alerts"] = "WITH " + TX + ",\n" + MASTER + """,
+ptx AS (SELECT DISTINCT *, CAST(floor(date_diff('day', DATE '1970-01-01', date) / 364.0) AS BIGINT) AS period FROM tx WHERE product_id IS NOT NULL),
+cnt AS (SELECT period, product_id, count(*) AS volume, count(DISTINCT id) AS order_frequency, count(DISTINCT customer_id) AS unique_customers
+        FROM ptx GROUP BY 1, 2),
+pf AS (SELECT *, ((200 * volume + unique_customers) // (2 * unique_customers)) / 100.0::DOUBLE AS concentration
+       FROM cnt WHERE unique_customers > 0 AND product_id IN (SELECT product_id FROM master)),
+pfirst AS (SELECT * FROM pf WHERE period = (SELECT min(period) FROM ptx)),
+""" + scaled_cte("pf", "pz", stats_src="pfirst") + ",\n" + labelled_cte("pz", "pl") + """,
+closed AS (SELECT max(date) - 7 AS upto FROM tx),
+b AS (SELECT DISTINCT period FROM ptx),
+lab2 AS (SELECT product_id, period, cluster FROM pl, closed WHERE DATE '1970-01-01' + CAST((period + 1) * 364 AS INTEGER) <= upto),
+pairs AS (SELECT coalesce(y.product_id, x.product_id) AS product_id, coalesce(y.period, x.period + 1) AS period,
+                 x.cluster AS cluster_before, y.cluster AS cluster_after
+          FROM lab2 x FULL OUTER JOIN lab2 y ON x.product_id = y.product_id AND y.period = x.period + 1)
+SELECT product_id, period, cluster_before, cluster_after,
+       CASE WHEN cluster_before IS NULL THEN 'appeared' WHEN cluster_after IS NULL THEN 'vanished' ELSE 'changed' END AS change
+FROM pairs, closed
+WHERE cluster_before IS DISTINCT FROM cluster_after AND period > (SELECT min(period) FROM ptx)
+  AND DATE '1970-01-01' + CAST((period + 1) * 364 AS INTEGER) <= upto"""
