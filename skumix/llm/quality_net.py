@@ -1,11 +1,12 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
-Random indexing: every word shape has a fixed sparse ternary index
-vector; a term's vector is the sum of the index vectors of its neighbours'
-shapes over the whole corpus (neighbouring words themselves do not enter).  Terms are word buckets and word shapes (letters and
-digits collapsed, symbols kept) in fixed numbers, so what tasks hold and
-what is broadcast (TERMS x WIDTH numbers) does not grow with the corpus,
-and integer sums make the result independent of partitioning.
+Random indexing: every word and every word shape has a fixed sparse ternary
+index vector; a word's vector is the sum of the index vectors of the words
+around it over the whole corpus, a shape's that of the shapes around it
+(letters and digits collapsed, symbols kept).  Words are dealt to a fixed
+number of buckets by their hash, so what tasks hold and what is broadcast
+(TERMS x WIDTH numbers) does not grow with the corpus: words of one bucket
+share a vector.  Integer sums make the result independent of partitioning.
 
 A document's input is the mean and spread of its terms' vectors with its
 length and share of distinct words.  A two-layer numpy network is fitted
@@ -39,6 +40,7 @@ HIDDEN = 32
 PER_CLASS = 4000   # bound of the labelled sample, rows of each class
 THRESHOLD = 0.5    # fixed value: predicted = 1 from this score on
 MEMO_WORDS = 200_000
+CHUNK = 1 << 16    # words whose neighbours are summed at once
 SEED = 10
 
 LOWER, UPPER, DIGIT = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
@@ -51,16 +53,35 @@ def shape(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", s)
 
 
-def index_vectors():
-    """(SHAPES, WIDTH) sparse ternary index vectors, from a fixed seed."""
+def index_vectors(size: int = SHAPES, seed: int = SEED):
+    """(size, WIDTH) sparse ternary index vectors, from a fixed seed."""
     import numpy as np
-    rng = np.random.default_rng(SEED)
-    r = np.zeros((SHAPES, WIDTH), np.int64)
+    rng = np.random.default_rng(seed)
+    r = np.zeros((size, WIDTH), np.int8)
     for row in r:
         row[rng.choice(WIDTH, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
     return r
 
 
+def _add_words(total, ids, start: int, size: int, index) -> None:
+    """Add to ``total[t]`` the index vectors of the neighbours of every
+    occurrence of word t at ``start`` to ``start + size`` of the row ``ids``
+    (-1: a gap between texts)."""
+    import numpy as np
+    own = index[ids]
+    own[ids < 0] = 0
+    around = np.zeros_like(own)  # at most 2 * REACH signs: 8 bits hold their sum
+    for o in range(1, REACH + 1):
+        around[o:] += own[:-o]
+        around[:-o] += own[o:]
+    ids, around = ids[start:start + size], around[start:start + size]
+    order = np.argsort(ids, kind="stable")
+    order = order[np.searchsorted(ids[order], 0):]  # gaps have no vector
+    if len(order):
+        first = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
+        total[ids[order[first]]] += np.add.reduceat(around[order], first, axis=0, dtype=np.int64)
+
+
 class Terms:
     """Word -> (word bucket, shape bucket), remembered up to a bound."""
 
@@ -97,45 +118,35 @@ def word_vectors(docs: DataFrame):
         import numpy as np
         import pyarrow as pa
         terms = _terms(bc.value)
-        index = index_vectors()
+        words, shapes = index_vectors(WORDS, SEED + 1), index_vectors()
         total = np.zeros((TERMS, WIDTH), np.int64)
-        seen = np.zeros(TERMS * SHAPES, np.int32)  # neighbour shapes of every term
-        keys: list = []
-        held = waiting = 0
-
-        def tally():
-            if keys:
-                k = np.concatenate(keys)
-                # words and shapes apart: a count array of one part at a time
-                cut = WORDS * SHAPES
-                for lo, hi in ((0, cut), (cut, TERMS * SHAPES)):
-                    part = k[(k >= lo) & (k < hi)] - lo
-                    seen[lo:hi] += np.bincount(part, minlength=hi - lo).astype(np.int32)
-                keys.clear()
-
-        def fold():
-            tally()
-            table = seen.reshape(TERMS, SHAPES)
-            for i in range(0, TERMS, 512):  # exact: the sums stay below 2^53
-                total[i:i + 512] += (table[i:i + 512].astype(np.float64) @ index).astype(np.int64)
-            seen[:] = 0
+        seen = np.zeros((SHAPES, SHAPES), np.int64)  # neighbours of every shape
+        gap = np.full(REACH, -1)  # between texts: no neighbours across
+
+        def tally(texts):
+            # texts side by side; the gap's index vector is zero
+            w = np.concatenate([x for a, _ in texts for x in (a, gap)])
+            s = np.concatenate([x for _, b in texts for x in (b, gap)])
+            for at in range(0, len(w), CHUNK):  # each occurrence once, its neighbours beside it
+                lo, hi = max(0, at - REACH), min(len(w), at + CHUNK + REACH)
+                _add_words(total, w[lo:hi], at - lo, min(CHUNK, len(w) - at), words)
+            for o in range(1, REACH + 1):
+                a, b = s[o:], s[:-o]
+                both = (a >= 0) & (b >= 0)
+                pairs = np.bincount(a[both] * SHAPES + b[both], minlength=SHAPES * SHAPES).reshape(SHAPES, SHAPES)
+                seen[:] += pairs + pairs.T
 
         for b in batches:
+            texts, held = [], 0
             for text in b.column("text").to_pylist():
-                w, s = terms.of(text)
-                for o in range(1, REACH + 1):
-                    for a, c in ((slice(o, None), slice(None, -o)), (slice(None, -o), slice(o, None))):
-                        keys.append(w[a] * SHAPES + s[c])
-                        keys.append((WORDS + s[a]) * SHAPES + s[c])
-                waiting += len(w)
-                held += len(w)
-                if waiting > 200_000:
-                    tally()
-                    waiting = 0
-                if held > 50_000_000:  # before 32 bits can overflow
-                    fold()
-                    held = 0
-        fold()
+                texts.append(terms.of(text))
+                held += len(texts[-1][0])
+                if held > 4 * CHUNK:
+                    tally(texts)
+                    texts, held = [], 0
+            if texts:
+                tally(texts)
+        total[WORDS:] = seen @ shapes.astype(np.int64)
         used = np.nonzero(total.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), *(pa.array(np.ascontiguousarray(total[used, i])) for i in range(WIDTH))],

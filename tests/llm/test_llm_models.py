@@ -128,16 +128,39 @@ def test_hmm_columns_over_odd_rows(spark, docs, empty):
     assert hmm.score(empty).count() == 0
 
 
-def test_hmm_probabilities_of_one_word_texts_sum_to_one(spark):
-    """Over all texts of one known word, per class one unseen word, and the
-    empty text: the first token's probabilities add up."""
-    rows = [(i, "a b c a", "", "", 0) for i in range(1, 8)]
-    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
-    held = next(i for i in range(100, 10_000) if zlib.crc32(str(i).encode()) % 7 == 2)
-    d = spark.createDataFrame([*train, (held, "", "", "", 0)],
-                              "doc_id long, text string, lang string, source string, n_chars long")
-    r = hmm.score(d).where(f"doc_id = {held}").first()
-    assert r.n_tokens == 1 and 0 < 10 ** r.score < 1
+def test_hmm_probabilities_sum_to_one(spark, monkeypatch):
+    """Of a trained model: all first tokens, all second tokens after a first
+    one, and all words of a class with the unseen one."""
+    models, train = [], hmm.train
+
+    def kept(*a):
+        models.append((a[1], train(*a)))
+        return models[-1][1]
+
+    monkeypatch.setattr(hmm, "train", kept)
+    words = ["alpha", "beta", "gamma", "delta", "alphabet", "a"]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 9)))) for i in range(60)]
+    # each word alone, an unseen word of alpha's class (the same first bytes), and the empty text
+    asked = [w for w in words] + ["alphorn", ""]
+    held = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 7 == 2][:len(asked)]
+    d = spark.createDataFrame(rows + list(zip(held, asked)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in hmm.score(d).collect()}
+    shares, (start, trans, emit) = models[0]
+    assert start.sum() == pytest.approx(1) and np.allclose(trans.sum(1), 1) and np.allclose(emit.sum(1), 1)
+    assert shares.sum() == pytest.approx(1)
+    every = np.arange(hmm.CLASSES)
+    one = hmm.forward((start, trans, emit), every, every, np.ones(len(every), np.int64))[-1]
+    assert (10 ** one).sum() == pytest.approx(1)
+    first = hmm.word_class(b"alpha")
+    pairs = np.column_stack([np.full(len(every), first), every]).reshape(-1)
+    two = hmm.forward((start, trans, emit), pairs, 2 * every, np.full(len(every), 2))[-1]
+    assert (10 ** two).sum() == pytest.approx(10 ** one[first])
+    # alpha, alphabet and the unseen alphorn share a class: their texts have its probability
+    assert hmm.word_class(b"alphabet") == hmm.word_class(b"alphorn") == first
+    score = dict(zip(asked, (got[i] for i in held)))
+    both = sum(10 ** score[w] for w in ("alpha", "alphabet", "alphorn"))
+    assert both == pytest.approx(10 ** two[0]) and 10 ** score[""] == pytest.approx(10 ** one[0])
 
 
 def test_toxicity_finds_planted_words_and_spares_clean_texts(spark, empty, labels):
@@ -191,6 +214,40 @@ def test_kneser_ney_tables_are_distributions():
     assert toxicity.grams("ab") == ["\x02a", "\x02ab", "\x02ab\x03"]
 
 
+def test_kneser_ney_probabilities_of_every_context_sum_to_one():
+    """By plain sums over the alphabet, with one sign for all other characters."""
+    rng = random.Random(8)
+    counts = {}
+    for _ in range(60):
+        word = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 8)))
+        for g in toxicity.grams(word):
+            n = counts.setdefault(g, [0, 0])
+            n[rng.random() < 0.3] += rng.randint(1, 3)
+    model = toxicity.KneserNey([(g, *n) for g, n in counts.items()])
+    signs = sorted({g[-1] for g in counts}) + ["?"]
+    contexts = {g[:-1] for g in counts} | {"", "zz", "a", "\x02b"}
+    for ctx in contexts:
+        assert sum(model.shared(ctx + c) for c in signs) == pytest.approx(1), ctx
+        for y in (0, 1):
+            total = 0.0
+            for c in signs:
+                n = counts.get(ctx + c, [0, 0])
+                total += model.probability(y, ctx + c, n[y]) if ctx else model.shared(c)
+            assert total == pytest.approx(1), (ctx, y)
+    backoffs = model.backoffs()
+    for ctx in contexts - {""}:  # an unseen event's difference is that of its probabilities
+        want = np.log(model.probability(1, ctx + "?", 0) / model.probability(0, ctx + "?", 0))
+        assert backoffs.get(ctx, 0.0) == pytest.approx(want, abs=1e-12)
+
+
+def test_full_backoff_is_a_choice(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    a = {r.doc_id: r.score for r in toxicity.score_toxicity(d, lab).collect()}
+    b = {r.doc_id: r.score for r in toxicity.score_toxicity(d, lab, full_backoff=True).collect()}
+    assert a.keys() == b.keys() and a != b and all(0 <= x <= 1 for x in b.values())
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     lab = spark.read.parquet(f"{SF}/labels.parquet")
@@ -204,6 +261,36 @@ def test_labels_of_the_held_out_fold_are_not_read(spark):
     assert all(x[2] == pytest.approx(y[2], abs=1e-9) for x, y in zip(a, b))
 
 
+def test_quality_labels_of_the_held_out_fold_are_not_read(spark):
+    from pyspark.sql import functions as F
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    fold = common.crc_mod(F.col("doc_id"), 3) == 1
+    flipped = lab.withColumn("quality", F.when(fold, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (rows_of(quality_net.score_quality(d, x)) for x in (lab, flipped))
+    assert [r[:2] for r in a] == [r[:2] for r in b]
+    assert all(x[2] == pytest.approx(y[2], abs=1e-9) for x, y in zip(a, b))
+
+
+def test_word_vectors_equal_plain_loops(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality_net, "CHUNK", 7)  # borders inside and between texts
+    texts = ["the cat saw The dog", "a", "", "dog dog dog cat!! 77", "one two three four five six seven eight nine ten"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").repartition(4)
+    got = quality_net.word_vectors(d)
+    words, shapes = quality_net.index_vectors(quality_net.WORDS, quality_net.SEED + 1), quality_net.index_vectors()
+    want = np.zeros((quality_net.TERMS, quality_net.WIDTH))
+    for t in texts * 3:
+        w, s = quality_net.Terms().of(t)
+        for i in range(len(w)):
+            for j in range(max(0, i - quality_net.REACH), min(len(w), i + quality_net.REACH + 1)):
+                if i != j:
+                    want[w[i]] += words[w[j]]
+                    want[quality_net.WORDS + s[i]] += shapes[s[j]]
+    length = np.linalg.norm(want, axis=1, keepdims=True)
+    assert np.allclose(got, want / np.where(length > 0, length, 1), atol=1e-6)
+    assert np.linalg.norm(got[quality_net.Terms().of("cat")[0][0]]) == pytest.approx(1)
+
+
 def test_quality_network_held_out_accuracy(spark, docs, empty, labels):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
