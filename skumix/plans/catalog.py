@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import ALL_FEATURES
 from ..functions.columns import truncate_name
-from ..operators import assign, history, matching, profile, quality, scale, silhouette, stats, strategy
+from ..operators import assign, history, incremental, matching, profile, quality, scale, silhouette, stats, strategy
 from ..operators import features as feat
 from ..session import shared_path, written_table
 from ..sources import csv_io, tables
@@ -866,3 +866,92 @@ def x3_stateful_stream_alerts(spark, sf):
         stateful.start_label_monitor(spark, src, master, base, numbers, first, STREAM_DAYS,
                                      STREAM_LATE).awaitTermination()
     return stateful.read_alerts(spark, base)
+
+
+# ---- state that arrivals merge into --------------------------------------------------
+
+def _part_moments(spark, sf) -> DataFrame:
+    """Moments of the feature table in eight parts, as if they came apart."""
+    return materialised(spark, sf, "part_moments", lambda: incremental.moment_state(
+        clean_features(spark, sf), by=(F.col("product_id") % 8)))
+
+
+@query("d5_merged_describe")
+def d5_merged_describe(spark, sf):
+    return incremental.describe_merged(incremental.merged_moments(_part_moments(spark, sf)))
+
+
+@query("d7_merged_correlation")
+def d7_merged_correlation(spark, sf):
+    return incremental.correlation_merged(incremental.merged_moments(_part_moments(spark, sf)))
+
+
+@query("g2_merged_standardise")
+def g2_merged_standardise(spark, sf):
+    """G2 by the merged state of the complete rows' parts."""
+    rows = scale.complete_rows(clean_features(spark, sf))
+    state = incremental.moment_state(rows, scale.MODEL_FEATURES, F.col("product_id") % 8)
+    numbers = incremental.scale_merged(incremental.merged_moments(state))
+    return rows.select("product_id", *[F.round(
+        (F.col(c).cast("double") - F.lit(m)) / F.lit(sd) if sd else F.lit(0.0), 6).alias(scale.zname(c))
+        for c, (m, sd) in ((c, numbers[c]) for c in scale.MODEL_FEATURES)])
+
+
+@query("d11_sketch_quartiles")
+def d11_sketch_quartiles(spark, sf):
+    """Quartiles by cluster from sketches of eight parts, merged: whether each
+    lies within the stated rank error of its rank (values depend on the
+    sketch's coin tosses)."""
+    lab = fixed_labelled(spark, sf)
+    parts = incremental.quantile_sketches(lab.withColumn("_part", F.col("product_id") % 8),
+                                          profile.PROFILE_FEATURES, ["cluster", "_part"])
+    q = incremental.sketch_quantiles(incremental.merged_sketches(parts, ["cluster"]), (0.25, 0.5, 0.75), ["cluster"])
+    q = materialised(spark, sf, "sketch_quartiles", lambda: q)
+    counts = fixed_counts(spark, sf)
+    j = counts.select("cluster", "feature", "x", F.col("n").alias("copies")).join(F.broadcast(q), ["cluster", "feature"])
+    eps = incremental.rank_error()
+
+    def within(c: str, p: float):
+        below = F.sum(F.when(F.col("x") < F.col(c), F.col("copies")).otherwise(0)) / F.max("n")
+        upto = F.sum(F.when(F.col("x") <= F.col(c), F.col("copies")).otherwise(0)) / F.max("n")
+        return (below <= p + eps) & (upto >= p - eps)
+
+    return j.groupBy("cluster", "feature").agg(
+        F.max("n").alias("n"), within("q0", 0.25).alias("q1_within"), within("q1", 0.5).alias("median_within"),
+        within("q2", 0.75).alias("q3_within"))
+
+
+def _row_store(spark, sf) -> incremental.RowStore:
+    """The dirty transactions in three arrivals, the second one twice."""
+    key = _run_key(spark, sf, "row_store")
+    if key not in _STORES:
+        tx = quality.null_key_filter(tables.dirty_transactions(spark, sf))
+        store = incremental.RowStore(spark, shared_path(spark, "row-store"), tx.schema, buckets=16)
+        for part in (2, 0, 1, 0):
+            store.add(tx.where(F.pmod(F.col("id") + F.col("line"), F.lit(3)) == part), str(part))
+        _STORES[key] = store
+    return _STORES[key]
+
+
+_STORES: dict = {}
+
+
+@query("b4_incremental_dedup")
+def b4_incremental_dedup(spark, sf):
+    return _row_store(spark, sf).rows()
+
+
+@query("b5_incremental_audit")
+def b5_incremental_audit(spark, sf):
+    return _row_store(spark, sf).audit()
+
+
+@query("d4_weekly_state")
+def d4_weekly_state(spark, sf):
+    """D4 from weekly state: the weeks arrive in four groups out of order,
+    one of them twice."""
+    tx = tables.transactions(spark, sf)
+    store = incremental.FeatureStore(spark, shared_path(spark, "weekly-state"))
+    for group in (3, 1, 0, 2, 1):
+        store.add(tx.where(F.col("week") % 4 == group))
+    return store.features()

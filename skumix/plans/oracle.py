@@ -612,3 +612,12 @@ SELECT product_id, period, cluster_before, cluster_after,
 FROM pairs, closed
 WHERE cluster_before IS DISTINCT FROM cluster_after AND period > (SELECT min(period) FROM ptx)
   AND DATE '1970-01-01' + CAST((period + 1) * 364 AS INTEGER) <= upto"""
+
+# state that arrivals merge into: the same answers as from all rows at once
+for _name, _same in (("d5_merged_describe", "d5_describe"), ("d7_merged_correlation", "d7_correlation"),
+                     ("g2_merged_standardise", "g2_standardise"), ("b4_incremental_dedup", "b4_dedup"),
+                     ("b5_incremental_audit", "b5_duplicate_audit"), ("d4_weekly_state", "d4_product_features")):
+    ORACLE[_name] = ORACLE[_same]
+ORACLE["d11_sketch_quartiles"] = LABELLED + """
+SELECT cluster, f AS feature, count(*) AS n, true AS q1_within, true AS median_within, true AS q3_within
+FROM lab, (VALUES ('volume'), ('order_frequency'), ('concentration')) t(f) GROUP BY cluster, f"""

@@ -72,15 +72,21 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage (a lost executor re-reads files) and, unlike an RDD
     checkpoint, keeps column pruning, filter push-down and true sizes."""
-    path = shared_path(df.sparkSession, "tables", name)
+    path = scratch_path(df.sparkSession, "tables", name)
     df.write.parquet(path)
-    _SCRATCH.append((df.sparkSession.sparkContext.applicationId, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SCRATCH: list[tuple[str, str]] = []
 
 
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A fresh shared path that :func:`remove_scratch` deletes."""
+    path = shared_path(spark, *parts)
+    _SCRATCH.append((spark.sparkContext.applicationId, path))
+    return path
+
+
 def remove_scratch(spark: SparkSession) -> int:
     """Delete the tables this application has written to the shared folder
     for its own use; returns how many.  Call when their readers are done."""
