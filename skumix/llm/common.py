@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: a word is a run of anything but ASCII white space
 
@@ -34,9 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
-    so that a lost executor re-reads files instead of repeating the work."""
+    so that a lost executor re-reads files instead of repeating the work.
+    ``session.remove_scratch`` deletes it."""
     spark = df.sparkSession
-    path = shared_path(spark, "llm", name)
+    path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
