@@ -198,8 +198,12 @@ def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, path: str | None = None,
     histogram = {r["length"]: r["n"] for r in
                  rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = slots(shortest_pack_first(histogram, max_tokens))
-    s = spark.createDataFrame(table or [(0, 0, 0, 1, 0, 0)],
-                              "s_length long, s_from long, s_to long, s_each long, s_seq long, s_off long")
+    import pyarrow as pa
+    # an Arrow table goes to the JVM as it is; a list of rows would start a
+    # second set of Python workers on every executor to be read
+    columns = zip(*(table or [(0, 0, 0, 1, 0, 0)]))
+    s = spark.createDataFrame(pa.table({name: pa.array(c, pa.int64()) for name, c in zip(
+        ("s_length", "s_from", "s_to", "s_each", "s_seq", "s_off"), columns)}))
     r = ranked(rows, sum(histogram.values()))
     at = F.col("rank") - F.col("s_from")
     j = r.join(F.broadcast(s), (F.col("length") == F.col("s_length"))
