@@ -43,12 +43,21 @@ MEMO_WORDS = 200_000
 CHUNK = 1 << 16    # words whose neighbours are summed at once
 SEED = 10
 
+MARKS = frozenset(",.;:!?")  # signs that most often end a word
 LOWER, UPPER, DIGIT = re.compile(r"[^\W\d_A-Z]+"), re.compile(r"[A-Z]+"), re.compile(r"\d+")
 
 
 def shape(word: str) -> str:
     """Runs of lower-case letters, capitals and digits as one sign each;
     repeated symbols once."""
+    if word.isalpha() and word.islower():  # most words
+        return "a"
+    if word[-1:] in MARKS and word[:-1].isalpha() and word[:-1].islower():
+        return "a" + word[-1]
+    return _any_shape(word)
+
+
+def _any_shape(word: str) -> str:
     s = DIGIT.sub("9", UPPER.sub("A", LOWER.sub("a", word)))
     return re.sub(r"(.)\1+", r"\1", s)
 

@@ -320,3 +320,11 @@ def test_temperature_softens_overconfident_logits():
     z = rng.normal(size=4000)
     y = (rng.random(4000) < 1 / (1 + np.exp(-z))).astype(float)
     assert quality_net.fit_temperature(4 * z, y, np.ones(4000)) == pytest.approx(4, rel=0.2)
+
+
+def test_short_cuts_to_shapes_change_none():
+    rng = random.Random(6)
+    signs = "abzAZéÉß中ʰǅ١9_-,.;:!?*'ﬁ "
+    for _ in range(20_000):
+        w = "".join(rng.choices(signs, k=rng.randint(0, 5)))
+        assert quality_net.shape(w) == quality_net._any_shape(w), repr(w)
