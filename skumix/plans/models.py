@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScalerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import MODEL_FEATURES, PRODUCT_ID
@@ -220,6 +220,15 @@ def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> K
 _LAPACK_READY: set[int] = set()   # py4j gateways (JVMs) already initialised
 
 
+def first_in_jvm(spark, what: str, value: Column, tasks: int) -> DataFrame:
+    """A row for each of ``tasks`` tasks: ``value``, evaluated by the first of
+    them in its JVM only, and null by the others.  The turn is a system
+    property, which the JVM sets and hands back in one synchronised step."""
+    turn = F.reflect(F.lit("java.lang.System"), F.lit("setProperty"), F.lit(f"skumix.first.{what}"), F.lit("taken"))
+    return (spark.range(0, tasks, numPartitions=tasks).select(F.coalesce(turn, F.lit("null")).alias("before"))
+            .select(F.when(F.col("before") == "null", value).alias("v")))
+
+
 def init_lapack(spark) -> None:
     """Initialise the pure-Java LAPACK machine constants once, before any
     concurrent GMM fit.
@@ -229,9 +238,10 @@ def init_lapack(spark) -> None:
     as ready before computing them, so threads that make their first call
     at the same moment can read zeros, and ``dlascl`` then loops forever.
     One call from a single thread computes them for the whole JVM (in
-    local mode the executors share it).  On a cluster the executors'
-    constants are read by a few tasks; a wrong one fails the run with a
-    message, where EM would never end."""
+    local mode the executors share it).  On a cluster one task of each
+    executor computes them (:func:`first_in_jvm`) and only then are they
+    read by all; a wrong one fails the run with a message, where EM would
+    never end."""
     jvm_key = id(spark.sparkContext._gateway)
     if jvm_key in _LAPACK_READY:
         return
@@ -247,9 +257,9 @@ def init_lapack(spark) -> None:
                            "restart the session or install a native LAPACK")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         tasks = spark.sparkContext.defaultParallelism
-        wrong = (spark.range(0, 4 * tasks, numPartitions=tasks)
-                 .select(F.reflect(F.lit("org.netlib.lapack.Dlamch"), F.lit("dlamch"), F.lit("S"))
-                         .cast("double").alias("v"))
+        safe = F.reflect(F.lit("org.netlib.lapack.Dlamch"), F.lit("dlamch"), F.lit("S")).cast("double")
+        first_in_jvm(spark, "lapack", safe, tasks).collect()
+        wrong = (spark.range(0, 4 * tasks, numPartitions=tasks).select(safe.alias("v"))
                  .where(F.col("v") != F.lit(sys.float_info.min)).count())
         if wrong:
             raise RuntimeError("LAPACK machine constants are corrupt in an executor JVM; install a native "

@@ -252,3 +252,14 @@ def test_weighted_scaling_statistics_equal_standard_scaler(spark):
         assert a == pytest.approx(b, rel=1e-12)
     weighted.release()
     per_row.release()
+
+
+def test_one_task_of_a_jvm_takes_the_first_turn(spark):
+    """LAPACK's constants are computed by one thread before others read them."""
+    import uuid
+    from pyspark.sql import functions as F
+    from skumix.plans import models as M
+    what = uuid.uuid4().hex
+    rows = M.first_in_jvm(spark, what, F.lit(1.0), 16).collect()
+    assert [r["v"] for r in rows if r["v"] is not None] == [1.0] and len(rows) == 16
+    assert all(r["v"] is None for r in M.first_in_jvm(spark, what, F.lit(1.0), 16).collect())
