@@ -24,9 +24,11 @@ so no window border cuts one.  ``redact`` replaces its whole run.
 
 An escape of an escape's own sign (``%2525...41``, ``\x5cx5c...``) costs two
 to four characters a level, so a text can hold as many levels as characters.
-After ``LEAST_LEVELS`` levels (more in short texts) the escapes of all signs
-are therefore resolved to their fixpoint in one pass with their spans mapped,
-and the time stays linear in the text and its unpacked size.
+After ``LEVELS`` levels, whatever the text's size, the escapes that stand for
+a sign are therefore resolved to their fixpoint in one pass with their spans
+mapped, and what they leave (text, streams) is unwrapped for as many levels
+again; then all escapes are.  The time stays linear in the text and its
+unpacked size.
 
 Defined results: null and empty texts have no spans; repeated rows get
 equal results; an empty table gives an empty result; further columns are
@@ -77,8 +79,8 @@ WIDE = re.compile(WIDE)
 SIGN = 16             # bytes of the longest sign of a stream, and some
 MAX_LEVELS = 32       # streams in streams of an oversized layer
 OVERLAP = 1 << 16     # bytes of an oversized layer that are read again with the next ones
-LEAST_LEVELS = 3      # levels of escapes that are unwrapped one by one in any text
-LEVEL_CHARACTERS = 1 << 16  # characters of such levels that short texts may use
+LEVELS = 8            # levels of escapes that are unwrapped one by one in any text
+SIGNS = "%\\&"         # the characters that escapes begin with
 LEAST_LAYER = 12      # characters of the shortest text that can hold a secret: "token=abcdef"
 
 
@@ -158,6 +160,7 @@ HEX = frozenset("0123456789abcdefABCDEF")
 CLOSED = ((3, re.compile(r"%([0-9A-Fa-f]{2})")), (4, re.compile(r"\\x([0-9A-Fa-f]{2})")),
           (6, re.compile(r"\\u([0-9A-Fa-f]{4})")), (10, re.compile(r"\\U([0-9A-Fa-f]{8})")))
 BRACED = re.compile(r"&#(?:([0-9]{1,7})|[xX]([0-9A-Fa-f]{1,6}));|\\u\{([0-9A-Fa-f]{1,6})\}")
+SIGNED = 1 << 20    # levels of a layer without escapes of signs
 RESOLVED = 1 << 30  # levels of a layer without escapes
 
 
@@ -177,10 +180,11 @@ def _last_escape(out: list[str]) -> tuple[int, str] | None:
     return None
 
 
-def _resolved(layer: Layer) -> Layer | None:
-    """The layer with all escapes replaced until none is left.  Each character
-    that completes an escape closes it at once, and what it stands for may
-    close the next: every step takes characters away, so the time is linear."""
+def _resolved(layer: Layer, only: str = "") -> Layer | None:
+    """The layer with all escapes (or those of ``only`` these characters)
+    replaced until none is left.  Each character that completes an escape
+    closes it at once, and what it stands for may close the next: every step
+    takes characters away, so the time is linear."""
     out: list[str] = []
     starts, ends = array("q"), array("q")
     for i, c in enumerate(layer.text):
@@ -189,6 +193,8 @@ def _resolved(layer: Layer) -> Layer | None:
         ends.append(i + 1)
         while (c in HEX or c in ";}") and (found := _last_escape(out)):
             n, c = found
+            if only and c not in only:
+                break
             del out[-n:], starts[1 - n:], ends[-n:]  # the first start stays
             if "\ud800" <= c < "\ue000":
                 c = "\ufffd"
@@ -196,7 +202,8 @@ def _resolved(layer: Layer) -> Layer | None:
             ends.append(i + 1)
     if len(out) == len(layer.text):
         return None
-    return Layer("".join(out), lambda a, b: (starts[a], ends[max(a, b - 1)]), layer, layer.whole, RESOLVED)
+    return Layer("".join(out), lambda a, b: (starts[a], ends[max(a, b - 1)]), layer, layer.whole,
+                 SIGNED if only else RESOLVED)
 
 
 def _percent(run: str) -> list[tuple[str, int, int]]:
@@ -505,10 +512,10 @@ def _escaped_streams(layer: Layer) -> Iterator[tuple]:
 
 def _children(layer: Layer, seen: set, limit: int, told: dict) -> Iterator[Layer]:
     found = [*_wide_layers(layer)]
-    if layer.levels >= LEAST_LEVELS and layer.levels * len(layer.text) >= LEVEL_CHARACTERS:
-        if layer.levels < RESOLVED:
-            found.append(_resolved(layer))
-    else:
+    if layer.levels % SIGNED >= LEVELS:
+        signed = _resolved(layer, SIGNS) if layer.levels < SIGNED else None
+        found.append(signed or _resolved(layer))
+    elif layer.levels < RESOLVED:
         if "%" in layer.text:
             found.append(_spliced(layer, PERCENT, _percent))
         if "\\" in layer.text or "&#" in layer.text:

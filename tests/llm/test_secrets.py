@@ -234,3 +234,27 @@ def test_no_window_border_cuts_a_stream():
         got = b"".join(secrets._contents(iter([raw[i:i + k] for i in range(0, len(raw), k)])))
         whole, _ = secrets._unpacked(raw, 1 << 30)
         assert got.replace(b"\n", b"") == (whole or b"").replace(b"\n", b"")
+
+
+@pytest.mark.parametrize("levels", [2, 5, 9, 40])
+def test_levels_do_not_depend_on_the_texts_size(levels):
+    """A stream behind many levels of escapes is found in short and long texts alike."""
+    packed = gzip.compress(b"some words " + SECRET.encode() + bytes(range(256)), mtime=0)
+    t = "".join(f"%{b:02x}" for b in packed)
+    for _ in range(levels - 1):
+        t = t.replace("%", "%25")
+    found = []
+    for words in (2, 20_000):
+        first = 5 * words
+        spans = secrets.scan_text("word " * words + t)[1]
+        found.append({(a - first, b - first, k) for a, b, k in spans})
+    assert found[0] == found[1] and (0, len(t), "assign") in found[0]
+
+
+def test_redaction_does_not_depend_on_the_texts_size():
+    t = "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode() + bytes(range(256)), mtime=0))
+    for _ in range(5):
+        t = t.replace("%", "%25")
+    short, long = (secrets.redact_text("word " * n + t + " end") for n in (2, 20_000))
+    assert short == "word " * 2 + "[assign removed] end"
+    assert long == "word " * 20_000 + "[assign removed] end"
