@@ -53,7 +53,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                   full_backoff=True)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

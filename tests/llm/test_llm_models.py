@@ -328,3 +328,14 @@ def test_short_cuts_to_shapes_change_none():
     for _ in range(20_000):
         w = "".join(rng.choices(signs, k=rng.randint(0, 5)))
         assert quality_net.shape(w) == quality_net._any_shape(w), repr(w)
+
+
+def test_the_query_scores_unseen_expressions_by_their_backoff(spark):
+    """op9 by the whole method: all n-grams counted, unseen ones by their class's backoff."""
+    from skumix.llm import queries
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    got = {r.doc_id: r.score for r in queries.op9_toxicity(spark, SF).collect()}
+    whole = {r.doc_id: r.score for r in toxicity.score_toxicity(d, lab, full_backoff=True).collect()}
+    assert got.keys() == whole.keys()
+    assert all(got[i] == pytest.approx(whole[i], abs=1e-9) for i in got)
