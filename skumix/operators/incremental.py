@@ -79,13 +79,17 @@ def describe_merged(merged: DataFrame, decimals: int | None = 6) -> DataFrame:
 def correlation_merged(merged: DataFrame, decimals: int | None = 6) -> DataFrame:
     """(feature_a, feature_b, corr), both orders, as :func:`.stats.correlation`.
     The spreads are those of the pair's own rows if no value is missing."""
-    own = merged.where("a = b").select(F.col("a").alias("f"), F.col("c").alias("s"))
-    one = (merged.join(own.select(F.col("f").alias("a"), F.col("s").alias("sa")), "a")
-           .join(own.select(F.col("f").alias("b"), F.col("s").alias("sb")), "b"))
+    # a row for each pair of columns: bounded, whatever the data
+    rows = merged.agg(F.collect_list(F.struct("a", "b", "c")).alias("r"))
+    spread = F.map_from_entries(F.transform(F.filter("r", lambda x: x["a"] == x["b"]),
+                                            lambda x: F.struct(x["a"], x["c"])))
+    one = (rows.select(spread.alias("s"), F.explode("r").alias("x"))
+           .select("x.*", F.col("s")[F.col("x.a")].alias("sa"), F.col("s")[F.col("x.b")].alias("sb")))
     corr = F.when((F.col("sa") > 0) & (F.col("sb") > 0), F.col("c") / F.sqrt(F.col("sa") * F.col("sb")))
-    one = one.select("a", "b", (F.round(corr, decimals) + F.lit(0.0) if decimals is not None else corr).alias("corr"))
-    both = one.unionByName(one.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
-    return both.select(F.col("a").alias("feature_a"), F.col("b").alias("feature_b"), "corr")
+    as_is, turned = (F.struct(F.col(x).alias("feature_a"), F.col(y).alias("feature_b")) for x, y in ("ab", "ba"))
+    both = F.when(F.col("a") == F.col("b"), F.array(as_is)).otherwise(F.array(as_is, turned))
+    return one.select(F.explode(both).alias("p"), (
+        F.round(corr, decimals) + F.lit(0.0) if decimals is not None else corr).alias("corr")).select("p.*", "corr")
 
 
 def scale_merged(merged: DataFrame, ddof: int = 1) -> dict[str, tuple[float, float]]:
@@ -152,22 +156,18 @@ class RowStore:
     def add(self, arrival: DataFrame, name: str) -> None:
         """Keep the rows of an arrival that no other arrival has brought.
 
-        Copies meet in their bucket and are compared column by column; only
-        the buckets of the arrival's own rows are read."""
-        cols = [f.name for f in self.schema.fields]
-        own = (arrival.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_copies"))
-               .withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(self.buckets)).cast("int")))
-        own = own.persist()
+        One grouping of the arrival's rows and of those kept in the buckets
+        that they fall into: copies inside a task meet before the shuffle,
+        nulls are equal, and neither side is sorted or shuffled again."""
+        cols = [F.col(f"`{f.name}`") for f in self.schema.fields]
+        own = arrival.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(self.buckets)).cast("int")).persist()
         try:
-            seen = own.agg(F.collect_set("_bucket").alias("b"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("n")).first()
+            seen = own.agg(F.collect_set("_bucket").alias("b"), F.count(F.lit(1)).alias("n")).first()
             other = self._read().where(F.col("_bucket").isin(*seen["b"]) if seen["b"] else F.lit(False)).where(
                 F.col("_arrival") != name)
-            o = other.select("_bucket", *[F.col(f"`{c}`").alias(f"_o_{i}") for i, c in enumerate(cols)]).withColumnRenamed(
-                "_bucket", "_o_bucket")
-            same = F.col("_bucket") == F.col("_o_bucket")
-            for i, c in enumerate(cols):
-                same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_o_{i}"))
-            new = own.join(o, same, "left_anti").drop("_copies")
+            both = own.select(*cols, "_bucket", F.lit(False).alias("_kept")).unionAll(
+                other.select(*cols, "_bucket", F.lit(True).alias("_kept")))
+            new = (both.groupBy(*cols, "_bucket").agg(F.max("_kept").alias("_kept")).where(~F.col("_kept")).drop("_kept"))
             # rows are ready before the folder they replace goes: an arrival never reads its own
             new.write.mode("overwrite").partitionBy("_bucket").parquet(os.path.join(self.root, f"_arrival={name}"))
             self.spark.createDataFrame([(int(seen["n"]),)], "n long").coalesce(1).write.mode("overwrite").parquet(

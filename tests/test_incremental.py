@@ -121,3 +121,15 @@ def test_weekly_state_equals_the_roll_up_in_any_order_and_twice(spark, order):
         assert tuple(r)[1:] == want[r.product_id]
     two = feat.product_features(feat.clean_transactions(tx.where("week IN (1, 3)")))
     assert {tuple(r) for r in exact.features([1, 3]).collect()} == {tuple(r) for r in two.collect()}
+
+
+def test_an_arrival_is_compared_without_sorting_the_kept_rows(spark, monkeypatch):
+    """One grouping: no join of the arrival with what is kept."""
+    from pyspark.sql import DataFrame
+    joins = []
+    monkeypatch.setattr(DataFrame, "join", lambda *a, **k: joins.append(a) or pytest.fail("a join"))
+    _, tx = _tx(spark)
+    store = incremental.RowStore(spark, tempfile.mkdtemp(prefix="skumix-rows-"), tx.schema, buckets=4)
+    store.add(tx.where("line = 1"), "one")
+    store.add(tx, "all")
+    assert store.rows().count() == tx.distinct().count() and not joins
