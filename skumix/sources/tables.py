@@ -8,6 +8,8 @@ TPC-H style star schema, so the transaction log is ``lineitem`` joined to
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,16 +91,30 @@ def bind_roles(df: DataFrame, roles: dict[str, str], optional: tuple[str, ...] =
     return df.select(*cols)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Lines of the transaction log that one task joins, deduplicates and groups,
+# and from how many such tasks on the log is dealt out by that number.
+LINES_PER_TASK = 250_000
+DEALT_FROM_TASKS = 8
+
+
+def transactions(spark: SparkSession, sf_dir: str, lines_per_task: int = LINES_PER_TASK) -> DataFrame:
     """Transaction log = lineitem ⨝ orders, bound to roles.
 
     Only the five needed columns are read (ReadSchema is pruned), and
     the join is a plain equi-join: AQE picks broadcast or sort-merge from
-    runtime sizes and splits skewed order keys.
+    runtime sizes.  A log of more than a few tasks' lines is dealt out by
+    order with ``lines_per_task`` lines a task (the count is read from the
+    files' footers).  The sorts of the join, the whole-row dedup and the
+    partial roll-up run in that one stage and hold every line of the task;
+    partitions by bytes (64 MB compressed, millions of lines) made them
+    grow with the table.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    tasks = math.ceil(li.count() / lines_per_task)
+    if tasks > DEALT_FROM_TASKS:
+        li, od = li.repartition(tasks, "l_orderkey"), od.repartition(tasks, "o_orderkey")
     joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
     # the ship date is a day: its type may be a timestamp at midnight, which adds nothing
     joined = joined.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))

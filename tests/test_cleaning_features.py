@@ -146,3 +146,22 @@ def test_no_unmapped_column_is_lost_or_shadowed(spark):
                                             "source_week", "source_id", "source_date_source"])
     assert feat.clean_transactions(bound).count() == 4
     assert sorted(r.source_id_ for r in bound.collect()) == [1, 1, 1, 2]
+
+
+def test_a_task_holds_a_bounded_number_of_lines(spark, tmp_path):
+    """The join and the dedup of a log of many tasks are dealt out by lines,
+    and the rows are those of the plain join."""
+    from skumix.sources import tables
+    lines = [(i // 4 if i % 90 else None, i % 4, i % 50 if i % 70 else None, "1996-01-02") for i in range(12_000)]
+    orders = [(o, o % 97 if o % 11 else None) for o in range(2_900)] + [(5, 5), (None, 1)]
+    (spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, d string")
+     .selectExpr("l_orderkey", "l_linenumber", "l_partkey", "CAST(d AS TIMESTAMP) AS l_shipdate")
+     .write.parquet(str(tmp_path / "lineitem.parquet")))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    plain = tables.transactions(spark, str(tmp_path))
+    dealt = tables.transactions(spark, str(tmp_path), lines_per_task=400)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    held = feat.clean_transactions(dealt).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held <= 2 * 400
+    want = {r.product_id: r for r in feat.product_features(feat.clean_transactions(plain)).collect()}
+    assert {r.product_id: r for r in feat.product_features(feat.clean_transactions(dealt)).collect()} == want
