@@ -7,9 +7,10 @@ Transactions of fixed-length periods flow through three stateful operators:
    product over all tasks;
 2. a windowed count per product turns them into the product's features when
    the watermark closes the period;
-3. ``transformWithState`` keyed by product compares the period's label with
-   the one before.  It holds one label per product; a timer at the end of
-   the next period tells products that have vanished.
+3. ``transformWithState`` compares each product's label of the period with
+   the one before.  It holds one label per product, in buckets of products
+   (a call for each product took longer than all else); a timer at the end
+   of the next period tells products that have vanished.
 
 State holds what open periods need and no more: closed windows are dropped,
 a vanished product's label is cleared.  Rows that are later than the
@@ -35,6 +36,7 @@ from ..operators.scale import zname
 STREAM_SCHEMA = "id long, line int, date date, week int, product_id long, customer_id long"
 ALERT_SCHEMA = "product_id long, period long, cluster_before int, cluster_after int, change string"
 DAY_MS = 86_400_000
+BUCKETS = 4096  # of products whose labels are one state value; fixed once a checkpoint exists
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -52,18 +54,42 @@ def reference_scale(features: DataFrame, cols: Sequence[str] = MODEL_FEATURES) -
 
 
 class LabelChanges(StatefulProcessor):
-    """Per product: the label of its latest period, and alerts on changes."""
+    """Per product: the label of its latest period, and alerts on changes.
+
+    The key is a bucket of products, whose labels are one state value, so
+    state is read and written once per bucket and batch, not once per
+    product; what is told of a product depends on its own rows only."""
 
     def __init__(self, days: int, first_period: int):
         self.days, self.first = days, first_period
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", "period long, cluster int")
+        self.latest = handle.getValueState("latest", "labels binary")
+
+    def _load(self) -> dict[int, tuple[int, int]]:
+        """product -> (its latest period, its label there)."""
+        import numpy as np
+        if not self.latest.exists():
+            return {}
+        table = np.frombuffer(bytes(self.latest.get()[0]), dtype="<i8").reshape(-1, 3)
+        return {product: (period, cluster) for product, period, cluster in table.tolist()}
+
+    def _keep(self, labels: dict[int, tuple[int, int]]) -> None:
+        import numpy as np
+        if labels:
+            self.latest.update((np.array([(p, *v) for p, v in labels.items()], dtype="<i8").tobytes(),))
+        else:
+            self.latest.clear()
 
-    def _row(self, key, period, before, after):
+    def _row(self, product, period, before, after):
         kind = "appeared" if before is None else "vanished" if after is None else "changed"
-        return (key[0], period, before, after, kind)
+        return (product, period, before, after, kind)
+
+    def _end(self, period: int) -> int:
+        """When a product whose latest period is ``period`` has vanished: the
+        end of the next period."""
+        return (period + 2) * self.days * DAY_MS
 
     @staticmethod
     def _table(rows):
@@ -72,29 +98,36 @@ class LabelChanges(StatefulProcessor):
         return t.astype({"product_id": "Int64", "period": "Int64", "cluster_before": "Int32", "cluster_after": "Int32"})
 
     def handleInputRows(self, key, rows, timerValues):
-        new = sorted((int(r.period), int(r.cluster)) for df in rows for r in df.itertuples())
-        period, cluster = self.latest.get() if self.latest.exists() else (None, None)
-        out = []
-        for p, c in new:  # one row per closed period in which the product sold
+        new = sorted((int(r), int(p), int(c)) for df in rows
+                     for r, p, c in zip(df[PRODUCT_ID], df["period"], df["cluster"]))
+        labels, out = self._load(), []
+        for product, p, c in new:  # one row per product and closed period in which it sold
+            period, cluster = labels.get(product, (None, None))
             if period is not None and p > period + 1:  # absent in between
-                out.append(self._row(key, period + 1, cluster, None))
+                out.append(self._row(product, period + 1, cluster, None))
                 period = cluster = None
             if period is None:
                 if p > self.first:
-                    out.append(self._row(key, p, None, c))
+                    out.append(self._row(product, p, None, c))
             elif c != cluster:
-                out.append(self._row(key, p, cluster, c))
-            period, cluster = p, c
-        self.latest.update((period, cluster))
-        self.handle.registerTimer((period + 2) * self.days * DAY_MS)  # the end of the next period
+                out.append(self._row(product, p, cluster, c))
+            labels[product] = (p, c)
+        ends = {self._end(labels[product][0]) for product, _, _ in new}
+        self._keep(labels)
+        for end in ends:
+            self.handle.registerTimer(end)
         if out:
             yield self._table(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        period, cluster = self.latest.get() if self.latest.exists() else (None, None)
-        if period is not None and expiredTimerInfo.getExpiryTimeInMs() >= (period + 2) * self.days * DAY_MS:
-            self.latest.clear()
-            yield self._table([self._row(key, period + 1, cluster, None)])
+        labels, now = self._load(), expiredTimerInfo.getExpiryTimeInMs()
+        gone = sorted(product for product, (period, _) in labels.items() if now >= self._end(period))
+        if gone:
+            out = [self._row(product, labels[product][0] + 1, labels[product][1], None) for product in gone]
+            for product in gone:
+                del labels[product]
+            self._keep(labels)
+            yield self._table(out)
 
     def close(self) -> None:
         pass
@@ -138,8 +171,9 @@ def start_label_monitor(spark: SparkSession, source_dir: str, master: DataFrame,
         z = (F.col(c).cast("double") - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
         known = known.withColumn(zname(c), z)
     labelled = label_fixed(known, centers).select(
-        "ts", PRODUCT_ID, period_of(F.col("ts").cast("date"), days).alias("period"), "cluster")
-    alerts = labelled.groupBy(PRODUCT_ID).transformWithStateInPandas(
+        "ts", PRODUCT_ID, period_of(F.col("ts").cast("date"), days).alias("period"), "cluster",
+        F.pmod(F.xxhash64(PRODUCT_ID), F.lit(BUCKETS)).alias("bucket"))
+    alerts = labelled.groupBy("bucket").transformWithStateInPandas(
         LabelChanges(days, first_period), ALERT_SCHEMA, "Append", "EventTime")
     writer = (alerts.writeStream.format("parquet").option("path", os.path.join(state_dir, "alerts"))
               .option("checkpointLocation", os.path.join(state_dir, "checkpoint")))

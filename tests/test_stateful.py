@@ -56,6 +56,65 @@ def test_alerts_equal_the_definition_over_restarts(spark, few_partitions):
     assert stateful.read_alerts(spark, base).count() == 4
 
 
+def test_state_is_read_once_per_bucket_of_products():
+    """Products of a bucket share one state value, whatever their number, and
+    each is told of by its own rows: a change, an absence, a vanishing."""
+    import pandas as pd
+
+    class State:
+        value, calls = None, 0
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = State(), set()
+
+        def getValueState(self, name, schema):
+            return self.state
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class Expired:
+        def __init__(self, at):
+            self.at = at
+
+        def getExpiryTimeInMs(self):
+            return self.at
+
+    def table(rows):
+        return pd.DataFrame(rows, columns=["product_id", "period", "cluster"])
+
+    handle, n = Handle(), 500
+    changes = stateful.LabelChanges(DAYS, 100)
+    changes.init(handle)
+    assert list(changes.handleInputRows((0,), iter([table([(p, 100, 0) for p in range(n)])]), None)) == []
+    got = pd.concat(changes.handleInputRows((0,), iter([table([(0, 101, 1), (2, 103, 0)]), table([(n, 101, 2)])]), None))
+    assert [tuple(None if pd.isna(v) else v for v in r) for r in got.itertuples(index=False)] == [
+        (0, 101, 0, 1, "changed"), (2, 101, 0, None, "vanished"), (2, 103, None, 0, "appeared"), (n, 101, None, 2, "appeared")]
+    assert handle.state.calls == 3  # not once per product
+    end = 102 * DAYS * stateful.DAY_MS
+    assert handle.timers == {end, end + DAYS * stateful.DAY_MS, end + 3 * DAYS * stateful.DAY_MS}
+    gone = pd.concat(changes.handleExpiredTimer((0,), None, Expired(end)))
+    assert list(gone.product_id) == [1, *range(3, n)] and set(gone.period) == {101}
+    assert list(changes.handleExpiredTimer((0,), None, Expired(end))) == []
+    assert list(pd.concat(changes.handleExpiredTimer((0,), None, Expired(end + 3 * DAYS * stateful.DAY_MS))).product_id) == [0, 2, n]
+    assert not handle.state.exists()
+
+
 def test_reference_scale_and_period_numbers(spark):
     from pyspark.sql import functions as F
     f = spark.createDataFrame([(1, 2, 3.0), (3, 2, 5.0)], "volume long, order_frequency long, concentration double")
