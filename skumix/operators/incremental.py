@@ -61,7 +61,8 @@ def merged_moments(state: DataFrame) -> DataFrame:
         F.sum("n").alias("all"), F.try_divide(F.sum(n * F.col("mean_a")), F.sum(n)).alias("ma"),
         F.try_divide(F.sum(n * F.col("mean_b")), F.sum(n)).alias("mb"))
     apart = n * (F.col("mean_a") - F.col("ma")) * (F.col("mean_b") - F.col("mb"))
-    return (state.join(means, ["a", "b"]).groupBy("a", "b").agg(
+    # a row for each pair of columns: a bounded broadcast, the parts stay where they are
+    return (state.join(F.broadcast(means), ["a", "b"]).groupBy("a", "b").agg(
         F.max("all").alias("n"), F.max("ma").alias("mean_a"), F.max("mb").alias("mean_b"),
         F.sum(F.coalesce(F.col("c") + apart, F.lit(0.0))).alias("c"),
         F.min("least").alias("least"), F.max("most").alias("most")))
