@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+import threading
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -217,7 +218,14 @@ def fit_kmeans(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> K
     return est.fit(mi.fit_frame)
 
 
-_LAPACK_READY: set[int] = set()   # py4j gateways (JVMs) already initialised
+_LAPACK_READY: dict[str, set[str]] = {}   # application -> its JVMs already initialised
+_LAPACK_LOCK = threading.Lock()
+LAPACK_PASSES = 20   # an executor without a free core may be missed by a pass
+
+
+def application_jvms(spark) -> set[str]:
+    """The addresses of the block managers of driver and executors."""
+    return set(spark.sparkContext._jsc.sc().getExecutorMemoryStatus().keySet().mkString(" ").split())
 
 
 def first_in_jvm(spark, what: str, value: Column, tasks: int) -> DataFrame:
@@ -239,32 +247,39 @@ def init_lapack(spark) -> None:
     at the same moment can read zeros, and ``dlascl`` then loops forever.
     One call from a single thread computes them for the whole JVM (in
     local mode the executors share it).  On a cluster one task of each
-    executor computes them (:func:`first_in_jvm`) and only then are they
-    read by all; a wrong one fails the run with a message, where EM would
-    never end."""
-    jvm_key = id(spark.sparkContext._gateway)
-    if jvm_key in _LAPACK_READY:
-        return
-    try:
-        safe_min = float(spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S"))
-    except Exception:  # native LAPACK or another build: nothing to initialise
-        _LAPACK_READY.add(jvm_key)
-        return
-    if safe_min != sys.float_info.min:
-        # an earlier concurrent first use left wrong constants in this JVM;
-        # EM would then spin in dlascl, so fail fast instead
-        raise RuntimeError(f"LAPACK machine constants are corrupt in this JVM (safe minimum {safe_min!r}); "
-                           "restart the session or install a native LAPACK")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        tasks = spark.sparkContext.defaultParallelism
-        safe = F.reflect(F.lit("org.netlib.lapack.Dlamch"), F.lit("dlamch"), F.lit("S")).cast("double")
-        first_in_jvm(spark, "lapack", safe, tasks).collect()
-        wrong = (spark.range(0, 4 * tasks, numPartitions=tasks).select(safe.alias("v"))
-                 .where(F.col("v") != F.lit(sys.float_info.min)).count())
-        if wrong:
-            raise RuntimeError("LAPACK machine constants are corrupt in an executor JVM; install a native "
-                               "LAPACK on the executors or restart them")
-    _LAPACK_READY.add(jvm_key)
+    executor computes them (:func:`first_in_jvm`), in as many passes as it
+    takes to reach every executor of this application; one that has come
+    since is reached before the next fit.  A wrong constant fails the run
+    with a message, where EM would never end."""
+    app, jvms = spark.sparkContext.applicationId, application_jvms(spark)
+    with _LAPACK_LOCK:
+        ready = _LAPACK_READY.setdefault(app, set())
+        new = jvms - ready
+        if not new:
+            return
+        executors = len(new) if ready else len(new) - 1  # the driver is among the first
+        try:
+            safe_min = float(spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S"))
+        except Exception:  # native LAPACK or another build: nothing to initialise
+            ready |= new
+            return
+        if safe_min != sys.float_info.min:
+            # an earlier concurrent first use left wrong constants in this JVM;
+            # EM would then spin in dlascl, so fail fast instead
+            raise RuntimeError(f"LAPACK machine constants are corrupt in this JVM (safe minimum {safe_min!r}); "
+                               "restart the session or install a native LAPACK")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            tasks = max(spark.sparkContext.defaultParallelism, 4 * len(jvms))
+            safe = F.reflect(F.lit("org.netlib.lapack.Dlamch"), F.lit("dlamch"), F.lit("S")).cast("double")
+            for _ in range(LAPACK_PASSES):
+                got = [r["v"] for r in first_in_jvm(spark, "lapack", safe, tasks).collect() if r["v"] is not None]
+                if any(v != sys.float_info.min for v in got):
+                    raise RuntimeError("LAPACK machine constants are corrupt in an executor JVM; install a native "
+                                       "LAPACK on the executors or restart them")
+                executors -= len(got)
+                if executors <= 0:
+                    break
+        ready |= new
 
 
 def fit_gmm(mi: ModelInput, k: int, seed: int = 42, max_iter: int = 100) -> GaussianMixtureModel:

@@ -263,3 +263,36 @@ def test_one_task_of_a_jvm_takes_the_first_turn(spark):
     rows = M.first_in_jvm(spark, what, F.lit(1.0), 16).collect()
     assert [r["v"] for r in rows if r["v"] is not None] == [1.0] and len(rows) == 16
     assert all(r["v"] is None for r in M.first_in_jvm(spark, what, F.lit(1.0), 16).collect())
+
+
+def test_lapack_reaches_every_executor_of_every_application(spark, monkeypatch):
+    from types import SimpleNamespace
+    jvms, passes, answers = {"driver:1", "a:1", "b:1"}, [], []
+    monkeypatch.setattr(M, "application_jvms", lambda s: set(jvms))
+    monkeypatch.setattr(M, "_LAPACK_READY", {})
+
+    def one_pass(s, what, value, tasks):
+        passes.append(tasks)
+        return SimpleNamespace(collect=lambda: [{"v": v} for v in answers.pop(0)])
+
+    monkeypatch.setattr(M, "first_in_jvm", one_pass)
+    good = 2.2250738585072014e-308
+
+    def session(app):
+        return SimpleNamespace(sparkContext=SimpleNamespace(
+            applicationId=app, master="spark://host:1", defaultParallelism=2, _jvm=spark.sparkContext._jvm))
+
+    answers[:] = [[good, None], [None, good]]  # the first pass reaches one executor of two
+    M.init_lapack(session("app-1"))
+    M.init_lapack(session("app-1"))
+    assert len(passes) == 2
+    jvms.add("c:1")  # an executor in place of a lost one
+    answers[:] = [[None, good, None]]
+    M.init_lapack(session("app-1"))
+    assert len(passes) == 3
+    answers[:] = [[good, good, good]]  # the same Python process, new executors
+    M.init_lapack(session("app-2"))
+    assert len(passes) == 4
+    answers[:] = [[0.0, good, good]]
+    with pytest.raises(RuntimeError, match="corrupt in an executor"):
+        M.init_lapack(session("app-3"))
