@@ -816,6 +816,10 @@ def h1_smoothed_profile(spark, sf):
 
 # ---- streaming form of X2/X3 ------------------------------------------------------
 
+STREAM_BATCHES = 4             # fixed value: micro-batches that the log arrives in
+STREAM_FILE_LINES = 250_000    # fixed value: lines of a file of a micro-batch
+
+
 @query("x3_stream_transition_alerts")
 def x3_stream_transition_alerts(spark, sf):
     """X3 computed by the streaming monitor: the transactions are laid
@@ -823,15 +827,17 @@ def x3_stream_transition_alerts(spark, sf):
     available-now trigger, and the alerts table is read back."""
     import os
     from ..streaming import monitor
-    # four files, one a micro-batch: both periods arrive in several batches
+    # four micro-batches of as many files each: both periods arrive in several
+    # batches, and a file (written by one task) does not grow with the log
     base = shared_path(spark, "stream")
     src = os.path.join(base, "input")
     tx = tables.transactions(spark, sf).withColumn(
         "period", F.when(F.col("date") < F.lit(PERIOD_CUT).cast("date"), F.lit(1)).otherwise(F.lit(2)))
-    tx.repartition(4, "id").write.mode("overwrite").parquet(src)
+    files = max(1, -(-tables.read_table(spark, sf, "lineitem").count() // (STREAM_BATCHES * STREAM_FILE_LINES)))
+    tx.repartition(STREAM_BATCHES * files, "id").write.mode("overwrite").parquet(src)
     q = monitor.start_transition_monitor(spark, src, tables.product_master(spark, sf),
                                          os.path.join(base, "state"), os.path.join(base, "ckpt"),
-                                         max_files_per_trigger=1)
+                                         max_files_per_trigger=files)
     q.awaitTermination()
     for done in (src, os.path.join(base, "state", "transactions")):  # no copy of the log is kept
         monitor._remove(spark, done)

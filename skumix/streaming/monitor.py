@@ -10,7 +10,8 @@ a late earlier period and a replayed batch all end in the same tables.
 
 State lives in written tables under ``state_dir`` (a shared folder):
 ``transactions/batch=<id>/period=<p>``, ``reference`` (the earliest
-period's features), ``labels/period=<p>``, ``alerts/period=<p>``.  Nothing
+period's features), ``features`` (of the batch's periods, while it is
+worked on), ``labels/period=<p>``, ``alerts/period=<p>``.  Nothing
 is held per key in executor memory; the driver sees period ids only.
 """
 
@@ -79,16 +80,22 @@ def process_batch(batch: DataFrame, batch_id: int, master: DataFrame, state_dir:
         return
     periods = sorted(r["period"] for r in stored.select("period").distinct().collect())  # a few ids
     reference, labels = os.path.join(state_dir, "reference"), os.path.join(state_dir, "labels")
-    if periods[0] in touched or not _complete(spark, reference):
-        # the scaling changes, and every label with it
-        first = _features(stored.where(F.col("period") == periods[0]), master)
-        first.select(PRODUCT_ID, *MODEL_FEATURES).write.mode("overwrite").parquet(reference)
+    renewed = periods[0] in touched or not _complete(spark, reference)
+    if renewed:  # the scaling changes, and every label with it
         touched = set(periods)
-    feats = _features(stored.where(F.col("period").isin(*touched)), master)
+    # one roll-up, written: the statistics, the labels and the reference all read it
+    own_features = os.path.join(state_dir, "features")
+    rolled = _features(stored.where(F.col("period").isin(*touched)), master)
+    rolled.write.mode("overwrite").parquet(own_features)
+    feats = spark.read.schema(rolled.schema).parquet(own_features)
+    if renewed:
+        (feats.where(F.col("period") == periods[0]).select(PRODUCT_ID, *MODEL_FEATURES)
+         .write.mode("overwrite").parquet(reference))
     labelled = label_fixed(standardise(feats, MODEL_FEATURES, stats_from=spark.read.parquet(reference)), centers)
     for p in touched:  # a period may have no complete product any more
         _remove(spark, os.path.join(labels, f"period={p}"))
     _replace(labelled.select(PRODUCT_ID, "cluster", "period"), labels)
+    _remove(spark, own_features)
     # each touched period against the one before it, and the one after it anew
     pairs = [(a, b) for a, b in zip(periods, periods[1:]) if a in touched or b in touched]
     alerts = os.path.join(state_dir, "alerts")

@@ -63,3 +63,15 @@ def test_split_late_and_half_written_periods_equal_the_batch_result(spark):
     assert _same(_alerts(spark, state), want)
     monitor.process_batch(rows.where("period = 1 and id % 3 = 0"), 1, master, state)  # replay
     assert _same(_alerts(spark, state), want)
+
+
+def test_a_batch_rolls_its_periods_up_once(spark, monkeypatch):
+    """The reference is read from the batch's features, not rolled up anew."""
+    base = tempfile.mkdtemp(prefix="skumix-stream-")
+    rows = spark.read.schema(monitor.TX_STREAM_SCHEMA).parquet(_input(spark, base))
+    calls, plain = [], monitor.product_features
+    monkeypatch.setattr(monitor, "product_features", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    state = os.path.join(base, "state")
+    monitor.process_batch(rows.where("id % 2 = 0"), 0, tables.product_master(spark, SF), state)
+    assert len(calls) == 1
+    assert not os.path.exists(os.path.join(state, "features"))
