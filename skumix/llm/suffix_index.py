@@ -45,8 +45,8 @@ WORDS = (0, 8, 16, 24, 32, 40, LONG - 8)  # 8-byte words that make up a window
 CHUNK = 1 << 19          # windows whose anchors are sought at once
 BATCH_BYTES = 8 << 20    # text of a batch
 SHARD_BYTES = 64 << 20   # text per shard, at most
-SCAN_WINDOWS = 1 << 20   # windows compared at once
-NEW_ENTRIES = 1 << 14    # entries a shard gathers before they become a batch
+SCAN_WINDOWS = 1 << 18   # windows compared at once
+NEW_ENTRIES = 1 << 17    # entries a shard gathers before they become a batch
 NO_ID = (1 << 63) - 1    # stands for a null id
 
 FIELDS = ("w0", "w1", "doc", "batch", "local", "at", "n", "reps", "alive", "off", "gram")
@@ -145,7 +145,8 @@ def _joined(*es: dict) -> dict:
 def suffix_sorted(e: dict) -> dict:
     """Entries in the order of the suffixes at their anchors."""
     import numpy as np
-    return _take(e, np.lexsort((e["w1"], e["w0"])))
+    order = np.argsort(e["w1"])  # the order of equal suffixes does not matter
+    return _take(e, order[np.argsort(e["w0"][order], kind="stable")])
 
 
 def _groups(e: dict):
@@ -172,7 +173,7 @@ def _covered_windows(e: dict, which, store: Store):
     h = np.zeros(len(pos), np.uint64)
     for k in WORDS:
         h = _mixed(h, word[pos + k])
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     s = h[order]
     if not len(s):
         return entry, window
@@ -272,7 +273,8 @@ def united(keys, starts, ends):
     import numpy as np
     if not len(starts):
         return keys, starts, ends
-    order = np.lexsort((starts, keys))
+    wide = int(starts.max()) + 1
+    order = np.argsort(keys.astype(np.int64) * wide + starts)
     k, s, e = keys[order], starts[order].astype(np.int64), ends[order].astype(np.int64)
     # the running end within a key: keys are dealt far apart for one running maximum
     step = int(e.max()) + 1
@@ -445,10 +447,12 @@ def _interval_rows(gone: tuple) -> list[tuple[int, bytes]]:
     """(batch, packed united intervals) of covered (batch, local, start, end)."""
     import numpy as np
     out = []
-    batch, local, s, t = gone
-    for b in np.unique(batch).tolist():
-        at = batch == b if len(batch) else slice(None)
-        out.append((b, np.column_stack(united(local[at], s[at], t[at])).astype("<u4").tobytes()))
+    order = np.argsort(gone[0])
+    batch, local, s, t = (x[order] for x in gone)
+    edges = np.r_[0, np.flatnonzero(np.diff(batch)) + 1, len(batch)] if len(batch) else []
+    for x, y in zip(edges, edges[1:]):
+        rows = np.column_stack(united(local[x:y], s[x:y], t[x:y]))
+        out.append((int(batch[x]), rows.astype("<u4").tobytes()))
     return out
 
 

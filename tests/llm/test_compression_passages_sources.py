@@ -265,3 +265,22 @@ def test_divergence_of_nothing(empty, docs):
     # no kept term: pairs are equal, and there are no terms
     got = divergence.audit(docs, min_docs=1000)
     assert got.where((F.col("part") == "term") | (F.col("value") != 0)).count() == 0 and got.count() > 0
+
+
+def test_a_shard_scans_few_large_batches_and_unites_what_is_covered(monkeypatch):
+    """Arrivals of 40,000 entries are one batch, hence one scan."""
+    import random
+    import numpy as np
+    from skumix.llm import suffix_index as X
+    rng, scans, plain = random.Random(4), [], X.scan
+    common = bytes(rng.choice(b"abcdefghij ") for _ in range(200))
+    family = X.Family()
+    for batch in range(5):
+        text = bytes(rng.choice(b"abcdefghij ") for _ in range(150_000)) + b"%d" % batch + common
+        e, store, _ = X.batch_entries([batch], [text], batch)
+        family.add(e, store.bytes[:store.used])
+    monkeypatch.setattr(X, "scan", lambda *a: scans.append(len(a[0]["w0"])) or plain(*a))
+    got = X._interval_rows(family.finish())
+    assert len(scans) == 1 and scans[0] > 1 << 15
+    assert [(b, np.frombuffer(rows, "<u4").tolist()) for b, rows in got] == [
+        (b, [0, 150_001, 150_201]) for b in range(1, 5)]
