@@ -233,9 +233,10 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, lang_col: str = "lang"
     single = (shares.select("*", salted("a", "p")).join(other, ["lang", "salt"]).where("a <> b")
               .groupBy("lang", "a", "b").agg(F.sum(F.col("times") * (
                   _between(F.col("p"), F.col("q0")) - _between(F.col("p0"), F.col("q0")))).alias("fix")))
-    turned = lambda d: d.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "fix")
-    fixes = (single.unionByName(turned(single)).unionByName(both).unionByName(turned(both))
-             .groupBy("lang", "a", "b").agg(F.sum("fix").alias("fix")))
+    # a correction holds both ways: turned in the row, so no branch is planned twice
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("way")
+    fixes = (single.unionByName(both).select("lang", ways, "fix")
+             .groupBy("lang", F.col("way.a").alias("a"), F.col("way.b").alias("b")).agg(F.sum("fix").alias("fix")))
     pairs = (groups.select("lang", "source", F.col("place").alias("a"), "p0", "terms", salted("source"))
              .join(other, ["lang", "salt"]).where("a <> b")
              .join(fixes, ["lang", "a", "b"], "left")
