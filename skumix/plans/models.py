@@ -248,16 +248,17 @@ def init_lapack(spark) -> None:
     One call from a single thread computes them for the whole JVM (in
     local mode the executors share it).  On a cluster one task of each
     executor computes them (:func:`first_in_jvm`), in as many passes as it
-    takes to reach every executor of this application; one that has come
-    since is reached before the next fit.  A wrong constant fails the run
-    with a message, where EM would never end."""
+    takes to reach every executor of this application, those that come
+    meanwhile included; one that has come since is reached before the next
+    fit.  A wrong constant fails the run with a message, where EM would
+    never end."""
     app, jvms = spark.sparkContext.applicationId, application_jvms(spark)
     with _LAPACK_LOCK:
         ready = _LAPACK_READY.setdefault(app, set())
         new = jvms - ready
         if not new:
             return
-        executors = len(new) if ready else len(new) - 1  # the driver is among the first
+        drivers, reached = int(not ready), 0  # the driver is among the first
         try:
             safe_min = float(spark.sparkContext._jvm.org.netlib.lapack.Dlamch.dlamch("S"))
         except Exception:  # native LAPACK or another build: nothing to initialise
@@ -276,8 +277,9 @@ def init_lapack(spark) -> None:
                 if any(v != sys.float_info.min for v in got):
                     raise RuntimeError("LAPACK machine constants are corrupt in an executor JVM; install a native "
                                        "LAPACK on the executors or restart them")
-                executors -= len(got)
-                if executors <= 0:
+                reached += len(got)
+                new |= application_jvms(spark) - ready  # a late one may have answered in place of one of the first
+                if reached >= len(new) - drivers:
                     break
         ready |= new
 

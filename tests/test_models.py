@@ -296,3 +296,23 @@ def test_lapack_reaches_every_executor_of_every_application(spark, monkeypatch):
     answers[:] = [[0.0, good, good]]
     with pytest.raises(RuntimeError, match="corrupt in an executor"):
         M.init_lapack(session("app-3"))
+
+
+def test_lapack_counts_an_executor_that_comes_during_a_pass(spark, monkeypatch):
+    """Its answer does not stand for that of an executor that was there before."""
+    from types import SimpleNamespace
+    good = 2.2250738585072014e-308
+    jvms, answers = {"driver:1", "a:1", "b:1"}, [[good, good, None], [None, good, None]]
+    monkeypatch.setattr(M, "application_jvms", lambda s: set(jvms))
+    monkeypatch.setattr(M, "_LAPACK_READY", {})
+
+    def one_pass(s, what, value, tasks):
+        jvms.add("late:1")  # the first pass reaches it and one of the others
+        return SimpleNamespace(collect=lambda: [{"v": v} for v in answers.pop(0)])
+
+    monkeypatch.setattr(M, "first_in_jvm", one_pass)
+    session = SimpleNamespace(sparkContext=SimpleNamespace(
+        applicationId="app-1", master="spark://host:1", defaultParallelism=2, _jvm=spark.sparkContext._jvm))
+    M.init_lapack(session)
+    assert not answers
+    M.init_lapack(session)  # all are known now: no further pass
