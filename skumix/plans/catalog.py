@@ -16,7 +16,7 @@ from .. import ALL_FEATURES
 from ..functions.columns import truncate_name
 from ..operators import assign, history, incremental, matching, profile, quality, scale, silhouette, stats, strategy
 from ..operators import features as feat
-from ..session import shared_path, written_table
+from ..session import drop_shuffles, shared_path, written_table
 from ..sources import csv_io, tables
 from . import certificates as C
 from . import models as M
@@ -855,7 +855,7 @@ def x3_stateful_stream_alerts(spark, sf):
     each of which the monitor is started anew from its checkpoint; alerts of
     all periods that the watermark has closed."""
     import os
-    from ..streaming import stateful
+    from ..streaming import monitor, stateful
     base = shared_path(spark, "stateful")
     src = os.path.join(base, "input")
     tx = tables.transactions(spark, sf).withColumn("period", stateful.period_of(F.col("date"), STREAM_DAYS))
@@ -865,12 +865,17 @@ def x3_stateful_stream_alerts(spark, sf):
     reference = feat.join_master(feat.product_features(feat.clean_transactions(
         tx.where(F.col("period") == first).drop("period"))), master)
     numbers = stateful.reference_scale(scale.complete_rows(reference))
+    drop_shuffles(spark)
     step = max(1, -(-(last - first + 1) // 4))
     for start in range(first, last + 1, step):
         part = tx.where((F.col("period") >= start) & (F.col("period") < start + step)).drop("period")
         part.write.mode("append").parquet(src)
+        drop_shuffles(spark)
         stateful.start_label_monitor(spark, src, master, base, numbers, first, STREAM_DAYS,
                                      STREAM_LATE).awaitTermination()
+        monitor._remove(spark, src)  # no copy of the log is kept
+        drop_shuffles(spark)
+    monitor._remove(spark, os.path.join(base, "checkpoint"))
     return stateful.read_alerts(spark, base)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -77,6 +78,16 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let executors remove the shuffle files of queries that have ended.
+
+    Spark removes them when the driver's garbage is collected, which may be
+    long after; a query of several passes over the log holds all of them
+    until then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _SCRATCH: list[tuple[str, str]] = []
 
 

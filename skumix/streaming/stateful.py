@@ -2,18 +2,23 @@
 
 Transactions of fixed-length periods flow through three stateful operators:
 
-1. a windowed count keyed by (product, kind, value) keeps every distinct
-   row, order and customer of the open periods once; its keys spread a hot
-   product over all tasks;
-2. a windowed count per product turns them into the product's features when
-   the watermark closes the period;
+1. ``transformWithState`` keeps the distinct (product, kind, value) of the
+   open periods: every distinct row, order and customer, in buckets by the
+   hash of all three, so a hot product is spread over all tasks.  Values are
+   packed by bucket where they are read and stay so in the state, a few bytes
+   a value (a state key and a row for each took many times the log's own size
+   on disk).  A timer at the period's end counts each product's values;
+2. a windowed sum per product turns the buckets' counts into the product's
+   features when the watermark closes the period;
 3. ``transformWithState`` compares each product's label of the period with
    the one before.  It holds one label per product, in buckets of products
    (a call for each product took longer than all else); a timer at the end
    of the next period tells products that have vanished.
 
 State holds what open periods need and no more: closed windows are dropped,
-a vanished product's label is cleared.  Rows that are later than the
+a vanished product's label is cleared.  Its files of older batches than the
+last two are removed, and executors hold a copy only while a task uses it
+(``STORE``).  Rows that are later than the
 watermark are left out, as in any such stream; :mod:`.monitor` is the form
 that takes them in at the price of reading their periods again.  Labels use
 the scaling of a reference period, which the caller gives as numbers, so a
@@ -22,6 +27,7 @@ changed label means changed behaviour."""
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from .. import CONCENTRATION, CUSTOMERS, FREQUENCY, MODEL_FEATURES, PRODUCT_ID, VOLUME
-from ..functions.columns import concentration_ratio
+from ..functions.columns import concentration_ratio, week_key
 from ..operators.assign import FIXED_CENTERS, label_fixed
 from ..operators.scale import zname
 
@@ -37,7 +43,19 @@ STREAM_SCHEMA = "id long, line int, date date, week int, product_id long, custom
 ALERT_SCHEMA = "product_id long, period long, cluster_before int, cluster_after int, change string"
 DAY_MS = 86_400_000
 BUCKETS = 4096  # of products whose labels are one state value; fixed once a checkpoint exists
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+KINDS = (VOLUME, FREQUENCY, CUSTOMERS)
+VALUE = ("id", "customer_id", "line", "day", "week", "missing")  # a value's columns; those its kind has not are 0
+OWN = (VALUE, ("id",), ("customer_id",))  # what a value of each kind consists of
+BUCKET = ("row_bucket", "order_bucket", "customer_bucket")
+SPREAD = 1024  # buckets of a kind's values; fixed once a checkpoint exists
+PACK_LINES = 250_000  # of a task, before they are packed
+MOST_PARTS = 16  # of a bucket and period, before they become one
+PART_VALUES = 1_000_000  # of what arrives for a bucket and period, unpacked at once
+STORE = {  # transformWithState needs RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.minBatchesToRetain": "2"}
 
 
 def period_of(date, days: int):
@@ -133,23 +151,164 @@ class LabelChanges(StatefulProcessor):
         pass
 
 
+def _distinct(table):
+    """The distinct rows of an integer table, sorted."""
+    import numpy as np
+    if len(table) < 2:
+        return table
+    table = table[np.lexsort(table.T[::-1])]
+    return table[np.append(True, (table[1:] != table[:-1]).any(axis=1))]
+
+
+def pack(table) -> bytes:
+    """A sorted integer table in few bytes: the first column's steps, and all
+    values' bytes by their place in the number (most are 0)."""
+    import numpy as np
+    t = np.ascontiguousarray(table.T, dtype="<i8")
+    t[0, 1:] = np.diff(table[:, 0])
+    return zlib.compress(np.ascontiguousarray(t.view("u1").reshape(t.size, 8).T).tobytes(), 1)
+
+
+def unpack(packed: bytes, columns: int):
+    import numpy as np
+    t = np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), dtype="u1").reshape(8, -1).T)
+    t = t.view("<i8").reshape(columns, -1)
+    t[0] = np.cumsum(t[0])
+    return t.T
+
+
+def packed_values(batches):
+    """Arrow batches of lines -> (bucket, the latest time seen in the period,
+    its end, number of distinct values, these packed), at most one row a bucket and period for ``PACK_LINES``."""
+    import numpy as np
+    import pyarrow as pa
+    columns = ("ends", PRODUCT_ID, *VALUE)
+
+    def packs(held):
+        whole = {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in held[0].schema.names}
+        last = {end: int(whole["at"][whole["ends"] == end].max()) for end in np.unique(whole["ends"]).tolist()}
+        rows = []
+        for own, bucket in zip(OWN, BUCKET):
+            here = whole[bucket] >= 0  # the others have no value of this kind
+            table = np.zeros((int(here.sum()), 1 + len(columns)), dtype="<i8")
+            for i, c in enumerate((bucket, *columns)):
+                if c not in VALUE or c in own:
+                    table[:, i] = whole[c][here]
+            table = _distinct(table)
+            starts = np.flatnonzero(np.append(True, (table[1:, :2] != table[:-1, :2]).any(axis=1))) if len(table) else ()
+            rows += [(int(t[0, 0]), last[int(t[0, 1])], int(t[0, 1]), len(t), pack(t[:, 2:])) for t in np.split(table, starts[1:]) if len(t)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+            names=["bucket", "at", "ends", "n", "packed"])
+
+    held, lines = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            lines += batch.num_rows
+        if lines >= PACK_LINES:
+            yield packs(held)
+            held, lines = [], 0
+    if held:
+        yield packs(held)
+
+
+class DistinctValues(StatefulProcessor):
+    """The distinct (product, value) of a bucket and period, and how many each
+    product has when the period ends.
+
+    The key is a bucket, which holds values of one kind.  What arrives is
+    added as a part of its own, so a batch costs its own size; parts become
+    one when there are ``MOST_PARTS``, so that copies in later batches do not
+    pile up."""
+
+    OUT = "ts timestamp, product_id long, kind int, values long"
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.parts = handle.getMapState("parts", "ends long, part int", "packed binary")
+
+    @staticmethod
+    def _whole(packs):
+        import numpy as np
+        return _distinct(np.concatenate([unpack(bytes(x), 1 + len(VALUE)) for x in packs]))
+
+    def _read(self, keys):
+        return self._whole([self.parts.getValue(k)[0] for k in keys])
+
+    def _add(self, end: int, packs: list, keys: list) -> None:
+        new = (end, 1 + max((k[1] for k in keys), default=-1))
+        self.parts.updateValue(new, (packs[0] if len(packs) == 1 else pack(self._whole(packs)),))
+        keys.append(new)
+        if len(keys) >= MOST_PARTS:
+            whole = self._read(keys)
+            for k in keys[1:]:
+                self.parts.removeKey(k)
+            self.parts.updateValue(keys[0], (pack(whole),))
+            del keys[1:]
+
+    def handleInputRows(self, key, rows, timerValues):
+        held: dict[int, list] = {}
+        for k in self.parts.keys() if self.parts.exists() else ():
+            held.setdefault(int(k[0]), []).append((int(k[0]), int(k[1])))
+        known, new, values = set(held), {}, {}
+        for df in rows:
+            for end, packed, n in zip(df["ends"].tolist(), df["packed"], df["n"].tolist()):
+                new.setdefault(end, []).append(bytes(packed))
+                values[end] = values.get(end, 0) + n
+                if values[end] >= PART_VALUES:
+                    self._add(end, new.pop(end), held.setdefault(end, []))
+                    values[end] = 0
+        for end, packs in new.items():
+            self._add(end, packs, held.setdefault(end, []))
+        for end in set(held) - known:
+            self.handle.registerTimer(end - 1)  # has expired once the watermark is at the end
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import numpy as np
+        import pandas as pd
+        end = expiredTimerInfo.getExpiryTimeInMs() + 1
+        keys = [(int(k[0]), int(k[1])) for k in self.parts.keys() if int(k[0]) == end]
+        if keys:
+            products, counts = np.unique(self._read(keys)[:, 0], return_counts=True)
+            for k in keys:
+                self.parts.removeKey(k)
+            ts = pd.Timestamp(end, unit="ms", tz="UTC") - pd.Timedelta(1, unit="us")
+            yield pd.DataFrame({"ts": ts, PRODUCT_ID: products, "kind": np.int32(int(key[0]) // SPREAD), "values": counts})
+
+    def close(self) -> None:
+        pass
+
+
 def closed_features(tx: DataFrame, days: int, late_days: int) -> DataFrame:
     """(period_time, product, features) of every product and period, when the
     watermark closes the period.  Copies of a row count once."""
     length = f"{days} days"
     known = tx.where(F.col(PRODUCT_ID).isNotNull()).withColumn("ts", F.col("date").cast("timestamp"))
-    known = known.withWatermark("ts", f"{late_days} days")
-    row = F.to_json(F.struct(*[F.col(c) for c in tx.columns]), {"ignoreNullFields": "false"})
-    each = known.select("ts", PRODUCT_ID, F.explode(F.array(
-        F.struct(F.lit(VOLUME).alias("kind"), row.alias("value")),
-        F.struct(F.lit(FREQUENCY).alias("kind"), F.col("id").cast("string").alias("value")),
-        F.struct(F.lit(CUSTOMERS).alias("kind"), F.col("customer_id").cast("string").alias("value")))).alias("r"))
-    distinct = (each.where(F.col("r.value").isNotNull())
-                .groupBy(F.window("ts", length), PRODUCT_ID, F.col("r.kind").alias("kind"), F.col("r.value").alias("value"))
-                .agg(F.count(F.lit(1)).alias("copies"))
-                .select(F.window_time("window").alias("ts"), PRODUCT_ID, "kind"))
+    # what is missing is told by a bit, so that a value has numbers only
+    numbers = {c: F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in ("id", "customer_id", "line")}
+    numbers["day"] = F.unix_date("date").cast("long")
+    numbers["week"] = F.coalesce(F.col("week").cast("long") - week_key(F.col("date")), F.lit(0))  # as good as the week, mostly 0
+    numbers["missing"] = sum((F.when(F.col(c).isNull(), 2 ** i).otherwise(0)
+                              for i, c in enumerate(("id", "customer_id", "line", "week"))), F.lit(0)).cast("long")
+    here = (F.lit(True), F.col("id").isNotNull(), F.col("customer_id").isNotNull())
+    buckets = [F.when(h, i * SPREAD + F.pmod(F.xxhash64(PRODUCT_ID, *[numbers[c] for c in own]), F.lit(SPREAD)))
+               .otherwise(-1).cast("int").alias(b) for i, (h, own, b) in enumerate(zip(here, OWN, BUCKET))]
+    lines = known.withColumn("window", F.window("ts", length)).select(
+        F.unix_micros("ts").alias("at"), F.unix_millis("window.end").alias("ends"), PRODUCT_ID,
+        *[numbers[c].alias(c) for c in VALUE], *buckets)
+    packs = lines.mapInArrow(packed_values, "bucket int, at long, ends long, n int, packed binary")
+    packs = packs.withColumn("at", F.timestamp_micros("at")).withWatermark("at", f"{late_days} days")
+    # all of a pack's lines are of one period, whose end decides whether they are late
+    distinct = (packs.withColumn("window", F.window("at", length))
+                .select(F.window_time("window").alias("ts"), "ends", "bucket", "packed", "n")
+                .groupBy("bucket")
+                .transformWithStateInPandas(DistinctValues(), DistinctValues.OUT, "Append", "EventTime",
+                                            eventTimeColumnName="ts"))
     return (distinct.groupBy(F.window("ts", length), PRODUCT_ID)
-            .agg(*[F.count(F.when(F.col("kind") == c, 1)).alias(c) for c in (VOLUME, FREQUENCY, CUSTOMERS)])
+            .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == i, F.col("values"))), F.lit(0)).alias(c)
+                   for i, c in enumerate(KINDS)])
             .select(F.window_time("window").alias("ts"), PRODUCT_ID, VOLUME, FREQUENCY, CUSTOMERS)
             .withColumn(CONCENTRATION, concentration_ratio(F.col(VOLUME), F.col(CUSTOMERS))))
 
@@ -181,13 +340,14 @@ def start_label_monitor(spark: SparkSession, source_dir: str, master: DataFrame,
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)  # transformWithState needs it; the query keeps its own copy
+    before = {key: spark.conf.get(key, None) for key in STORE}
+    for key, value in STORE.items():  # the query keeps its own copy
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def read_alerts(spark: SparkSession, state_dir: str) -> DataFrame:
