@@ -847,6 +847,7 @@ def x3_stream_transition_alerts(spark, sf):
 
 STREAM_DAYS = 364   # fixed value: 52 weeks a period
 STREAM_LATE = 7     # fixed value: days a transaction may be late
+STREAM_BUCKET_LINES = 125_000  # fixed value: lines of the log for each bucket of the stream's state
 
 
 @query("x3_stateful_stream_alerts")
@@ -861,6 +862,7 @@ def x3_stateful_stream_alerts(spark, sf):
     tx = tables.transactions(spark, sf).withColumn("period", stateful.period_of(F.col("date"), STREAM_DAYS))
     r = tx.agg(F.min("period").alias("first"), F.max("period").alias("last")).first()
     first, last = r["first"] or 0, r["last"] or 0
+    spread = max(16, -(-tables.read_table(spark, sf, "lineitem").count() // STREAM_BUCKET_LINES))
     master = tables.product_master(spark, sf)
     reference = feat.join_master(feat.product_features(feat.clean_transactions(
         tx.where(F.col("period") == first).drop("period"))), master)
@@ -872,7 +874,7 @@ def x3_stateful_stream_alerts(spark, sf):
         part.write.mode("append").parquet(src)
         drop_shuffles(spark)
         stateful.start_label_monitor(spark, src, master, base, numbers, first, STREAM_DAYS,
-                                     STREAM_LATE).awaitTermination()
+                                     STREAM_LATE, spread=spread).awaitTermination()
         monitor._remove(spark, src)  # no copy of the log is kept
         drop_shuffles(spark)
     monitor._remove(spark, os.path.join(base, "checkpoint"))

@@ -47,7 +47,7 @@ KINDS = (VOLUME, FREQUENCY, CUSTOMERS)
 VALUE = ("id", "customer_id", "line", "day", "week", "missing")  # a value's columns; those its kind has not are 0
 OWN = (VALUE, ("id",), ("customer_id",))  # what a value of each kind consists of
 BUCKET = ("row_bucket", "order_bucket", "customer_bucket")
-SPREAD = 1024  # buckets of a kind's values; fixed once a checkpoint exists
+SPREAD = 1024  # buckets of a kind's values, if the caller gives no number; fixed once a checkpoint exists
 PACK_LINES = 250_000  # of a task, before they are packed
 MOST_PARTS = 16  # of a bucket and period, before they become one
 PART_VALUES = 1_000_000  # of what arrives for a bucket and period, unpacked at once
@@ -224,6 +224,9 @@ class DistinctValues(StatefulProcessor):
 
     OUT = "ts timestamp, product_id long, kind int, values long"
 
+    def __init__(self, spread: int = SPREAD):
+        self.spread = spread
+
     def init(self, handle) -> None:
         self.handle = handle
         self.parts = handle.getMapState("parts", "ends long, part int", "packed binary")
@@ -275,13 +278,13 @@ class DistinctValues(StatefulProcessor):
             for k in keys:
                 self.parts.removeKey(k)
             ts = pd.Timestamp(end, unit="ms", tz="UTC") - pd.Timedelta(1, unit="us")
-            yield pd.DataFrame({"ts": ts, PRODUCT_ID: products, "kind": np.int32(int(key[0]) // SPREAD), "values": counts})
+            yield pd.DataFrame({"ts": ts, PRODUCT_ID: products, "kind": np.int32(int(key[0]) // self.spread), "values": counts})
 
     def close(self) -> None:
         pass
 
 
-def closed_features(tx: DataFrame, days: int, late_days: int) -> DataFrame:
+def closed_features(tx: DataFrame, days: int, late_days: int, spread: int = SPREAD) -> DataFrame:
     """(period_time, product, features) of every product and period, when the
     watermark closes the period.  Copies of a row count once."""
     length = f"{days} days"
@@ -293,7 +296,7 @@ def closed_features(tx: DataFrame, days: int, late_days: int) -> DataFrame:
     numbers["missing"] = sum((F.when(F.col(c).isNull(), 2 ** i).otherwise(0)
                               for i, c in enumerate(("id", "customer_id", "line", "week"))), F.lit(0)).cast("long")
     here = (F.lit(True), F.col("id").isNotNull(), F.col("customer_id").isNotNull())
-    buckets = [F.when(h, i * SPREAD + F.pmod(F.xxhash64(PRODUCT_ID, *[numbers[c] for c in own]), F.lit(SPREAD)))
+    buckets = [F.when(h, i * spread + F.pmod(F.xxhash64(PRODUCT_ID, *[numbers[c] for c in own]), F.lit(spread)))
                .otherwise(-1).cast("int").alias(b) for i, (h, own, b) in enumerate(zip(here, OWN, BUCKET))]
     lines = known.withColumn("window", F.window("ts", length)).select(
         F.unix_micros("ts").alias("at"), F.unix_millis("window.end").alias("ends"), PRODUCT_ID,
@@ -304,7 +307,7 @@ def closed_features(tx: DataFrame, days: int, late_days: int) -> DataFrame:
     distinct = (packs.withColumn("window", F.window("at", length))
                 .select(F.window_time("window").alias("ts"), "ends", "bucket", "packed", "n")
                 .groupBy("bucket")
-                .transformWithStateInPandas(DistinctValues(), DistinctValues.OUT, "Append", "EventTime",
+                .transformWithStateInPandas(DistinctValues(spread), DistinctValues.OUT, "Append", "EventTime",
                                             eventTimeColumnName="ts"))
     return (distinct.groupBy(F.window("ts", length), PRODUCT_ID)
             .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == i, F.col("values"))), F.lit(0)).alias(c)
@@ -316,14 +319,16 @@ def closed_features(tx: DataFrame, days: int, late_days: int) -> DataFrame:
 def start_label_monitor(spark: SparkSession, source_dir: str, master: DataFrame, state_dir: str,
                         scale: dict[str, tuple[float, float]], first_period: int, days: int, late_days: int = 7,
                         centers: Sequence[Sequence[float]] = FIXED_CENTERS, available_now: bool = True,
-                        processing_time: str | None = None) -> StreamingQuery:
+                        processing_time: str | None = None, spread: int = SPREAD) -> StreamingQuery:
     """Start (or go on with) the monitor over parquet transaction files.
 
+    ``spread`` is the number of buckets of each kind's values, the same at
+    every start: a task holds one bucket's values of a period at a time.
     Alerts are appended to ``state_dir``/alerts, exactly once; the query's
     checkpoint lies beside them, so a new start goes on where the last one
     ended."""
     tx = spark.readStream.schema(STREAM_SCHEMA).parquet(source_dir)
-    sold = closed_features(tx, days, late_days).where(F.col(CONCENTRATION).isNotNull())
+    sold = closed_features(tx, days, late_days, spread).where(F.col(CONCENTRATION).isNotNull())
     known = sold.join(master.where(F.col(PRODUCT_ID).isNotNull()).select(PRODUCT_ID), PRODUCT_ID, "left_semi")
     for c in MODEL_FEATURES:
         mean, std = scale[c]

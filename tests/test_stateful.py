@@ -174,7 +174,7 @@ def test_values_are_counted_once_and_kept_in_few_bytes():
     extremes = np.array([[-2 ** 63, 1], [0, -1], [2 ** 63 - 1, 2 ** 63 - 1]], dtype="i8")
     assert np.array_equal(stateful.unpack(stateful.pack(extremes), 2), extremes)
 
-    handle, values = MapHandle(), stateful.DistinctValues()
+    handle, values = MapHandle(), stateful.DistinctValues(5)
     values.init(handle)
     for batch in np.array_split(table, 2 * stateful.MOST_PARTS):  # each with rows of others
         some = [stateful._distinct(x) for x in (batch, table[:100])]
@@ -182,7 +182,7 @@ def test_values_are_counted_once_and_kept_in_few_bytes():
         assert list(values.handleInputRows((0,), iter([arrived]), None)) == []
     assert handle.timers == {end - 1} and len(handle.state.values) < stateful.MOST_PARTS
     assert sum(len(v[0]) for v in handle.state.values.values()) < 20 * n
-    got = pd.concat(values.handleExpiredTimer((stateful.SPREAD,), None, Expired()))
+    got = pd.concat(values.handleExpiredTimer((5,), None, Expired()))
     assert dict(zip(got["product_id"], got["values"])) == dict(zip(*np.unique(whole[:, 0], return_counts=True)))
     assert set(got["kind"]) == {1} and not handle.state.values
 
@@ -233,7 +233,7 @@ def test_parts_of_the_log_do_not_stay(spark, monkeypatch):
         def awaitTermination(self):
             pass
 
-    def start(spark, src, master, base, *rest):
+    def start(spark, src, master, base, *rest, **named):
         seen.append((src, base, sorted(r.date.year for r in spark.read.parquet(src).collect())))
         os.makedirs(os.path.join(base.removeprefix("file:"), "checkpoint"), exist_ok=True)
         return Query()
